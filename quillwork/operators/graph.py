@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillwork.functions.text import split_on_space
-from quillwork.operators.sizing import join_measured
+from quillwork.operators.sizing import join_measured, measure
 from quillwork.session import settle
 
 
@@ -40,18 +40,20 @@ def shortest_paths(edges: DataFrame, source: str, max_hops: int = 6,
         F.lit(None).cast(kind).alias("parent"),
         F.lit(0).alias("distance"),
     )
-    rounds = [settle(start)]
+    rounds = [start]
+    size = (1, 0)
     for hop in range(1, max_hops + 1):
         frontier = rounds[-1].select(F.col("node").alias("src"))
         reached = (
-            join_measured(links, frontier, ["src"])
+            join_measured(links, frontier, ["src"], size=size)
             .groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("parent"))
         )
         known = reduce(DataFrame.unionByName, rounds).select("node")
         fresh = settle(
             reached.join(known, "node", "left_anti").withColumn("distance", F.lit(hop))
         )
-        if fresh.isEmpty():
+        size = measure(fresh)
+        if size[0] == 0:
             break
         rounds.append(fresh)
         if destination is not None and not fresh.filter(

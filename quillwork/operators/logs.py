@@ -11,25 +11,26 @@ from quillwork.operators.stats import correlation, moments, with_correlation
 
 
 def _fields(lines: DataFrame, column: str) -> DataFrame:
-    """Every line with its captured fields; all NULL for a line that is not a valid record."""
-    line = F.col(column)
-    group = lambda k: F.regexp_extract(line, ACCESS_LOG_PATTERN, k)
-    parts = lines.select(
-        line.alias("_line"),
-        F.when(line.rlike(ACCESS_LOG_PATTERN), F.struct(
-            group(1).alias("host"), group(2).alias("time"),
-            group(3).alias("r_path"), group(4).alias("bytes"),
-        )).alias("_f"),
-    )
-    return parts.select(
-        "_line", "_f.host", "_f.r_path",
-        log_time("_f.time").alias("date_time"),
-        F.col("_f.bytes").try_cast("bigint").alias("bytes"),
+    """Fields of lines; meaningful only where the line has the shape of a record.
+
+    The pattern allows no blank inside a field, so a record always has ten pieces between blanks.
+    Cutting there costs nothing next to capturing groups, which runs the pattern once per field.
+    """
+    cut = lines.select(F.col(column).alias("_line"), F.split(column, " ").alias("_p"))
+    piece = lambda i: F.get("_p", F.lit(i))
+    return cut.select(
+        "_line",
+        piece(0).alias("host"),
+        piece(9).try_cast("bigint").alias("bytes"),
+        log_time(F.substring(piece(3), 2, 20)).alias("date_time"),
+        F.length(piece(3)).alias("_stamp"),
+        piece(6).alias("r_path"),
     )
 
 
 def _valid():
-    return F.col("date_time").isNotNull() & F.col("bytes").isNotNull()
+    """A 20-character time stamp (after its bracket) that exists, and bytes that fit 64 bits."""
+    return (F.col("_stamp") == 21) & F.col("date_time").isNotNull() & F.col("bytes").isNotNull()
 
 
 def parse_access_log(lines: DataFrame, column: str = "value", ids: str = "uuid") -> DataFrame:
@@ -46,10 +47,8 @@ def parse_access_log(lines: DataFrame, column: str = "value", ids: str = "uuid")
 def log_quality(lines: DataFrame, column: str = "value") -> DataFrame:
     """One row: how many lines are valid records and how many are rejected."""
     rows = _fields(lines, column)
-    return rows.agg(
-        F.count_if(_valid()).alias("accepted"),
-        F.count_if(~_valid()).alias("rejected"),
-    )
+    good = F.coalesce(F.col("_line").rlike(ACCESS_LOG_PATTERN) & _valid(), F.lit(False))
+    return rows.agg(F.count_if(good).alias("accepted"), F.count_if(~good).alias("rejected"))
 
 
 def host_totals(requests: DataFrame, host: str = "host", amount: str = "bytes") -> DataFrame:

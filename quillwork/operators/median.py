@@ -2,61 +2,75 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillwork.operators.sizing import fits_broadcast
+from quillwork.functions.nulls import present
+from quillwork.operators.sizing import join_measured
 from quillwork.session import settle
 
+BUCKETS = 4096
+# Distinct (group, value) pairs that may be ranked directly; more are narrowed down first.
+RANK_LIMIT = 1_000_000
+
+
+def _running(keys: list[str], order: str) -> Column:
+    line = Window.partitionBy(*keys).orderBy(order)
+    return F.sum("_n").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
+def _holds(rank: str) -> Column:
+    return (F.col("_upto") >= F.col(rank)) & (F.col("_upto") - F.col("_n") < F.col(rank))
+
+
+def _narrowed(inside: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Groups with tighter bounds around the middle: at most ``BUCKETS`` counts per group."""
+    v, lo, hi = (F.col(c).cast("double") for c in ("_v", "_lo", "_hi"))
+    place = F.least(F.floor(F.try_divide((v - lo) * BUCKETS, hi - lo)), F.lit(BUCKETS - 1))
+    counts = (
+        inside.groupBy(*keys, "_below", "_first", "_last",
+                       F.coalesce(place, F.lit(0)).alias("_bucket"))
+        .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+        .withColumn("_upto", F.col("_below") + _running(keys, "_bucket"))
+    )
+    bounds = counts.filter(_holds("_first") | _holds("_last")).groupBy(*keys).agg(
+        F.min("_min").alias("_lo"), F.max("_max").alias("_hi"),
+        F.min(F.col("_upto") - F.col("_n")).alias("_below"),
+    )
+    return groups.drop("_lo", "_hi", "_below").join(bounds, keys)
+
 
 def summary_with_median(df: DataFrame, keys: list[str], value: str,
-                        accuracy: int = 10_000) -> DataFrame:
+                        rank_limit: int = RANK_LIMIT) -> DataFrame:
     """Per group: ``count`` and ``total`` of the values, and their exact ``median``.
 
-    The built-in exact percentile keeps all distinct values of a group in one task.  Here a quantile
-    sketch first brackets the median between two actual values (its rank error is at most
-    ``rows / accuracy``; the bracket is four times wider on each side).  A second pass counts the
-    rows below the bracket and tallies equal values inside it, about 0.1 % of the rows, and the
-    middle ranks are read off those tallies.  ``keys`` are meant to be few; groups with a handful
-    of rows get a bracket that spans them all.  A bracket that missed would raise, never mislead.
+    The built-in exact percentile keeps all distinct values of a group in one task.  Here equal
+    values are tallied in one pass over ``df`` and the tallies settled.  While more of them remain
+    than may be ranked, each group is cut into buckets and narrowed to those holding its middle
+    ranks; then the middle values are read off running counts.  Rows without key or value are left
+    out.
     """
-    margin = 4.0 / accuracy
-    rows = df.dropna(subset=[value]).select(*keys, value)
-    bracket = F.percentile_approx(value, [0.5 - margin, 0.5 + margin], accuracy)
-    groups = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("count"), F.sum(value).alias("total"), bracket.alias("_b"))
-        .select(*keys, "count", "total",
-                F.element_at("_b", 1).alias("_lo"), F.element_at("_b", 2).alias("_hi"))
-    )
-    groups = settle(groups)
-    if fits_broadcast(groups):
-        groups = F.broadcast(groups)
-    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys]
-    v = F.col(f"r.{value}")
-    tallies = (
-        rows.alias("r").join(groups.alias("g"), same)
-        .filter(v <= F.col("g._hi"))
-        .groupBy(*[F.col(f"g.{k}").alias(k) for k in keys], F.col("g.count").alias("count"),
-                 F.col("g.total").alias("total"),
-                 F.when(v >= F.col("g._lo"), v).alias("_v"))
+    tally = settle(
+        df.filter(present(*keys, value)).groupBy(*keys, F.col(value).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    upto = F.sum("_n").over(
-        Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    first = F.floor((F.col("count") + 1) / 2)
-    last = F.floor((F.col("count") + 2) / 2)
-    holds = lambda rank: F.when(
-        (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank),
-        F.coalesce(F.col("_v").cast("double"),
-                   F.raise_error(F.lit("median fell outside its bracket")).cast("double")),
-    )
-    middle = (F.max("_first") + F.max("_last")) / 2
-    missed = F.raise_error(F.lit("median fell outside its bracket")).cast("double")
-    return (
-        tallies.withColumn("_upto", upto)
-        .withColumn("_first", holds(first)).withColumn("_last", holds(last))
-        .groupBy(*keys, "count", "total").agg(F.coalesce(middle, missed).alias("median"))
+    groups = settle(
+        tally.groupBy(*keys).agg(
+            F.sum("_n").alias("count"), F.sum(F.col("_v") * F.col("_n")).alias("total"),
+            F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
+        )
+        .withColumn("_below", F.lit(0).cast("bigint"))
+        .withColumn("_first", F.floor((F.col("count") + 1) / 2))
+        .withColumn("_last", F.floor((F.col("count") + 2) / 2))
     )
+    left = None
+    while True:
+        inside = join_measured(tally, groups, keys).filter("_v between _lo and _hi")
+        before, left = left, inside.count()
+        if left <= rank_limit or left == before:
+            break
+        groups = settle(_narrowed(inside, groups, keys))
+    ranked = inside.withColumn("_upto", F.col("_below") + _running(keys, "_v"))
+    middle = F.max(F.when(_holds("_first"), F.col("_v"))).cast("double")
+    middle = middle + F.max(F.when(_holds("_last"), F.col("_v"))).cast("double")
+    return ranked.groupBy(*keys, "count", "total").agg((middle / 2).alias("median"))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillwork.functions.nulls import present
 from quillwork.schemas import DECLARED_KEYS
 
 
@@ -20,7 +21,7 @@ def orphans(child: DataFrame, foreign: str, parent: DataFrame, key: str) -> Data
 
     Values are counted before the join, so a value held by a third of the rows is one row there.
     """
-    used = child.dropna(subset=[foreign]).groupBy(foreign).agg(F.count(F.lit(1)).alias("rows"))
+    used = child.filter(present(foreign)).groupBy(foreign).agg(F.count(F.lit(1)).alias("rows"))
     return used.join(parent.select(F.col(key).alias(foreign)), foreign, "left_anti")
 
 

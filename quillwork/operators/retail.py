@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillwork.functions.calendar import is_weekend
+from quillwork.functions.nulls import present
 
 
 def store_comparison(sales: DataFrame, first: str = "Burnaby", second: str = "Vancouver",
@@ -23,7 +24,7 @@ def store_comparison(sales: DataFrame, first: str = "Burnaby", second: str = "Va
             F.sum(F.when(store == first, amount)).alias(left),
             F.sum(F.when(store == second, amount)).alias(right),
         )
-        .dropna(subset=["date", left, right])
+        .filter(present("date", left, right))
     )
 
 

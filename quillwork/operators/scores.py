@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillwork.operators.sizing import fits_broadcast, hot_keys, join_salted
+from quillwork.operators.sizing import hot_keys, is_small, join_salted, measure
 from quillwork.session import settle
 
 
@@ -43,7 +43,7 @@ def relative_score(df: DataFrame, key: str = "subreddit", score: str = "score",
         facts.groupBy(key).agg(F.avg(score).alias("_mean"), counts).filter("_mean > 0")
     )
     lookup = means.select(key, "_mean")
-    if strategy == "broadcast" and fits_broadcast(lookup):
+    if strategy == "broadcast" and is_small(measure(lookup)):
         joined = facts.join(F.broadcast(lookup), key)
     else:
         joined = join_salted(facts, lookup, [key], hot_keys(means, [key], "_rows"))

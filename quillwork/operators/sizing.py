@@ -11,23 +11,29 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 32
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                   max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Measure a settled table: do its rows and their text size stay inside the bounds?"""
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows and approximate bytes of a settled table."""
     width = sum(
         (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns),
         F.lit(ROW_OVERHEAD_BYTES),
     )
     rows, size = df.agg(F.count(F.lit(1)), F.sum(width.cast("long"))).first()
-    return rows <= max_rows and (size or 0) <= max_bytes
+    return rows, size or 0
 
 
-def join_measured(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+def is_small(size: tuple[int, int]) -> bool:
+    """Does a measured size stay inside the broadcast bounds?"""
+    return size[0] <= MAX_BROADCAST_ROWS and size[1] <= MAX_BROADCAST_BYTES
+
+
+def join_measured(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner",
+                  size: tuple[int, int] | None = None) -> DataFrame:
     """Join to a settled lookup: broadcast when it fits, otherwise leave it to the optimizer.
 
     The fallback is an ordinary shuffle join, whose oversized partitions adaptive execution splits.
     """
-    return facts.join(F.broadcast(lookup) if fits_broadcast(lookup) else lookup, on, how)
+    small = is_small(size or measure(lookup))
+    return facts.join(F.broadcast(lookup) if small else lookup, on, how)
 
 
 def hot_keys(counts: DataFrame, on: list[str], rows: str, share: float = 0.01) -> DataFrame:

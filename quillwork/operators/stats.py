@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillwork.functions.nulls import present
+
 
 def moments(df: DataFrame, x: str, y: str) -> DataFrame:
     """One row: n, sum_x, sum_y, sum_xx, sum_yy, sum_xy over rows with both values."""
     a, b = F.col(x), F.col(y)
-    return df.dropna(subset=[x, y]).agg(
+    return df.filter(present(x, y)).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(a).alias("sum_x"),
         F.sum(b).alias("sum_y"),
@@ -33,7 +35,7 @@ def with_correlation(sums: DataFrame) -> DataFrame:
 def correlation(df: DataFrame, x: str, y: str) -> DataFrame:
     """One row: n, r, r2, from running central moments (no cancellation of large sums)."""
     r = F.corr(F.col(x).cast("double"), F.col(y).cast("double"))
-    return df.dropna(subset=[x, y]).agg(
+    return df.filter(present(x, y)).agg(
         F.count(F.lit(1)).alias("n"), r.alias("r"), (r * r).alias("r2")
     )
 
@@ -57,7 +59,7 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """One row: n, rmse, r2 of predictions, in a single aggregate."""
     y = F.col(label).cast("double")
     error = y - F.col(prediction).cast("double")
-    return df.dropna(subset=[label, prediction]).agg(
+    return df.filter(present(label, prediction)).agg(
         F.count(F.lit(1)).alias("n"),
         F.sqrt(F.avg(error * error)).alias("rmse"),
         (1 - F.try_divide(F.avg(error * error), F.var_pop(y))).alias("r2"),
@@ -67,6 +69,6 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
 def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """One row: n and the share of rows whose prediction equals the label."""
     hit = (F.col(label) == F.col(prediction)).cast("double")
-    return df.dropna(subset=[label, prediction]).agg(
+    return df.filter(present(label, prediction)).agg(
         F.count(F.lit(1)).alias("n"), F.avg(hit).alias("accuracy")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillwork.functions.fixed import FRONT_PAGE, SPECIAL_PREFIX
+from quillwork.functions.nulls import present
 from quillwork.operators.sizing import join_measured
 from quillwork.session import settle
 
@@ -27,7 +28,7 @@ def max_per_key(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 def _rated(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Rows that can win: those with a key and a value."""
-    return df.dropna(subset=[*keys, value])
+    return df.filter(present(*keys, value))
 
 
 def argmax_ties(df: DataFrame, keys: list[str], value: str) -> DataFrame:

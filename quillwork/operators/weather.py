@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillwork.functions.nulls import present
 from quillwork.operators.toplist import argmax_ties
 from quillwork.session import settle
 
@@ -29,7 +30,7 @@ def station_ranges(obs: DataFrame, low: str = "TMIN", high: str = "TMAX") -> Dat
     """
     tallied = (
         obs.filter(F.col("qflag").isNull() & F.col("observation").isin(low, high))
-        .dropna(subset=["date", "station", "value"])
+        .filter(present("date", "station", "value"))
         .groupBy("date", "station", "observation", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
