@@ -41,5 +41,4 @@ def log_time(text: Column | str) -> Column:
         F.substring(raw, 1, 2), F.lit(" "),
         F.substring(raw, 13, 8),
     )
-    shaped = raw.rlike(r"^\d{2}/[A-Z][a-z]{2}/\d{4}:\d{2}:\d{2}:\d{2}$")
-    return F.when(shaped, iso.try_cast("timestamp_ntz"))
+    return F.when(raw.like("__/___/____:__:__:__"), iso.try_cast("timestamp_ntz"))

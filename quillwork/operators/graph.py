@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillwork.functions.nulls import present
 from quillwork.functions.text import split_on_space
 from quillwork.operators.sizing import join_measured, measure
 from quillwork.session import settle
@@ -33,7 +34,8 @@ def shortest_paths(edges: DataFrame, source: str, max_hops: int = 6,
     the shared folder, so plans stay small and a lost executor costs one round at most.  Stops
     when ``destination`` or nothing new was found.
     """
-    links = settle(edges.select("src", "dst").dropna().distinct())
+    # Repeated edges stay: each round's map-side minimum absorbs them without a shuffle of their own.
+    links = settle(edges.select("src", "dst").filter(present("src", "dst")))
     kind = links.schema["dst"].dataType
     start = links.sparkSession.range(1).select(
         F.lit(source).cast(kind).alias("node"),
@@ -82,7 +84,7 @@ def route(paths: DataFrame, destination: str, max_hops: int = 6) -> DataFrame:
     )
     walked = [here]
     for _ in range(max_hops):
-        asked = F.broadcast(here.select(F.col("parent").alias("node")).dropna())
+        asked = F.broadcast(here.select(F.col("parent").alias("node")).filter(present("node")))
         here = settle(paths.join(asked, "node").select(
             F.col("distance").alias("step"), "node", "parent"
         ))

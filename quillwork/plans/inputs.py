@@ -102,12 +102,13 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year(ts).cast("string"), F.lit(":"), F.substring(ts.cast("string"), 12, 8),
     )
     size = F.when(F.col("event_type") == "error", "-").otherwise(cents("value").cast("string"))
-    return table(spark, sf_dir, "events").select(
-        F.format_string(
-            'user%d.example.com - - [%s -0400] "GET /%s/%d HTTP/1.0" 200 %s',
-            "user_id", stamp, "event_type", "event_id", size,
-        ).alias("value")
+    text = lambda c: F.col(c).cast("string")
+    line = F.concat(
+        F.lit("user"), text("user_id"), F.lit(".example.com - - ["), stamp,
+        F.lit(' -0400] "GET /'), F.col("event_type"), F.lit("/"), text("event_id"),
+        F.lit(' HTTP/1.0" 200 '), size,
     )
+    return table(spark, sf_dir, "events").select(line.alias("value"))
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
