@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillwork.functions.nulls import present
 from quillwork.functions.text import split_on_space
-from quillwork.operators.sizing import join_measured, measure
+from quillwork.operators.sizing import join_measured, settle_measured
 from quillwork.session import settle
 
 
@@ -47,14 +47,13 @@ def shortest_paths(edges: DataFrame, source: str, max_hops: int = 6,
     for hop in range(1, max_hops + 1):
         frontier = rounds[-1].select(F.col("node").alias("src"))
         reached = (
-            join_measured(links, frontier, ["src"], size=size)
+            join_measured(links, frontier, size, ["src"])
             .groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("parent"))
         )
         known = reduce(DataFrame.unionByName, rounds).select("node")
-        fresh = settle(
+        fresh, size = settle_measured(
             reached.join(known, "node", "left_anti").withColumn("distance", F.lit(hop))
         )
-        size = measure(fresh)
         if size[0] == 0:
             break
         rounds.append(fresh)

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillwork.functions.nulls import present
-from quillwork.operators.sizing import join_measured
+from quillwork.operators.sizing import join_measured, settle_measured
 from quillwork.session import settle
 
 BUCKETS = 4096
 # Distinct (group, value) pairs that may be ranked directly; more are narrowed down first.
-RANK_LIMIT = 1_000_000
+RANK_LIMIT = 50_000
 
 
 def _running(keys: list[str], order: str) -> Column:
@@ -30,14 +30,16 @@ def _narrowed(inside: DataFrame, groups: DataFrame, keys: list[str]) -> DataFram
     counts = (
         inside.groupBy(*keys, "_below", "_first", "_last",
                        F.coalesce(place, F.lit(0)).alias("_bucket"))
-        .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+        .agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_pairs"),
+             F.min("_v").alias("_min"), F.max("_v").alias("_max"))
         .withColumn("_upto", F.col("_below") + _running(keys, "_bucket"))
     )
     bounds = counts.filter(_holds("_first") | _holds("_last")).groupBy(*keys).agg(
         F.min("_min").alias("_lo"), F.max("_max").alias("_hi"),
         F.min(F.col("_upto") - F.col("_n")).alias("_below"),
+        F.sum("_pairs").alias("_pairs"),
     )
-    return groups.drop("_lo", "_hi", "_below").join(bounds, keys)
+    return groups.drop("_lo", "_hi", "_below", "_pairs").join(bounds, keys)
 
 
 def summary_with_median(df: DataFrame, keys: list[str], value: str,
@@ -54,22 +56,23 @@ def summary_with_median(df: DataFrame, keys: list[str], value: str,
         df.filter(present(*keys, value)).groupBy(*keys, F.col(value).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    groups = settle(
+    groups, size = settle_measured(
         tally.groupBy(*keys).agg(
             F.sum("_n").alias("count"), F.sum(F.col("_v") * F.col("_n")).alias("total"),
             F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
+            F.count(F.lit(1)).alias("_pairs"),
         )
         .withColumn("_below", F.lit(0).cast("bigint"))
         .withColumn("_first", F.floor((F.col("count") + 1) / 2))
         .withColumn("_last", F.floor((F.col("count") + 2) / 2))
     )
-    left = None
+    left, before = groups.agg(F.sum("_pairs")).first()[0] or 0, None
     while True:
-        inside = join_measured(tally, groups, keys).filter("_v between _lo and _hi")
-        before, left = left, inside.count()
+        inside = join_measured(tally, groups, size, keys).filter("_v between _lo and _hi")
         if left <= rank_limit or left == before:
             break
-        groups = settle(_narrowed(inside, groups, keys))
+        groups, size = settle_measured(_narrowed(inside, groups, keys))
+        left, before = groups.agg(F.sum("_pairs")).first()[0], left
     ranked = inside.withColumn("_upto", F.col("_below") + _running(keys, "_v"))
     middle = F.max(F.when(_holds("_first"), F.col("_v"))).cast("double")
     middle = middle + F.max(F.when(_holds("_last"), F.col("_v"))).cast("double")

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillwork.operators.sizing import hot_keys, is_small, join_salted, measure
-from quillwork.session import settle
+from quillwork.operators.sizing import hot_keys, is_small, join_salted, settle_measured
 
 
 def group_mean(df: DataFrame, key: str, value: str, out: str = "mean") -> DataFrame:
@@ -39,11 +38,11 @@ def relative_score(df: DataFrame, key: str = "subreddit", score: str = "score",
         raise ValueError(f"unknown strategy {strategy!r}")
     facts = df.select(key, score, author)
     counts = F.count(F.lit(1)).alias("_rows")
-    means = settle(
+    means, size = settle_measured(
         facts.groupBy(key).agg(F.avg(score).alias("_mean"), counts).filter("_mean > 0")
     )
     lookup = means.select(key, "_mean")
-    if strategy == "broadcast" and is_small(measure(lookup)):
+    if strategy == "broadcast" and is_small(size):
         joined = facts.join(F.broadcast(lookup), key)
     else:
         joined = join_salted(facts, lookup, [key], hot_keys(means, [key], "_rows"))

@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from quillwork.session import settle
+
 # A broadcast lookup may hold at most this much; beyond it the join is shuffled.
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 32
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """Rows and approximate bytes of a settled table."""
+def settle_measured(df: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """Settle a table and learn its rows and approximate bytes from the same job."""
     width = sum(
         (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns),
         F.lit(ROW_OVERHEAD_BYTES),
     )
-    rows, size = df.agg(F.count(F.lit(1)), F.sum(width.cast("long"))).first()
-    return rows, size or 0
+    seen = Observation()
+    table = settle(df.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.sum(width.cast("long")).alias("bytes")
+    ))
+    return table, (seen.get["rows"], seen.get["bytes"] or 0)
 
 
 def is_small(size: tuple[int, int]) -> bool:
@@ -26,14 +31,13 @@ def is_small(size: tuple[int, int]) -> bool:
     return size[0] <= MAX_BROADCAST_ROWS and size[1] <= MAX_BROADCAST_BYTES
 
 
-def join_measured(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner",
-                  size: tuple[int, int] | None = None) -> DataFrame:
-    """Join to a settled lookup: broadcast when it fits, otherwise leave it to the optimizer.
+def join_measured(facts: DataFrame, lookup: DataFrame, size: tuple[int, int],
+                  on: list[str], how: str = "inner") -> DataFrame:
+    """Join to a lookup of measured size: broadcast when small, otherwise left to the optimizer.
 
     The fallback is an ordinary shuffle join, whose oversized partitions adaptive execution splits.
     """
-    small = is_small(size or measure(lookup))
-    return facts.join(F.broadcast(lookup) if small else lookup, on, how)
+    return facts.join(F.broadcast(lookup) if is_small(size) else lookup, on, how)
 
 
 def hot_keys(counts: DataFrame, on: list[str], rows: str, share: float = 0.01) -> DataFrame:

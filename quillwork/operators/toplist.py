@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from quillwork.functions.fixed import FRONT_PAGE, SPECIAL_PREFIX
 from quillwork.functions.nulls import present
-from quillwork.operators.sizing import join_measured
-from quillwork.session import settle
+from quillwork.operators.sizing import join_measured, settle_measured
 
 
 def content_pages(views: DataFrame, language: str = "en") -> DataFrame:
@@ -38,7 +37,8 @@ def argmax_ties(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     before the shuffle and the rows then meet them in a broadcast join (shuffled if too many).
     """
     rows = _rated(df, keys, value)
-    return join_measured(rows, settle(max_per_key(rows, keys, value)), [*keys, value])
+    best, size = settle_measured(max_per_key(rows, keys, value))
+    return join_measured(rows, best, size, [*keys, value])
 
 
 def argmax_ties_window(df: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from quillwork.functions.calendar import hour_bucket
 from quillwork.functions.fixed import MONTH_NAMES
 from quillwork.operators.colourspace import nearest_word
+from quillwork.schemas import TEST_TABLES
 from quillwork.streaming.regression import encode_point
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TEST_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cents(amount: str) -> Column:
@@ -120,9 +121,9 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def point_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events read as a stream of binary ``"x y"`` messages."""
-    schema = table(spark, sf_dir, "events").schema
     events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        spark.readStream.schema(TEST_TABLES["events"])
+        .option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )
     return events.select(encode_point(F.col("event_id"), F.col("value")).alias("value"))
 

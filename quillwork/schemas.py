@@ -79,3 +79,35 @@ DECLARED_KEYS = {
     },
 }
 COLOURS_REQUIRED = ["R", "G", "B", "word", "confidence"]
+
+# The test tables.
+TEST_TABLES = {
+    "region": _struct(r_regionkey=INT, r_name=STRING),
+    "nation": _struct(n_nationkey=INT, n_name=STRING, n_regionkey=INT),
+    "customer": _struct(
+        c_custkey=LONG, c_name=STRING, c_nationkey=INT, c_acctbal=DOUBLE, c_mktsegment=STRING
+    ),
+    "supplier": _struct(s_suppkey=LONG, s_name=STRING, s_nationkey=INT, s_acctbal=DOUBLE),
+    "part": _struct(
+        p_partkey=LONG, p_name=STRING, p_brand=STRING, p_type=STRING, p_size=INT,
+        p_retailprice=DOUBLE,
+    ),
+    "orders": _struct(
+        o_orderkey=LONG, o_custkey=LONG, o_orderstatus=STRING, o_totalprice=DOUBLE,
+        o_orderdate=LOCAL_TIME, o_orderpriority=STRING,
+    ),
+    "lineitem": _struct(
+        l_orderkey=LONG, l_partkey=LONG, l_suppkey=LONG, l_linenumber=INT, l_quantity=DOUBLE,
+        l_extendedprice=DOUBLE, l_discount=DOUBLE, l_tax=DOUBLE, l_returnflag=STRING,
+        l_linestatus=STRING, l_shipdate=LOCAL_TIME,
+    ),
+    "events": _struct(
+        event_id=LONG, ts=LOCAL_TIME, user_id=LONG, event_type=STRING, value=DOUBLE, props=STRING
+    ),
+    "documents": _struct(doc_id=LONG, text=STRING, lang=STRING, source=STRING, n_chars=LONG),
+    "embeddings": _struct(vec_id=LONG, embedding=T.ArrayType(FLOAT), label=INT),
+    "pages": _struct(page_id=LONG, url=STRING, html=STRING),
+    "benchmark": _struct(item_id=LONG, text=STRING),
+    "labels": _struct(doc_id=LONG, quality=INT, toxic=INT),
+    "conversations": _struct(conv_id=LONG, turn=LONG, role=STRING, text=STRING),
+}
