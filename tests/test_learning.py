@@ -1,0 +1,63 @@
+import datetime as dt
+import math
+
+import pytest
+from pyspark.ml import PipelineModel
+
+from quillwork.operators import colourspace, learning, weather
+
+
+@pytest.fixture(scope="module")
+def series(spark):
+    start = dt.date(2020, 1, 1)
+    rows = [
+        (s, start + dt.timedelta(days=d), 40.0 + s, -120.0 + s, 10.0 * s,
+         10 + 10 * math.sin(d / 58) + s)
+        for s in range(8) for d in range(60)
+    ]
+    df = spark.createDataFrame(rows, "station int, date date, latitude double, longitude double, "
+                                     "elevation double, tmax double")
+    return weather.previous_day(df, ["station"], "date", "tmax", "yesterday_tmax")
+
+
+def test_temperature_model_saves_and_scores(spark, series, tmp_path):
+    train, validation = learning.hash_split(series, "station", 70)
+    assert train.count() + validation.count() == series.count() == 8 * 59
+    model = learning.temperature_model(True, max_iter=4).fit(train)
+    path = str(tmp_path / "model")
+    model.write().overwrite().save(path)
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    parts = {"train": train, "validation": validation}
+    a = learning.score_regression(model, parts, "m").collect()
+    assert a == learning.score_regression(loaded, parts, "m").collect()
+    assert all(math.isfinite(r.rmse) for r in a) and a[0].r2 > 0.8
+    weights = {r.feature: r.importance for r in learning.feature_importances(loaded, train).collect()}
+    assert set(weights) == {"day_of_yr", "latitude", "longitude", "elevation", "yesterday_tmax"}
+    assert sum(weights.values()) == pytest.approx(1.0)
+
+
+def test_colour_model_learns_the_palette(spark):
+    rows = [(r, g, b) for r in range(0, 256, 51) for g in range(0, 256, 51) for b in range(0, 256, 51)]
+    data = colourspace.nearest_word(spark.createDataFrame(rows, "R int, G int, B int"))
+    data = colourspace.rgb_to_lab(data)
+    model = learning.colour_model(("labL", "labA", "labB"), max_iter=60).fit(data)
+    scored = model.transform(data)
+    assert learning.score_words(model, data, "lab").first().accuracy > 0.5
+    named = learning.with_predicted_word(model, scored, "predicted")
+    assert {r.predicted for r in named.select("predicted").distinct().collect()} <= {
+        r.word for r in data.select("word").distinct().collect()
+    }
+    assert len(learning.probabilities(scored).first().probability) == 11
+
+
+def test_label_index_orders_by_frequency_then_name(spark):
+    df = spark.createDataFrame([(w,) for w in "b b a c a d".split()], "w string")
+    assert sorted(map(tuple, learning.label_index(df, "w").collect())) == [
+        (0.0, "a"), (1.0, "b"), (2.0, "c"), (3.0, "d")
+    ]
+
+
+def test_hash_split_handles_negative_keys(spark):
+    a, b = learning.hash_split(spark.range(-500, 500), "id")
+    assert a.count() + b.count() == 1000 and a.count() > 600
