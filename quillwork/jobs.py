@@ -118,12 +118,15 @@ def temperature_range(spark: SparkSession, source: str, target: str, form: str =
     writers.csv(rows.orderBy("date", "station"), target)
 
 
+def _report_correlation(requests: DataFrame) -> None:
+    sums = logs.host_moments(requests)
+    _report(sums.withColumns({c: F.round(c, 6) for c in ("r", "r2")}))
+
+
 @job
 def correlate_logs(spark: SparkSession, source: str) -> None:
     """Moments, r and r2 of requests against bytes over hosts."""
-    rows = logs.parse_access_log(readers.text_lines(spark, source))
-    sums = logs.host_moments(rows)
-    _report(sums.withColumns({c: F.round(c, 6) for c in ("r", "r2")}))
+    _report_correlation(logs.parse_access_log(readers.text_lines(spark, source)))
 
 
 @job
@@ -136,7 +139,7 @@ def load_logs(spark: SparkSession, source: str, fmt: str, *options: str) -> None
 @job
 def correlate_table(spark: SparkSession, fmt: str, *options: str) -> None:
     """The correlation of ``correlate-logs`` over an already loaded table."""
-    _report(logs.host_moments(readers.table(spark, fmt, **dict(o.split("=", 1) for o in options))))
+    _report_correlation(readers.table(spark, fmt, **dict(o.split("=", 1) for o in options)))
 
 
 @job

@@ -101,7 +101,9 @@ def nearest_word(df: DataFrame, r: str = "R", g: str = "G", b: str = "B",
 def with_palette(df: DataFrame, word: str = "word",
                  out: tuple[str, str, str] = ("showR", "showG", "showB")) -> DataFrame:
     """Add the representative colour of a word; unknown words get NULL."""
-    colours = palette(df.sparkSession).select(
-        F.col("word").alias(word), *[F.col(c).alias(o) for c, o in zip("RGB", out)]
-    )
-    return df.join(F.broadcast(colours), word, "left")
+    pairs = [
+        cell for name, *rgb in PALETTE
+        for cell in (F.lit(name), F.array(*[F.lit(channel) for channel in rgb]))
+    ]
+    shown = F.try_element_at(F.create_map(*pairs), F.col(word))
+    return df.withColumns({name: F.get(shown, F.lit(i)) for i, name in enumerate(out)})
