@@ -1,7 +1,5 @@
 """Monte Carlo estimate of e: the mean number of uniform draws until their sum reaches one."""
 
-from __future__ import annotations
-
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,36 +14,34 @@ MIX_1 = 0xBF58476D1CE4E5B9
 MIX_2 = 0x94D049BB133111EB
 
 
-def _uniform(state: np.ndarray) -> np.ndarray:
-    z = state.copy()
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(MIX_1)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(MIX_2)
-    z = z ^ (z >> np.uint64(31))
-    return (z >> np.uint64(11)) * (1.0 / (1 << 53))
-
-
-@F.pandas_udf(T.LongType())
-def _count_draws(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for trial in batches:
-        # Each trial owns a generator seeded by its number: results do not depend on partitioning.
-        state = _scramble(trial.to_numpy(dtype="int64").view("uint64"))
-        total, draws = np.zeros(len(state)), np.zeros(len(state), dtype="int64")
-        active = np.arange(len(state))
-        while active.size:
-            state[active] += np.uint64(STEP)
-            total[active] += _uniform(state[active])
-            draws[active] += 1
-            active = active[total[active] < 1.0]
-        yield pd.Series(draws)
+def _draw_counter():
+    """The vectorised trial function; nested so that workers need not have this package."""
 
+    def count_draws(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for trial in batches:
+            # Each trial owns a generator seeded by its number: partitioning does not matter.
+            state = trial.to_numpy(dtype="int64").view("uint64") * np.uint64(MIX_2)
+            state = state + np.uint64(MIX_1)
+            total, draws = np.zeros(len(state)), np.zeros(len(state), dtype="int64")
+            active = np.arange(len(state))
+            while active.size:
+                state[active] += np.uint64(STEP)
+                z = state[active]
+                z = (z ^ (z >> np.uint64(30))) * np.uint64(MIX_1)
+                z = (z ^ (z >> np.uint64(27))) * np.uint64(MIX_2)
+                z = z ^ (z >> np.uint64(31))
+                total[active] += (z >> np.uint64(11)) * (1.0 / (1 << 53))
+                draws[active] += 1
+                active = active[total[active] < 1.0]
+            yield pd.Series(draws)
 
-def _scramble(trial: np.ndarray) -> np.ndarray:
-    return trial * np.uint64(MIX_2) + np.uint64(MIX_1)
+    return count_draws
 
 
 def draws_per_trial(trials: DataFrame, trial: str) -> DataFrame:
     """Draws needed by each trial; ``trial`` is a bigint that numbers the trials."""
-    return trials.select(trial, _count_draws(F.col(trial).cast("bigint")).alias("draws"))
+    count = F.pandas_udf(_draw_counter(), T.LongType())
+    return trials.select(trial, count(F.col(trial).cast("bigint")).alias("draws"))
 
 
 def estimate_e(trials: DataFrame, trial: str) -> DataFrame:
