@@ -60,9 +60,8 @@ def companded(channel: Column) -> Column:
 def hue(red: Column, green: Column, blue: Column, top: Column, spread: Column) -> Column:
     """Hue on the 0-1 circle; grey has hue 0.  ``top`` is the largest channel."""
     sixths = (
-        F.when((red > green) & (red > blue), (green - blue) / spread)
-        .when(green > blue, (blue - red) / spread + 2.0)
+        F.when(red == top, (green - blue) / spread)
+        .when(green == top, (blue - red) / spread + 2.0)
         .otherwise((red - green) / spread + 4.0)
     )
-    turn = F.when(spread == 0, F.lit(0.0)).otherwise(sixths / 6.0)
-    return F.when(turn < 0, turn + 1.0).otherwise(turn)
+    return F.when(spread == 0, F.lit(0.0)).otherwise(F.pmod(sixths, F.lit(6.0)) / 6.0)

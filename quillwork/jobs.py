@@ -207,19 +207,15 @@ def weather_tomorrow(spark: SparkSession, model_path: str, station: str, date: s
 @job
 def colour_words(spark: SparkSession, source: str, target: str) -> None:
     """Colour-word models over RGB and LAB: accuracy, and predictions over a plane of colours."""
-    data = settle(colourspace.rgb_to_lab(readers.colours(spark, source)))
-    side = data.withColumn("_side", F.xxhash64("R", "G", "B"))
-    train, validation = learning.hash_split(side, "_side")
-    grid = colourspace.rgb_to_lab(colourspace.lab_grid(spark).drop("labL", "labA", "labB"))
-    for name, inputs in (("rgb", ("R", "G", "B")), ("lab", ("labL", "labA", "labB"))):
-        model = learning.colour_model(inputs).fit(train)
-        _report(learning.score_words(model, validation, name))
-        scored = model.transform(grid.withColumn("word", F.lit("black")))
-        named = learning.with_predicted_word(model, scored, "predicted")
-        shown = colourspace.with_palette(
-            named.select("R", "G", "B", "predicted"), "predicted"
-        )
-        writers.csv(shown, f"{target}/{name}")
+    data = settle(readers.colours(spark, source).withColumn("_side", F.xxhash64("R", "G", "B")))
+    train, validation = learning.hash_split(data, "_side")
+    grid = colourspace.lab_grid(spark).select("R", "G", "B", F.lit("black").alias("word"))
+    for space in ("RGB", "LAB"):
+        model = learning.colour_model(space).fit(train)
+        _report(learning.score_words(model, validation, space))
+        named = learning.with_predicted_word(model, model.transform(grid), "predicted")
+        shown = colourspace.with_palette(named.select("R", "G", "B", "predicted"), "predicted")
+        writers.csv(shown, f"{target}/{space}")
 
 
 @job

@@ -6,7 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwork.functions import colour as C
-from quillwork.functions.fixed import PALETTE, RGB_TO_XYZ, WHITE_XYZ
+from quillwork.functions.fixed import (
+    LAB_CUT,
+    LAB_SLOPE,
+    PALETTE,
+    RGB_TO_XYZ,
+    SRGB_CUT,
+    SRGB_GAMMA,
+    SRGB_OFFSET,
+    SRGB_SCALE,
+    SRGB_SLOPE,
+    WHITE_XYZ,
+)
 
 
 def rgb_to_lab(df: DataFrame, r: str = "R", g: str = "G", b: str = "B", input_bytes: bool = True,
@@ -43,6 +54,57 @@ def rgb_to_hsv(df: DataFrame, r: str = "R", g: str = "G", b: str = "B", input_by
     )
 
 
+def _unit_sql(column: str, input_bytes: bool) -> str:
+    return f"CAST({column} AS DOUBLE) / 255D" if input_bytes else f"CAST({column} AS DOUBLE)"
+
+
+def rgb_to_lab_sql(view: str = "__THIS__", keep: list[str] | None = None, input_bytes: bool = True,
+                   r: str = "R", g: str = "G", b: str = "B",
+                   out: tuple[str, str, str] = ("labL", "labA", "labB")) -> str:
+    """The LAB conversion as a SQL statement, e.g. for an ``SQLTransformer`` inside a model.
+
+    Each select item may use the ones before it, so every step is written once.
+    """
+    steps = []
+    for name, column in zip("rgb", (r, g, b)):
+        steps.append(f"{_unit_sql(column, input_bytes)} AS _u{name}")
+        steps.append(
+            f"CASE WHEN _u{name} > {SRGB_CUT}D THEN power((_u{name} + {SRGB_OFFSET}D) / "
+            f"{SRGB_SCALE}D, {SRGB_GAMMA}D) ELSE _u{name} / {SRGB_SLOPE}D END AS _l{name}"
+        )
+    for name, row, white in zip("xyz", RGB_TO_XYZ, WHITE_XYZ):
+        weighted = " + ".join(f"_l{c} * {w}D" for c, w in zip("rgb", row))
+        steps.append(f"({weighted}) / {white}D AS _{name}")
+        steps.append(
+            f"CASE WHEN _{name} > {LAB_CUT}D THEN power(_{name}, 1D / 3D) "
+            f"ELSE _{name} * {LAB_SLOPE}D + 16D / 116D END AS _f{name}"
+        )
+    steps.append(f"_fy * 116D - 16D AS {out[0]}")
+    steps.append(f"(_fx - _fy) * 500D AS {out[1]}")
+    steps.append(f"(_fy - _fz) * 200D AS {out[2]}")
+    columns = ", ".join([r, g, b, *(keep or []), *out])
+    return f"SELECT {columns} FROM (SELECT *, {', '.join(steps)} FROM {view})"
+
+
+def rgb_to_hsv_sql(view: str = "__THIS__", keep: list[str] | None = None, input_bytes: bool = True,
+                   r: str = "R", g: str = "G", b: str = "B",
+                   out: tuple[str, str, str] = ("H", "S", "V")) -> str:
+    """The HSV conversion as a SQL statement."""
+    steps = [f"{_unit_sql(c, input_bytes)} AS _u{n}" for n, c in zip("rgb", (r, g, b))]
+    steps += [
+        "greatest(_ur, _ug, _ub) AS _top",
+        "_top - least(_ur, _ug, _ub) AS _spread",
+        "CASE WHEN _spread = 0 THEN 0D WHEN _ur = _top THEN (_ug - _ub) / _spread "
+        "WHEN _ug = _top THEN (_ub - _ur) / _spread + 2D ELSE (_ur - _ug) / _spread + 4D END "
+        "AS _sixths",
+        f"pmod(_sixths, 6D) / 6D AS {out[0]}",
+        f"CASE WHEN _spread = 0 THEN 0D ELSE _spread / _top END AS {out[1]}",
+        f"_top AS {out[2]}",
+    ]
+    columns = ", ".join([r, g, b, *(keep or []), *out])
+    return f"SELECT {columns} FROM (SELECT *, {', '.join(steps)} FROM {view})"
+
+
 def _inverse(matrix: list[list[float]]) -> list[list[float]]:
     import numpy as np
 

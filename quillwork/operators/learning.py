@@ -16,6 +16,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillwork.operators.colourspace import rgb_to_lab_sql
 from quillwork.operators.stats import accuracy, regression_metrics
 
 PLACE = ["latitude", "longitude", "elevation"]
@@ -52,12 +53,19 @@ def temperature_model(with_yesterday: bool = True, max_depth: int = 5, max_iter:
     ])
 
 
-def colour_model(inputs: tuple[str, ...] = ("R", "G", "B"), words: int = 11, hidden: int = 10,
-                 max_iter: int = 900, seed: int = 7, before: list | None = None) -> Pipeline:
-    """A multilayer perceptron from three colour channels to a word."""
+def colour_model(space: str = "RGB", words: int = 11, hidden: int = 10, max_iter: int = 900,
+                 seed: int = 7) -> Pipeline:
+    """A multilayer perceptron from R, G, B columns to a word, working in ``RGB`` or ``LAB``.
+
+    For LAB the conversion is a stage of the model, so it is always applied to plain RGB tables.
+    """
+    if space not in ("RGB", "LAB"):
+        raise ValueError(f"unknown colour space {space!r}")
+    inputs = ["R", "G", "B"] if space == "RGB" else ["labL", "labA", "labB"]
+    convert = [SQLTransformer(statement=rgb_to_lab_sql(keep=["word"]))] if space == "LAB" else []
     return Pipeline(stages=[
-        *(before or []),
-        VectorAssembler(inputCols=list(inputs), outputCol="features", handleInvalid="keep"),
+        *convert,
+        VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"),
         StringIndexer(inputCol="word", outputCol="label", handleInvalid="keep"),
         MultilayerPerceptronClassifier(layers=[len(inputs), hidden, words], maxIter=max_iter,
                                        seed=seed),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -370,6 +371,22 @@ def rgb_to_hsv(spark, sf_dir):
     return rounded(colourspace.rgb_to_hsv(I.colours(spark, sf_dir)), 6, "H", "S", "V")
 
 
+def _by_statement(spark, sf_dir, statement, *out):
+    colours = I.colours(spark, sf_dir)
+    converted = SQLTransformer(statement=statement(keep=["p_partkey", "word"])).transform(colours)
+    return rounded(converted, 6, *out)
+
+
+@query
+def rgb_to_lab_sql(spark, sf_dir):
+    return _by_statement(spark, sf_dir, colourspace.rgb_to_lab_sql, "labL", "labA", "labB")
+
+
+@query
+def rgb_to_hsv_sql(spark, sf_dir):
+    return _by_statement(spark, sf_dir, colourspace.rgb_to_hsv_sql, "H", "S", "V")
+
+
 @query
 def lab_to_rgb(spark, sf_dir):
     return rounded(colourspace.lab_to_rgb(I.lab_points(spark, sf_dir)), 4, "R", "G", "B")
@@ -447,11 +464,10 @@ def feature_importance(spark, sf_dir):
 
 
 def _colour_models(spark: SparkSession, sf_dir: str):
-    data = settle(colourspace.rgb_to_lab(I.colours(spark, sf_dir)))
-    train, validation = learning.hash_split(data, "p_partkey")
+    train, validation = learning.hash_split(settle(I.colours(spark, sf_dir)), "p_partkey")
     models = {
-        "rgb": learning.colour_model(("R", "G", "B"), max_iter=100),
-        "lab": learning.colour_model(("labL", "labA", "labB"), max_iter=100),
+        "rgb": learning.colour_model("RGB", max_iter=100),
+        "lab": learning.colour_model("LAB", max_iter=100),
     }
     return {name: m.fit(train) for name, m in models.items()}, validation
 

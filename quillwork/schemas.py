@@ -41,6 +41,14 @@ AMENITIES = _struct(
     amenid=STRING, lat=DOUBLE, lon=DOUBLE, ts=LOCAL_TIME, amenity=STRING, amname=STRING,
     tags=T.MapType(STRING, STRING),
 )
+
+
+def amenities_with_tags(names: list[str]) -> T.StructType:
+    """Amenities whose tags are a declared struct of text fields instead of an open map."""
+    tags = _struct(**dict.fromkeys(names, STRING))
+    return T.StructType([*AMENITIES.fields[:-1], T.StructField("tags", tags)])
+
+
 CUSTOMERS = _struct(
     custid=STRING, custname=STRING, street=STRING, city=STRING, province=STRING, postalcode=STRING
 )

@@ -115,7 +115,7 @@ def test_colours(run, tmp_path, capsys, monkeypatch):
     from quillwork.operators import colourspace, learning
 
     real, grid = learning.colour_model, colourspace.lab_grid
-    monkeypatch.setattr(learning, "colour_model", lambda inputs: real(inputs, max_iter=5))
+    monkeypatch.setattr(learning, "colour_model", lambda space: real(space, max_iter=5))
     monkeypatch.setattr(colourspace, "lab_grid", lambda s: grid(s, resolution=4))
     rng = random.Random(1)
     from quillwork.functions.fixed import PALETTE
@@ -125,4 +125,4 @@ def test_colours(run, tmp_path, capsys, monkeypatch):
     ]
     (tmp_path / "in.csv").write_text("\n".join(rows))
     run("colour-words", tmp_path / "in.csv", tmp_path / "out")
-    assert len(read_all(tmp_path / "out" / "rgb")) == len(read_all(tmp_path / "out" / "lab")) == 16
+    assert len(read_all(tmp_path / "out" / "RGB")) == len(read_all(tmp_path / "out" / "LAB")) == 16

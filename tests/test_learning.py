@@ -40,8 +40,7 @@ def test_temperature_model_saves_and_scores(spark, series, tmp_path):
 def test_colour_model_learns_the_palette(spark):
     rows = [(r, g, b) for r in range(0, 256, 51) for g in range(0, 256, 51) for b in range(0, 256, 51)]
     data = colourspace.nearest_word(spark.createDataFrame(rows, "R int, G int, B int"))
-    data = colourspace.rgb_to_lab(data)
-    model = learning.colour_model(("labL", "labA", "labB"), max_iter=60).fit(data)
+    model = learning.colour_model("LAB", max_iter=60).fit(data)
     scored = model.transform(data)
     assert learning.score_words(model, data, "lab").first().accuracy > 0.5
     named = learning.with_predicted_word(model, scored, "predicted")

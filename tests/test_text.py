@@ -46,5 +46,5 @@ def test_lines_are_formatted(lines):
 def test_spread_only_when_few_splits(spark):
     few = spark.range(0, 100, 1, 1)
     assert spread_few_splits(few).rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, 1, 9)
+    many = spark.range(0, 100, 1, 3)
     assert spread_few_splits(many) is many

@@ -4,7 +4,9 @@ from decimal import Decimal
 
 import pytest
 
+from quillwork import schemas
 from quillwork.operators import median, warehouse
+from quillwork.sources import readers
 
 
 def test_median_matches_python(spark):
@@ -88,3 +90,12 @@ def test_tagged_amenities(star, form):
     out = warehouse.average_at_tagged(star["purchases"], amenities, area)
     assert sorted(map(tuple, out.collect())) == [(0, 9.0), (1, 30.0)]
     assert warehouse.amenities_with_tag(amenities, "missing", "%x%", "cafe").count() == 0
+
+
+def test_declared_tag_struct(spark, tmp_path):
+    (tmp_path / "a.json").write_text(
+        '{"amenid": "a1", "amenity": "cafe", "tags": {"cuisine": "Sushi", "unlisted": "x"}}\n{broken\n')
+    schema = schemas.amenities_with_tags(["brand", "cuisine"])
+    amenities = readers.json_lines(spark, str(tmp_path), schema, "DROPMALFORMED")
+    assert warehouse.amenities_with_tag(amenities, "cuisine", "%sushi%", "cafe").count() == 1
+    assert amenities.filter("tags.brand is null").count() == 1
