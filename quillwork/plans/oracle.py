@@ -265,10 +265,10 @@ HSV = f"""
 WITH {COLOURS},
 u AS (SELECT *, R / 255.0::DOUBLE AS r1, G / 255.0::DOUBLE AS g1, B / 255.0::DOUBLE AS b1 FROM col),
 d AS (SELECT *, greatest(r1, g1, b1) AS mx, greatest(r1, g1, b1) - least(r1, g1, b1) AS dl FROM u),
-h AS (SELECT *, CASE WHEN dl = 0 THEN 0 WHEN r1 = mx THEN (g1 - b1) / dl / 6
-                     WHEN g1 = mx THEN (b1 - r1) / dl / 6 + 1 / 3.0::DOUBLE
-                     ELSE (r1 - g1) / dl / 6 + 2 / 3.0::DOUBLE END AS hh FROM d)
-SELECT p_partkey, R, G, B, word, round(CASE WHEN hh < 0 THEN hh + 1 ELSE hh END, 6) AS H,
+h AS (SELECT *, CASE WHEN dl = 0 THEN 0 WHEN r1 = mx THEN (g1 - b1) / dl
+                     WHEN g1 = mx THEN (b1 - r1) / dl + 2
+                     ELSE (r1 - g1) / dl + 4 END AS hh FROM d)
+SELECT p_partkey, R, G, B, word, round((hh + CASE WHEN hh < 0 THEN 6 ELSE 0 END) / 6, 6) AS H,
        round(CASE WHEN dl = 0 THEN 0 ELSE dl / mx END, 6) AS S, round(mx, 6) AS V
 FROM h
 """
