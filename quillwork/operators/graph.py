@@ -72,20 +72,17 @@ def by_iteration(paths: DataFrame) -> DataFrame:
     return paths.withColumn("iter", F.explode(seen_in))
 
 
-def route(paths: DataFrame, destination: str, max_hops: int = 6) -> DataFrame:
+def route(paths: DataFrame, destination: str) -> DataFrame:
     """The nodes from the source to ``destination`` as ``(step, node)``, empty if not reached.
 
-    Walks back from one row, so each of the at most ``max_hops`` joins has a single row on one side.
+    Walks back from one row, so each join, one per hop, has a single row on one side.
     """
     kind = paths.schema["node"].dataType
-    here = paths.filter(F.col("node") == F.lit(destination).cast(kind)).select(
-        F.col("distance").alias("step"), "node", "parent"
-    )
-    walked = [here]
-    for _ in range(max_hops):
-        asked = F.broadcast(here.select(F.col("parent").alias("node")).filter(present("node")))
-        here = settle(paths.join(asked, "node").select(
-            F.col("distance").alias("step"), "node", "parent"
-        ))
+    steps = paths.select(F.col("distance").alias("step"), "node", "parent")
+    here = steps.filter(F.col("node") == F.lit(destination).cast(kind))
+    walked, end = [here], here.first()
+    for _ in range(end.step if end else 0):
+        asked = F.broadcast(here.select(F.col("parent").alias("node")))
+        here = settle(steps.join(asked, "node").select("step", "node", "parent"))
         walked.append(here)
     return reduce(DataFrame.unionByName, walked).select("step", "node")

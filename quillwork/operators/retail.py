@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillwork.functions.calendar import is_weekend
 from quillwork.functions.nulls import present
+from quillwork.operators.sizing import join_measured, settle_measured
 
 
 def store_comparison(sales: DataFrame, first: str = "Burnaby", second: str = "Vancouver",
@@ -29,8 +30,13 @@ def store_comparison(sales: DataFrame, first: str = "Burnaby", second: str = "Va
 
 
 def calendar_features(sales: DataFrame, holidays: DataFrame) -> DataFrame:
-    """Sales per staff member with holiday and weekend flags; all sales rows are kept."""
-    return sales.join(holidays, "date", "left").select(
+    """Sales per staff member with holiday and weekend flags; all sales rows are kept.
+
+    The holiday list is measured before it is broadcast: dates are few and sales would pile up on
+    the busy ones if they were shuffled.
+    """
+    listed, size = settle_measured(holidays.select("date", "holiday"))
+    return join_measured(sales, listed, size, ["date"], "left").select(
         "date", "store", "sales",
         F.try_divide("sales", "staff").alias("sales_per_staff"),
         F.col("holiday").isNotNull().alias("is_holiday"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillwork.operators.median import summary_with_median
+from quillwork.operators.sizing import join_measured, settle_measured
 
 
 def average_by_method(purchases: DataFrame, methods: DataFrame, customers: DataFrame,
@@ -30,12 +31,15 @@ def average_by_method(purchases: DataFrame, methods: DataFrame, customers: DataF
 def area_view(customers: DataFrame, prefixes: DataFrame) -> DataFrame:
     """Customers with a 0/1 flag: does the postal prefix belong to the area?
 
-    The prefix list is made distinct first, since repeated prefixes would multiply customers.
+    The prefix list is made distinct first, since repeated prefixes would multiply customers, and
+    measured, so that customers of one crowded prefix do not meet in one task.
     """
-    listed = prefixes.select(F.col("pcprefix").alias("_vp")).distinct()
-    prefix = F.substring("postalcode", 1, 3)
-    return customers.join(listed, prefix == F.col("_vp"), "left").select(
-        "custid", F.when(F.col("_vp").isNotNull(), 1).otherwise(0).alias("in_area")
+    listed, size = settle_measured(
+        prefixes.select(F.col("pcprefix").alias("_vp"), F.lit(1).alias("_in")).distinct()
+    )
+    placed = customers.withColumn("_vp", F.substring("postalcode", 1, 3))
+    return join_measured(placed, listed, size, ["_vp"], "left").select(
+        "custid", F.coalesce("_in", F.lit(0)).alias("in_area")
     )
 
 
