@@ -66,3 +66,29 @@ def test_group_mean_and_preview(spark):
 def test_unknown_strategy(spark):
     with pytest.raises(ValueError):
         scores.relative_score(comments(spark), strategy="guess")
+
+
+def test_shuffled_lookup_splits_a_hot_key(spark):
+    from quillwork.plans.inspect import plan_text
+    from quillwork.session import settle
+
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        facts = settle(spark.range(0, 90_000, 1, 6).selectExpr(
+            "if(id % 3 = 0, 0, id % 5000) as k", "uuid() as payload"))
+        lookup = settle(spark.range(5000).selectExpr("id as k", "id * 2 as v"))
+        out = sizing.join_measured(facts, lookup, (10**12, 10**12), ["k"])
+        assert len(out.collect()) == 90_000
+        assert "skew=true" in plan_text(out, "simple")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
