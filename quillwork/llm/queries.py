@@ -9,8 +9,9 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillwork.llm import bpe, packing
+from quillwork.llm import bpe, linededup, packing
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -25,6 +26,35 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         with_ids=False)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that ten documents or more have."""
+    kept = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "_lines.n_lines", "_lines.n_dropped",
+                       F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP3_SQL = """
+with lines as (
+    select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+           unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as place
+    from documents
+), keyed as (
+    select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as line_key
+    from lines
+), gone as (
+    select line_key from keyed where line_key <> ''
+    group by line_key having count(distinct doc_id) >= 10
+)
+select doc_id, count(*)::bigint as n_lines,
+       count(*) filter (where g.line_key is not null)::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by place)
+                       filter (where g.line_key is null), '')) as kept_sha256
+from keyed k left join gone g on k.line_key = g.line_key
+group by doc_id
+"""
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, as digests."""
     def rows(own, keys, texts):
@@ -44,7 +74,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_line_dedup": op3_line_dedup,
     "op10_bpe": op10_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_line_dedup": OP3_SQL,
+}
