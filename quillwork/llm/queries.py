@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillwork.llm import bpe, linededup, packing
+from quillwork.llm import bpe, linededup, packing, quality
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -55,6 +55,97 @@ group by doc_id
 """
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+OP9_SQL = r"""
+with base as (
+    select doc_id, lang, source, coalesce(text, '') as text,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                       lambda w: w <> '') as words,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: trim(
+               l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '') as lines
+    from documents
+), windows as (
+    select *, list_transform(range(len(words) - 7),
+                             lambda i: array_to_string(list_slice(words, i + 1, i + 8), ' ')) as ws
+    from base
+), positions as (
+    select doc_id, lang, source, unnest(ws) as w, unnest(range(len(ws))) as i from windows
+), twice as (
+    select doc_id, i from positions
+    qualify count(*) over (partition by doc_id, w) > 1
+), reach as (
+    select doc_id, sum(least(8, coalesce(after - i, 8))) as n from (
+        select doc_id, i, lead(i) over (partition by doc_id order by i) as after from twice)
+    group by doc_id
+), counts as (
+    select doc_id, lang, source, len(words)::bigint as n_words,
+           length(array_to_string(words, ''))::bigint as word_chars,
+           length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::bigint as n_symbols,
+           len(lines)::bigint as n_lines,
+           (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+           coalesce(reach.n, 0)::bigint as n_repeat_words
+    from windows left join reach using (doc_id)
+), failed as (
+    select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+           case when n_words > 0 then 100 * word_chars // n_words else 0 end as word_length,
+           case when n_words > 0 then 1000 * n_symbols // n_words else 0 end as symbols,
+           case when n_lines > 0 then 1000 * n_dup_lines // n_lines else 0 end as dup_lines,
+           case when n_words > 0 then 1000 * n_repeat_words // n_words else 0 end as repeats
+    from counts
+), rates as (
+    select lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) as rate,
+           unnest([word_length, symbols, dup_lines, repeats]) as value
+    from failed where not base_failed
+), sketch as (
+    select level, rate, bucket, count(*) as n,
+           case when level < 2 then lang end as lang, case when level < 1 then source end as source
+    from (select *, greatest(length(bin(value)) - 6, 0) as shift,
+                 (value >> shift) << shift as bucket from rates), range(3) as levels(level)
+    group by all
+), ranked as (
+    select *, sum(n) over (partition by level, lang, source, rate) as rows,
+           sum(n) over (partition by level, lang, source, rate order by bucket) as upto
+    from sketch
+), quartiles as (
+    select level, lang, source, rate, first(rows) as rows,
+           min(bucket) filter (where 4 * upto >= rows) as q1,
+           min(bucket) filter (where 4 * upto >= 3 * rows) as q3
+    from ranked group by level, lang, source, rate
+), fences as (
+    select *, 3 * greatest(q3 - q1, case rate when 'word_length' then 60 when 'symbols' then 50
+                           when 'dup_lines' then 150 else 100 end) as spread,
+           q1 - spread as low, q3 + spread as high
+    from quartiles
+), chosen as (
+    select o.lang, o.source, o.rate,
+           case when o.rows >= 200 then o.low when l.rows >= 200 then l.low else a.low end as low,
+           case when o.rows >= 200 then o.high when l.rows >= 200 then l.high else a.high end as high
+    from fences o
+    join fences l on l.level = 1 and l.lang is not distinct from o.lang and l.rate = o.rate
+    join fences a on a.level = 2 and a.rate = o.rate
+    where o.level = 0
+), limits as (
+    select lang, source, max(low) filter (where rate = 'word_length') as word_low,
+           max(high) filter (where rate = 'word_length') as word_high,
+           max(high) filter (where rate = 'symbols') as symbols_high,
+           max(high) filter (where rate = 'dup_lines') as dup_high,
+           max(high) filter (where rate = 'repeats') as repeats_high
+    from chosen group by lang, source
+)
+select f.doc_id, f.lang, f.source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       base_failed,
+       not base_failed and coalesce(word_length between word_low and word_high
+           and symbols <= symbols_high and dup_lines <= dup_high and repeats <= repeats_high,
+           false) as kept
+from failed f left join limits t
+    on f.lang is not distinct from t.lang and f.source is not distinct from t.source
+"""
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, as digests."""
     def rows(own, keys, texts):
@@ -75,9 +166,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_line_dedup": op3_line_dedup,
+    "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
 }
 
 ORACLE: dict[str, str] = {
     "op3_line_dedup": OP3_SQL,
+    "op9_quality_rules": OP9_SQL,
 }
