@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillwork.llm import bpe, linededup, packing, quality
+from quillwork.llm import bpe, linededup, ngramjoin, packing, quality
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -55,6 +55,11 @@ group by doc_id
 """
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near copies of every document."""
+    return ngramjoin.ngram_groups(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality.judge(table(spark, sf_dir, "documents"))
@@ -166,6 +171,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_line_dedup": op3_line_dedup,
+    "op4_ngram_join": op4_ngram_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
 }
