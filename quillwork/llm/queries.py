@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillwork.llm import bpe, linededup, ngramjoin, packing, quality
+from quillwork.llm import bpe, linededup, ngramjoin, packing, quality, vectorjoin
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -60,6 +60,30 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.ngram_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of every vector."""
+    return vectorjoin.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP6_SQL = """
+with recursive pairs as materialized (
+    select a.vec_id as a, b.vec_id as b from embeddings a, embeddings b
+    where a.vec_id <> b.vec_id
+      and list_cosine_similarity(a.embedding::double[], b.embedding::double[]) >= 0.9
+), reach as (
+    select vec_id, vec_id as other from embeddings
+    union select r.vec_id, p.b from reach r join pairs p on r.other = p.a
+), least as (
+    select vec_id, min(other) as component_id from reach group by vec_id
+), counts as (
+    select a as vec_id, count(*) as n from pairs group by a
+)
+select l.vec_id, coalesce(c.n, 0)::bigint as n_links, l.component_id,
+       l.vec_id = l.component_id as kept
+from least l left join counts c using (vec_id)
+"""
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality.judge(table(spark, sf_dir, "documents"))
@@ -172,11 +196,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_line_dedup": op3_line_dedup,
     "op4_ngram_join": op4_ngram_join,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
 }
 
 ORACLE: dict[str, str] = {
     "op3_line_dedup": OP3_SQL,
+    "op6_embedding_dedup": OP6_SQL,
     "op9_quality_rules": OP9_SQL,
 }
