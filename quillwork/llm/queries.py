@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillwork.llm import bpe, linededup, ngramjoin, packing, quality, vectorjoin
+from quillwork.llm import bpe, linededup, ngramjoin, packing, quality, toxicity, vectorjoin
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -60,6 +60,17 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.ngram_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a model of the labelled rows outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.with_scores(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        F.coalesce(toxicity.crc_of(F.col("doc_id")) % 4 == 2, F.lit(False)).alias("held_out"),
+        F.col("_toxicity").alias("score"),
+        (F.col("_toxicity") >= toxicity.CUT).cast("int").alias("predicted"))
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of every vector."""
     return vectorjoin.near_vectors(table(spark, sf_dir, "embeddings"))
@@ -196,6 +207,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_line_dedup": op3_line_dedup,
     "op4_ngram_join": op4_ngram_join,
+    "op5_toxicity": op5_toxicity,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
