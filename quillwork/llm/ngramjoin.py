@@ -9,15 +9,17 @@ order.  Documents with equal sets are one node, so exact copies never meet.  The
    few of them cannot link and are out; a frequent n-gram is only a long run, cut anywhere.
 2. *Fragments.*  The sets of the nodes left are cut at fixed places of the global order.  The overlap
    of a pair is counted in each fragment separately and summed per pair.
-3. *Stars.*  In each fragment, nodes with the same outermost n-gram are compared with one of them,
-   not with each other.  The links found join groups of near copies without forming their pairs.
-4. *Across.*  What can still be missing are links between components.  Such a pair shares only
-   n-grams that occur in several components; nodes of which these do not make up four fifths are
-   out, and the filter is repeated on what is left.  The rest is joined on the rarest of those
-   n-grams (prefix filter), never inside a component, and counted as in 2.
-
-Nothing is capped; each step is linear but the last, whose pairs are candidate links between
-components.  Defined results: null text, or text without words, has size 0 and links with nothing;
+3. *Hubs.*  Nodes with the same first n-gram of a fragment are compared with the most typical of
+   them, their hub, not with each other.
+4. *Beside a hub.*  Two nodes of one hub that are not linked through it must share many of the n-grams
+   in which each differs from the hub.  Edits of one's own are shared with nobody, so this leaves
+   few nodes, which are joined on the rarest of their shared differences (prefix filter).
+5. *Across hubs.*  Other links share only n-grams that occur with several hubs and components; nodes
+   of which these do not make up four fifths are out, and the filter is repeated on what is left.
+   The rest is joined on the rarest of those n-grams, never inside a hub.  Candidates of 4 and 5 are
+   counted as in 2.
+
+Nothing is capped; only the candidates of 4 and 5 are pairs, and never pairs of one component.  Defined results: null text, or text without words, has size 0 and links with nothing;
 rows with a null id take part, and are never the least id of a component; rows with equal texts and
 ids give equal rows; an empty table gives an empty table.
 """
@@ -38,7 +40,6 @@ from quillwork.session import settle
 
 WORDS = 5
 FRAGMENTS = 8
-STAR_ROUNDS = 3
 # Odd 64-bit constants that mix word hashes by place; any such numbers do.
 PLACES = [np.uint64(2 * 0x4F1BBCDCBFA53E0B * (i + 1) + 1 & 0xFFFFFFFFFFFFFFFF) for i in range(WORDS)]
 
@@ -86,6 +87,11 @@ def front_needed(n):
     return 1 + least_common(n) // 16
 
 
+# The same in SQL.
+LEAST_COMMON = "((4 * n + 4) div 5)"
+NEEDED = f"(1 + {LEAST_COMMON} div 16)"
+
+
 def read_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per row: id, size, node and the front of its set (null where the batch has had the node)."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -147,7 +153,10 @@ def short_name(node: str) -> Column:
 
 
 def survivors(sets: DataFrame) -> DataFrame:
-    """``short`` of the nodes whose front holds enough n-grams that other fronts hold too."""
+    """``short`` of the nodes whose front holds enough n-grams that other fronts hold too.
+
+    ``rank`` is the share of such n-grams; the original of a group of edited copies has the highest.
+    """
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     entries = sets.filter("front is not null").select(
         short_name("node").alias("short"), F.explode("front").alias("item"))
@@ -158,15 +167,16 @@ def survivors(sets: DataFrame) -> DataFrame:
     )
     counts = shared.groupBy("short").agg(F.count("*").alias("found"))
     sizes = sets.filter("front is not null").groupBy(short_name("node").alias("short")).agg(
-        F.max("n").alias("n"))
-    return counts.join(sizes, "short").filter(
-        F.col("found") >= F.expr("1 + ((4 * n + 4) div 5) div 16")).select("short")
+        F.max("n").alias("n"), F.max(F.size("front")).alias("front"))
+    return counts.join(sizes, "short").filter(F.col("found") >= F.expr(NEEDED)).select(
+        "short", (F.col("found") / F.col("front")).alias("rank"))
 
 
 def segments(docs: DataFrame, nodes: DataFrame, keys: DataFrame, size: tuple[int, int],
              id_col: str, text_col: str) -> DataFrame:
-    """Cut sets of the wanted nodes: ``node, n, part, items``, one row per non-empty fragment.
+    """Cut sets of the wanted nodes: ``node, n, rank, part, items, ahead``, a row per fragment.
 
+    ``ahead`` says how many items of the fragment belong to the front of the set.
     Only rows whose ``key`` (id as text) is wanted are read again; a row found by its id whose set
     is another is dropped by its node.
     """
@@ -176,17 +186,17 @@ def segments(docs: DataFrame, nodes: DataFrame, keys: DataFrame, size: tuple[int
             out = []
             for text in batch["text"]:
                 items = shingles(text)
-                node = node_of(items)
+                node, left = node_of(items), front_length(len(items))
                 for part, piece in enumerate(np.split(items, np.searchsorted(items, cuts))):
-                    if len(piece):
-                        out.append((node, len(items), part, piece))
-            yield pd.DataFrame(out, columns=["node", "n", "part", "items"])
+                    out.append((node, len(items), part, piece, min(left, len(piece))))
+                    left -= min(left, len(piece))
+            yield pd.DataFrame(out, columns=["node", "n", "part", "items", "ahead"])
 
     texts = docs.select(key_text(id_col).alias("key"), F.col(text_col).alias("text"))
     cut = join_measured(texts, keys, size, ["key"], "left_semi").mapInPandas(
-        run, "node binary, n long, part int, items array<long>")
-    return cut.join(nodes, short_name("node") == F.col("short"), "left_semi").dropDuplicates(
-        ["node", "part"])
+        run, "node binary, n long, part int, items array<long>, ahead int")
+    return cut.filter("node is not null").join(
+        nodes, short_name("node") == F.col("short")).drop("short").dropDuplicates(["node", "part"])
 
 
 def key_text(id_col: str) -> Column:
@@ -194,113 +204,196 @@ def key_text(id_col: str) -> Column:
 
 
 def common_counts(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Numbers of common items of sorted arrays."""
+    """Numbers of common items of two cut sets: each fragment is counted, the counts are summed."""
     out = []
-    for a, b in zip(left, right):
-        if len(a) > len(b):
-            a, b = b, a
-        at = np.searchsorted(b, a)
-        at[at == len(b)] = 0
-        out.append(int((b[at] == a).sum()))
+    for one, two in zip(left, right):
+        total = 0
+        for a, b in zip(one, two):
+            if len(a) and len(b):
+                at = np.searchsorted(b, a)
+                at[at == len(b)] = 0
+                total += int((b[at] == a).sum())
+        out.append(total)
     return pd.Series(out, dtype="i8")
 
 
 def linked(pairs: DataFrame, cut: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` with a Jaccard similarity of four fifths or more.
-
-    Each fragment counts its part of the overlap; the parts are summed per pair.
-    """
+    """The pairs ``a, b`` with a Jaccard similarity of four fifths or more."""
     count = F.pandas_udf(common_counts, "long")
-    one = cut.select(F.col("node").alias("a"), F.col("n").alias("n_a"), "part",
-                     F.col("items").alias("items_a"))
-    two = cut.select(F.col("node").alias("b"), F.col("n").alias("n_b"), "part",
-                     F.col("items").alias("items_b"))
-    partial = pairs.join(one, "a").join(two, ["b", "part"]).select(
-        "a", "b", "n_a", "n_b", count("items_a", "items_b").alias("common"))
+    sets = cut.groupBy("node", "n").agg(
+        F.sort_array(F.collect_list(F.struct("part", "items"))).alias("parts")).select(
+        "node", "n", F.col("parts.items").alias("parts"))
+    one, two = (sets.toDF(name, f"n_{name}", f"parts_{name}") for name in ("a", "b"))
     return (
-        partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("common").alias("common"))
+        pairs.join(one, "a").join(two, "b")
+        .select("a", "b", "n_a", "n_b", count("parts_a", "parts_b").alias("common"))
         .filter(100 * F.col("common") >= 80 * (F.col("n_a") + F.col("n_b") - F.col("common")))
         .select("a", "b")
     )
 
 
-def with_roots(cut: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """``cut`` with the component found so far of each node as ``root``."""
-    if roots is None:
-        return cut.withColumn("root", F.col("node"))
-    return cut.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def hubs_of(cut: DataFrame) -> DataFrame:
+    """``node, hub``: for nodes that share a fragment's first n-gram with others, one of those.
+
+    In each such bucket the hub is the node of the highest rank; a node takes the hub that most of
+    its fragments name.
+    """
+    keyed = cut.filter("size(items) > 0").select(
+        "node", "rank", F.struct("part", F.element_at("items", 1).alias("first")).alias("bucket"))
+    named = keyed.groupBy("bucket").agg(
+        F.max(F.struct("rank", "node")).alias("top"), F.count("*").alias("members")).filter(
+        "members > 1").select("bucket", F.col("top.rank").alias("top"), F.col("top.node").alias("hub"))
+    votes = keyed.join(named, "bucket").groupBy("node", "hub").agg(
+        F.count("*").alias("votes"), F.max("top").alias("top"))
+    return votes.groupBy("node").agg(F.max(F.struct("votes", "top", "hub")).alias("best")).select(
+        "node", F.col("best.hub").alias("hub")).filter("node <> hub")
+
+
+def differences(left: pd.Series, right: pd.Series) -> pd.DataFrame:
+    """Numbers of common items of sorted arrays, and the items of only one of them."""
+    rows = []
+    for a, b in zip(left, right):
+        only = np.setxor1d(a, b, assume_unique=True)
+        rows.append(((len(a) + len(b) - len(only)) // 2, only))
+    return pd.DataFrame(rows, columns=["common", "only"])
+
 
+def compared_with_hubs(cut: DataFrame) -> DataFrame:
+    """``node, hub, n, n_hub, common, only`` for each node with a hub it has half in common with.
 
-def star_pairs(cut: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each node with the least node that has the same n-gram at one place of a fragment."""
-    place = [F.element_at("items", 1), F.element_at("items", -1),
-             F.element_at("items", (F.size("items") / 2).cast("int") + 1)][turn % 3]
-    keyed = cut.select("node", "root", "n", place.alias("item"))
-    hubs = keyed.groupBy("item").agg(F.min(F.struct("node", "root", "n")).alias("hub"),
-                                     F.count("*").alias("members")).filter("members > 1")
+    ``only`` lists, per fragment, the items that just one of the two has.  Fragments are compared
+    separately and put together per node.
+    """
+    compare = F.pandas_udf(differences, "common long, only array<long>")
+    pairs = hubs_of(cut)
+    hub = cut.select(F.col("node").alias("hub"), F.col("n").alias("n_hub"), "part",
+                     F.col("items").alias("items_hub"))
+    parts = pairs.join(cut.select("node", "n", "part", "items"), "node").join(hub, ["hub", "part"])
     return (
-        keyed.join(hubs, "item").filter("root <> hub.root")
-        .filter("5 * least(n, hub.n) >= 4 * greatest(n, hub.n)")
-        .select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
+        parts.select("node", "hub", "n", "n_hub", compare("items", "items_hub").alias("x"))
+        .groupBy("node", "hub", "n", "n_hub")
+        .agg(F.sum("x.common").alias("common"), F.flatten(F.collect_list("x.only")).alias("only"))
+        .filter("2 * common >= n + n_hub - common")
     )
 
 
-def across_pairs(cut: DataFrame) -> DataFrame | None:
-    """Candidate links between components, or none if no node can have one.  ``cut`` has ``root``."""
-    items = settle(cut.select(short_name("node").alias("node"), short_name("root").alias("root"),
-                              "n", F.explode("items").alias("item")))
-    nodes = None
+def beside_hubs(compared: DataFrame, roots: DataFrame | None) -> DataFrame | None:
+    """Candidate links between nodes of one hub that are not in one component yet.
+
+    Let D(x) be the items in which x and the hub differ.  Then x and y differ in
+    ``|D(x)| + |D(y)| - 2 |D(x) & D(y)|`` items, and link if nine times that is at most
+    ``n(x) + n(y)``.  As one of them, x, does not link with the hub, D(x) and D(y) must share more
+    than ``(9 |D(y)| + n(hub) - n(y)) / 18`` and at least ``|D(x)| - n(x) / 4`` items, and one at
+    least.  Edits of one's own never count, so few nodes stay; those are joined on the rarest
+    shared differences.
+    """
+    all_nodes = with_roots(compared, roots).select(
+        short_name("node").alias("node"), short_name("root").alias("root"),
+        short_name("hub").alias("hub"), "n", "only", "n_hub", "common")
+    open_hubs = all_nodes.groupBy("hub").agg(
+        F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("hub")
+    items = settle(all_nodes.join(open_hubs, "hub").select(
+        "node", "root", "hub", "n", F.size("only").cast("long").alias("d"), "n_hub",
+        F.expr("9 * size(only) > n + n_hub").alias("apart"), F.explode("only").alias("item")))
+    columns = ["node", "root", "hub", "n", "d", "n_hub", "apart"]
+    as_x = "(apart and size >= greatest(1, d - n div 4))"
+    least_y = "greatest(1, (9 * d + n_hub - n) div 18 + if((9 * d + n_hub - n) >= 0, 1, 0))"
+    kept = narrowed(items, ["hub", "item"], columns, f"{as_x} or size >= {least_y}")
+    if kept is None:
+        return None
+    ranked = kept.selectExpr(
+        *columns, "item", "size",
+        "row_number() over (partition by node order by df, item) as place")
+    x = ranked.filter(f"{as_x} and place <= size - greatest(1, d - n div 4) + 1").selectExpr(
+        "hub", "item", "node as x", "root as root_x", "n as n_x", "d as d_x")
+    y = ranked.filter(f"size >= {least_y} and place <= size - {least_y} + 1").selectExpr(
+        "hub", "item", "node as y", "root as root_y", "n as n_y", "d as d_y")
+    return x.join(y, ["hub", "item"]).filter("root_x <> root_y").filter(
+        "5 * least(n_x, n_y) >= 4 * greatest(n_x, n_y) and 9 * abs(d_x - d_y) <= n_x + n_y").select(
+        F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
+def narrowed(items: DataFrame, key: list[str], columns: list[str], enough: str,
+             differ: tuple[str, ...] = ("root",)) -> DataFrame | None:
+    """Rows of ``items`` whose key has several values in ``differ``, of nodes with enough of them.
+
+    Repeated until no more nodes fall out; ``size`` is a node's number of rows left and ``df`` the
+    key's.  None if no node is left.
+    """
+    before = None
     while True:
-        mixed = items.groupBy("item").agg(
-            F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("df")
-        ).filter("low <> high").select("item", "df")
-        kept = settle(items.select("node", "root", "n", "item").join(mixed, "item"))
-        enough = settle(
-            kept.groupBy("node", "n").agg(F.count("*").alias("size"))
-            .filter("size >= (4 * n + 4) div 5").select("node", "size"))
-        now = enough.count()
+        several = items.groupBy(*key).agg(
+            F.count("*").alias("df"),
+            *[f(c).alias(f"{f.__name__}_{c}") for c in differ for f in (F.min, F.max)]
+        ).filter(" and ".join(f"min_{c} <> max_{c}" for c in differ)).select(*key, "df")
+        kept = settle(items.select(*columns, "item").join(several, key))
+        nodes = settle(kept.groupBy(*columns).agg(F.count("*").alias("size")).filter(enough)
+                       .select("node", "size"))
+        now = nodes.count()
         if not now:
             return None
-        items = kept.join(enough, "node")
-        if now == nodes:
-            break
-        nodes = now
-    ranked = items.selectExpr(
-        "node", "root", "n", "item",
-        "row_number() over (partition by node order by df, item) as place", "size")
-    front = settle(ranked.filter("place <= size - (4 * n + 4) div 5 + 1").select(
-        "item", "node", "root", "n"))
-    main = front.groupBy("item", "root").agg(F.count("*").alias("m")).groupBy("item").agg(
-        F.max(F.struct("m", "root")).alias("main")).select("item", F.col("main.root").alias("main"))
-    minor = front.join(main, "item").filter("root <> main").selectExpr(
-        "item", "node as node_b", "root as root_b", "n as n_b")
-    met = front.join(minor, "item").filter("root <> root_b").filter(
-        "5 * least(n, n_b) >= 4 * greatest(n, n_b)").select(
+        items = kept.join(nodes, "node")
+        if now == before:
+            return items
+        before = now
+
+
+def with_roots(table: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``table`` with the component found so far of each node as ``root``."""
+    if roots is None:
+        return table.withColumn("root", F.col("node"))
+    return table.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def across_hubs(cut: DataFrame, compared: DataFrame, roots: DataFrame | None) -> DataFrame | None:
+    """Candidate links between nodes of different hubs and components.
+
+    Such a pair shares only n-grams that nodes of several hubs and components have.  The fronts are
+    looked at first; whole sets only of nodes that have enough of those in front.
+    """
+    labelled = with_roots(cut, roots).join(compared.select("node", "hub"), "node", "left").select(
+        short_name("node").alias("node"), short_name("root").alias("root"),
+        F.xxhash64(F.coalesce("hub", "node")).alias("hub"), "n", "items", "ahead")
+    columns, differ = ["node", "root", "hub", "n"], ("hub", "root")
+    front = settle(labelled.filter("ahead > 0").select(
+        *columns, F.explode(F.slice("items", F.lit(1), F.col("ahead"))).alias("item")))
+    seen = narrowed(front, ["item"], columns, f"size >= {NEEDED}", differ)
+    if seen is None:
+        return None
+    whole = settle(labelled.join(seen.select("node").distinct(), "node", "left_semi").select(
+        *columns, F.explode("items").alias("item")))
+    kept = narrowed(whole, ["item"], columns, f"size >= {LEAST_COMMON}", differ)
+    if kept is None:
+        return None
+    ranked = kept.selectExpr(
+        *columns, "item", "size",
+        "row_number() over (partition by node order by df, item) as place")
+    first = settle(ranked.filter(f"place <= size - {LEAST_COMMON} + 1").select(*columns, "item"))
+    # Pairs within the hub that most rows of a bucket have are never formed.
+    main = first.groupBy("item", "hub").agg(F.count("*").alias("m")).groupBy("item").agg(
+        F.max(F.struct("m", "hub")).alias("main")).select("item", F.col("main.hub").alias("main"))
+    minor = first.join(main, "item").filter("hub <> main").selectExpr(
+        "item", "node as node_b", "root as root_b", "hub as hub_b", "n as n_b")
+    return first.join(minor, "item").filter(
+        "root <> root_b and hub <> hub_b and 5 * least(n, n_b) >= 4 * greatest(n, n_b)").select(
         F.least("node", "node_b").alias("x"), F.greatest("node", "node_b").alias("y")).distinct()
-    names = cut.select("node").distinct()
-    return met.join(names.select(short_name("node").alias("x"), F.col("node").alias("a")), "x").join(
-        names.select(short_name("node").alias("y"), F.col("node").alias("b")), "y").select("a", "b")
 
 
 def node_components(cut: DataFrame) -> DataFrame | None:
     """``node, root`` of the nodes that link to others, or none."""
-    links, roots = None, None
-
-    def grow(pairs: DataFrame) -> bool:
-        nonlocal links, roots
-        found = settle(linked(settle(pairs), cut))
-        if found.isEmpty():
-            return False
-        links = found if links is None else links.union(found)
-        roots = settle(components(links))
-        return True
-
-    for turn in range(STAR_ROUNDS):
-        grow(star_pairs(with_roots(cut, roots), turn))
-    pairs = across_pairs(with_roots(cut, roots))
-    if pairs is not None:
-        grow(pairs)
-    return roots
+    compared = settle(compared_with_hubs(cut))
+    links = compared.filter("9 * common >= 4 * (n + n_hub)").select(
+        F.col("node").alias("a"), F.col("hub").alias("b"))
+    roots = None if links.isEmpty() else settle(components(links))
+    names = cut.select("node").distinct()
+    found = links
+    for pairs in (beside_hubs(compared, roots), across_hubs(cut, compared, roots)):
+        if pairs is not None:
+            whole = pairs.join(
+                names.select(short_name("node").alias("x"), F.col("node").alias("a")), "x").join(
+                names.select(short_name("node").alias("y"), F.col("node").alias("b")), "y")
+            found = found.union(settle(linked(settle(whole.select("a", "b")), cut)))
+    return None if found.isEmpty() else settle(components(found))
 
 
 def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

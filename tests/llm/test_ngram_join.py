@@ -111,11 +111,17 @@ def test_long_text(spark):
     assert [r[2] for r in found(spark, rows)] == [1, 1, 3]
 
 
-def test_links_from_component_to_component_are_found_without_stars(spark, monkeypatch):
-    """The last step alone finds every link."""
-    monkeypatch.setattr(J, "STAR_ROUNDS", 0)
-    rows = corpus(3)[100:450]
-    assert found(spark, rows) == expected(rows)
+def test_steps_after_the_hubs_find_the_links_that_hubs_miss(spark, monkeypatch):
+    """Without hubs, and with a bad hub for all nodes, every link is still found."""
+    rows = corpus(3)[60:350]
+    with monkeypatch.context() as m:
+        m.setattr(J, "hubs_of", lambda cut: cut.select("node", J.F.col("node").alias("hub")).limit(0))
+        assert found(spark, rows) == expected(rows)
+    least = lambda cut: cut.select("node").distinct().join(
+        cut.agg(J.F.min("node").alias("hub"))).filter("node <> hub")
+    with monkeypatch.context() as m:
+        m.setattr(J, "hubs_of", least)
+        assert found(spark, rows) == expected(rows)
 
 
 @given(st.sets(st.integers(0, 300), min_size=1), st.data())
@@ -145,10 +151,13 @@ def test_streaming_finds_all_shared_items(rows, batch):
     assert len(out) == len(set(out)) and shared <= set(out) <= shared | ends
 
 
-@given(st.sets(st.integers(-50, 50)), st.sets(st.integers(-50, 50)))
-def test_common_counts(a, b):
-    left, right = (pd.Series([np.array(sorted(s), "i8")]) for s in (a, b))
-    assert J.common_counts(left, right).tolist() == [len(a & b)]
+@given(st.lists(st.tuples(st.sets(st.integers(-50, 50)), st.sets(st.integers(-50, 50))), min_size=1))
+def test_common_counts_of_fragments_are_summed(parts):
+    left, right = (pd.Series([[np.array(sorted(p[i]), "i8") for p in parts]]) for i in (0, 1))
+    assert J.common_counts(left, right).tolist() == [sum(len(a & b) for a, b in parts)]
+    both = [J.differences(pd.Series([a]), pd.Series([b])) for a, b in zip(left[0], right[0])]
+    assert [int(x.common.iloc[0]) for x in both] == [len(a & b) for a, b in parts]
+    assert [set(x.only.iloc[0].tolist()) for x in both] == [a ^ b for a, b in parts]
 
 
 def test_components_of_a_path_a_star_and_loops(spark):
