@@ -2,25 +2,82 @@
 
 from __future__ import annotations
 
-from quillwork.llm import bpe, packing
-from quillwork.llm.queries import VOCABULARY
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillwork.llm import bpe, linededup, ngramjoin, packing, quality, toxicity
+from quillwork.llm.queries import VOCABULARY, table
 from quillwork.session import settle
 
 
-def pack(spark, docs, sf_dir):
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that the quality rules reject, whatever else their rows hold.
+
+    Verdicts come back by id and a hash of the text, since ids may be null or repeated.
+    """
+    keyed = docs.select(F.struct("*").alias("row"), *row_key(docs))
+    verdicts = quality.judge(
+        docs.select(F.struct(*row_key(docs)).alias("doc_id"), "text", "lang", "source"))
+    rejected = verdicts.filter("not kept").select("doc_id.*").distinct()
+    return keyed.join(rejected, ["key_a", "key_b"], "left_anti").select("row.*")
+
+
+def row_key(docs: DataFrame) -> list:
+    """128 bits that stand for a whole row: rows that agree in all columns get one verdict."""
+    columns = [F.col(c).cast("string") for c in docs.columns]
+    whole = F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)]))
+    return [F.xxhash64(F.lit(seed), whole).alias(name) for seed, name in enumerate(("key_a", "key_b"))]
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that are scored toxic by a model of the labelled documents still here."""
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.with_scores(docs.select(F.struct("*").alias("row"), F.col("text").alias("t")),
+                                  model, "t", "score")
+    return scored.filter(F.col("score") < toxicity.CUT).select("row.*")
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut lines that ten documents or more have; ``n_chars`` follows the text."""
+    cut = linededup.dedup_lines(docs).drop("_lines")
+    return cut.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document of the least id of each group of near copies.
+
+    Documents without a word are in no group and stay, as do all with a null id that link with
+    nothing; of rows repeated under the least id the first by text and source stays.
+    """
+    groups = settle(ngramjoin.ngram_groups(docs))
+    grouped = groups.filter("n_shingles > 0").groupBy("component_id").agg(
+        F.count("*").alias("members")).filter("members > 1")
+    gone = groups.join(grouped, "component_id").filter(
+        ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    return docs.select(F.struct("*").alias("row"), "doc_id").join(gone, "doc_id", "left_anti").select(
+        "row.*")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut what is left into pieces of power-of-two length."""
     return packing.pack(docs, bpe.read_vocabulary(VOCABULARY), with_ids=False)
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("toxicity", drop_toxic),
+    ("line dedup", dedup_lines),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("packing", pack),
+]
 
-# The learned and iterative stages cannot be written in SQL.
+# A trained model and links that reach on through groups cannot be written in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``, each to the written rows of the one before."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES):

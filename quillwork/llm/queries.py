@@ -11,7 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillwork.llm import bpe, linededup, ngramjoin, packing, quality, toxicity, vectorjoin
+from quillwork.llm import (
+    bpe, editcount, langid, linededup, ngramjoin, packing, quality, toxicity, urlfilter, vectorjoin,
+)
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -26,6 +28,15 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         with_ids=False)
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by a model of the documents outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    chain = langid.learn(docs)
+    return langid.languages_of(docs, chain).select(
+        "doc_id", F.coalesce(langid.fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
+        "lang_pred", "score")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that ten documents or more have."""
     kept = linededup.dedup_lines(table(spark, sf_dir, "documents"))
@@ -95,6 +106,63 @@ from least l left join counts c using (vec_id)
 """
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the list entries active on the day it was fetched."""
+    pages = table(spark, sf_dir, "pages")
+    return urlfilter.judge(urlfilter.dated_captures(pages), urlfilter.dated_list(pages))
+
+
+OP7_SQL = r"""
+with parsed as (
+    select page_id, url,
+           nullif(rtrim(regexp_extract(lower(url),
+               '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '.'), '') as host,
+           list_filter(string_split(regexp_extract(url,
+               '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') as levels,
+           date '2024-01-01' + (('0x' || substr(md5(page_id::varchar), 1, 7))::bigint % 365)::int
+               as fetched_at
+    from pages
+), entries as (
+    select distinct host, unnest(['', coalesce(levels[1], '')]) as path
+    from parsed where host is not null
+), seeded as (
+    select host, path, ('0x' || substr(md5(host || '/' || path), 1, 7))::bigint as seed from entries
+), changes as (
+    select host, path, case (seed // 3 + step) % 3 when 0 then 'block' when 1 then 'allow'
+               else 'remove' end as action,
+           date '2024-01-01' + ((seed // 9 + 97 * step) % 365)::int as changed
+    from seeded, range(3) as steps(step) where seed % 3 <> 0
+), at_once as (
+    select host, path, changed, arg_min(action, case action when 'block' then 0 when 'allow' then 1
+                                           else 2 end) as action
+    from changes group by host, path, changed
+), turned as (
+    select * from at_once
+    qualify coalesce(lag(action) over (partition by host, path order by changed), '') <> action
+), intervals as (
+    select host, path, action, changed as valid_from,
+           lead(changed) over (partition by host, path order by changed) as valid_to
+    from turned qualify action <> 'remove'
+), hits as (
+    select p.page_id, e.path, e.valid_from, e.action,
+           row_number() over (partition by p.page_id order by len(e.path) desc) as place
+    from parsed p join intervals e on p.host = e.host
+        and (e.path = '' or e.path = p.levels[1])
+        and p.fetched_at >= e.valid_from and (e.valid_to is null or p.fetched_at < e.valid_to)
+)
+select p.page_id, p.host, p.fetched_at, h.path as entry_path, h.valid_from as entry_from,
+       coalesce(h.action = 'block', false) as blocked
+from parsed p left join hits h on p.page_id = h.page_id and h.place = 1
+"""
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after its edits."""
+    docs = table(spark, sf_dir, "documents")
+    return editcount.edited_counts(docs, editcount.derived_edits(docs),
+                                   bpe.read_vocabulary(VOCABULARY))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality.judge(table(spark, sf_dir, "documents"))
@@ -205,10 +273,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_language": op2_language,
     "op3_line_dedup": op3_line_dedup,
     "op4_ngram_join": op4_ngram_join,
     "op5_toxicity": op5_toxicity,
     "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_url_filter": op7_url_filter,
+    "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
 }
@@ -216,5 +287,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op3_line_dedup": OP3_SQL,
     "op6_embedding_dedup": OP6_SQL,
+    "op7_url_filter": OP7_SQL,
     "op9_quality_rules": OP9_SQL,
 }

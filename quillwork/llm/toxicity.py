@@ -193,8 +193,11 @@ def fit(sample: pd.DataFrame) -> Model:
     model.threshold = min(range(1, 9), key=lambda t: (wrong(t), t))
     counts = [np.bincount([int((g >= model.threshold).sum()) for g in group], minlength=COUNTED + 1)
               for group in gains]
-    # The parts keep the share of labels in the sample; one row of each kind smooths.
-    chances = [(a + share) / (a + b + 1) for a, b in zip(*counts)]
+    # A number of windows that hardly any row has takes the chances of the numbers above it.
+    above, chances = np.zeros(2), []
+    for pair in np.column_stack(counts)[::-1]:
+        above = pair + above if pair.sum() < 3 else pair
+        chances.insert(0, (above[0] + share) / (above.sum() + 1))
     model.chances = np.maximum.accumulate(chances).tolist()
     return model
 
