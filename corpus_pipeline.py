@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwork.llm import bpe, linededup, ngramjoin, packing, quality, toxicity
@@ -22,7 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keyed.join(rejected, ["key_a", "key_b"], "left_anti").select("row.*")
 
 
-def row_key(docs: DataFrame) -> list:
+def row_key(docs: DataFrame) -> list[Column]:
     """128 bits that stand for a whole row: rows that agree in all columns get one verdict."""
     columns = [F.col(c).cast("string") for c in docs.columns]
     whole = F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)]))
@@ -43,19 +43,31 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def ordered_name(docs: DataFrame) -> Column:
+    """A text that tells rows apart and sorts them by id, null ids last."""
+    shifted = F.col("doc_id").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
+    number = F.coalesce(F.lpad(shifted.cast("string"), 20, "0"), F.lit("null"))
+    return F.concat_ws("-", number, *[F.hex(key) for key in row_key(docs)])
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of the least id of each group of near copies.
+    """Keep the first document of each group of near copies, by id, null ids last.
 
-    Documents without a word are in no group and stay, as do all with a null id that link with
-    nothing; of rows repeated under the least id the first by text and source stays.
+    Documents without a word are in no group and stay.  Of rows that agree in all columns one stays.
     """
-    groups = settle(ngramjoin.ngram_groups(docs))
-    grouped = groups.filter("n_shingles > 0").groupBy("component_id").agg(
-        F.count("*").alias("members")).filter("members > 1")
-    gone = groups.join(grouped, "component_id").filter(
-        ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.select(F.struct("*").alias("row"), "doc_id").join(gone, "doc_id", "left_anti").select(
-        "row.*")
+    named = docs.select(F.struct("*").alias("row"), ordered_name(docs).alias("name"))
+    groups = settle(ngramjoin.ngram_groups(named.select("name", "row.text"), "name")).select(
+        F.col("doc_id").alias("name"), F.col("component_id").alias("first"), "n_shingles")
+    shared = groups.filter("n_shingles > 0").groupBy("first").agg(
+        F.count("*").alias("members"),
+        F.sum(F.expr("cast(name = first as int)")).alias("copies")).filter("members > 1")
+    gone = groups.join(shared, "first").filter("name <> first").select("name").distinct()
+    repeated = settle(shared.filter("copies > 1").select(F.col("first").alias("name")))
+    left = named.join(gone, "name", "left_anti")
+    if not repeated.isEmpty():
+        one_each = left.join(repeated, "name", "left_semi").dropDuplicates(["name"])
+        left = left.join(repeated, "name", "left_anti").unionByName(one_each)
+    return left.select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

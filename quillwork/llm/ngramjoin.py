@@ -305,11 +305,15 @@ def beside_hubs(compared: DataFrame, roots: DataFrame | None) -> DataFrame | Non
         *columns, "item", "size",
         "row_number() over (partition by node order by df, item) as place")
     x = ranked.filter(f"{as_x} and place <= size - greatest(1, d - n div 4) + 1").selectExpr(
-        "hub", "item", "node as x", "root as root_x", "n as n_x", "d as d_x")
+        "hub", "item", "node as x", "root as root_x", "n as n_x", "d as d_x",
+        "size - place + 1 as rest_x")
     y = ranked.filter(f"size >= {least_y} and place <= size - {least_y} + 1").selectExpr(
-        "hub", "item", "node as y", "root as root_y", "n as n_y", "d as d_y")
+        "hub", "item", "node as y", "root as root_y", "n as n_y", "d as d_y",
+        "size - place + 1 as rest_y")
+    # At a pair's first shared difference, what is left of either bounds how many they share.
     return x.join(y, ["hub", "item"]).filter("root_x <> root_y").filter(
-        "5 * least(n_x, n_y) >= 4 * greatest(n_x, n_y) and 9 * abs(d_x - d_y) <= n_x + n_y").select(
+        "5 * least(n_x, n_y) >= 4 * greatest(n_x, n_y) and 9 * abs(d_x - d_y) <= n_x + n_y").filter(
+        "18 * least(rest_x, rest_y) >= 9 * (d_x + d_y) - n_x - n_y").select(
         F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
@@ -368,14 +372,17 @@ def across_hubs(cut: DataFrame, compared: DataFrame, roots: DataFrame | None) ->
     ranked = kept.selectExpr(
         *columns, "item", "size",
         "row_number() over (partition by node order by df, item) as place")
-    first = settle(ranked.filter(f"place <= size - {LEAST_COMMON} + 1").select(*columns, "item"))
+    first = settle(ranked.filter(f"place <= size - {LEAST_COMMON} + 1").selectExpr(
+        *columns, "item", "size - place + 1 as rest"))
     # Pairs within the hub that most rows of a bucket have are never formed.
     main = first.groupBy("item", "hub").agg(F.count("*").alias("m")).groupBy("item").agg(
         F.max(F.struct("m", "hub")).alias("main")).select("item", F.col("main.hub").alias("main"))
     minor = first.join(main, "item").filter("hub <> main").selectExpr(
-        "item", "node as node_b", "root as root_b", "hub as hub_b", "n as n_b")
+        "item", "node as node_b", "root as root_b", "hub as hub_b", "n as n_b",
+        "rest as rest_b")
     return first.join(minor, "item").filter(
-        "root <> root_b and hub <> hub_b and 5 * least(n, n_b) >= 4 * greatest(n, n_b)").select(
+        "root <> root_b and hub <> hub_b and 5 * least(n, n_b) >= 4 * greatest(n, n_b)").filter(
+        "9 * least(rest, rest_b) >= 4 * (n + n_b)").select(
         F.least("node", "node_b").alias("x"), F.greatest("node", "node_b").alias("y")).distinct()
 
 
