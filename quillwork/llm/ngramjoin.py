@@ -277,9 +277,13 @@ def compared_with_hubs(cut: DataFrame) -> DataFrame:
     )
 
 
-def beside_hubs(compared: DataFrame, roots: DataFrame | None) -> DataFrame | None:
+def beside_hubs(compared: DataFrame, roots: DataFrame | None,
+                to_first: bool = False) -> DataFrame | None:
     """Candidate links between nodes of one hub that are not in one component yet.
 
+    With ``to_first`` only those to the nearest to the hub of the nodes that share a difference: few,
+    and they join most copies of an edited copy.
+
     Let D(x) be the items in which x and the hub differ.  Then x and y differ in
     ``|D(x)| + |D(y)| - 2 |D(x) & D(y)|`` items, and link if nine times that is at most
     ``n(x) + n(y)``.  As one of them, x, does not link with the hub, D(x) and D(y) must share more
@@ -310,6 +314,13 @@ def beside_hubs(compared: DataFrame, roots: DataFrame | None) -> DataFrame | Non
     y = ranked.filter(f"size >= {least_y} and place <= size - {least_y} + 1").selectExpr(
         "hub", "item", "node as y", "root as root_y", "n as n_y", "d as d_y",
         "size - place + 1 as rest_y")
+    if to_first:
+        y = y.groupBy("hub", "item").agg(
+            F.min(F.struct("d_y", "y", "root_y", "n_y", "rest_y")).alias("first")).select(
+            "hub", "item", "first.*")
+        return x.join(y, ["hub", "item"]).filter("root_x <> root_y").filter(
+            "5 * least(n_x, n_y) >= 4 * greatest(n_x, n_y) and 9 * abs(d_x - d_y) <= n_x + n_y"
+        ).select("x", "y").distinct()
     # At a pair's first shared difference, what is left of either bounds how many they share.
     return x.join(y, ["hub", "item"]).filter("root_x <> root_y").filter(
         "5 * least(n_x, n_y) >= 4 * greatest(n_x, n_y) and 9 * abs(d_x - d_y) <= n_x + n_y").filter(
@@ -391,15 +402,18 @@ def node_components(cut: DataFrame) -> DataFrame | None:
     compared = settle(compared_with_hubs(cut))
     links = compared.filter("9 * common >= 4 * (n + n_hub)").select(
         F.col("node").alias("a"), F.col("hub").alias("b"))
-    roots = None if links.isEmpty() else settle(components(links))
     names = cut.select("node").distinct()
     found = links
-    for pairs in (beside_hubs(compared, roots), across_hubs(cut, compared, roots)):
+    for step in (lambda r: beside_hubs(compared, r, to_first=True),
+                 lambda r: beside_hubs(compared, r, to_first=True),
+                 lambda r: beside_hubs(compared, r),
+                 lambda r: across_hubs(cut, compared, r)):
+        pairs = step(None if found.isEmpty() else settle(components(found)))
         if pairs is not None:
             whole = pairs.join(
                 names.select(short_name("node").alias("x"), F.col("node").alias("a")), "x").join(
                 names.select(short_name("node").alias("y"), F.col("node").alias("b")), "y")
-            found = found.union(settle(linked(settle(whole.select("a", "b")), cut)))
+            found = settle(found.union(linked(settle(whole.select("a", "b")), cut)))
     return None if found.isEmpty() else settle(components(found))
 
 
