@@ -37,8 +37,9 @@ def job(f):
 
 
 def _report(df: DataFrame) -> None:
-    """Print a result of a few rows."""
-    df.show(20, truncate=False)
+    """Print all rows of a small result."""
+    shown = settle(df)
+    shown.show(shown.count(), truncate=False)
 
 
 @job
@@ -160,7 +161,8 @@ def estimate_e(spark: SparkSession, samples: str, slices: str = "20") -> None:
 
 def _station_split(series: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = settle(
-        weather.previous_day(series, ["station"], "date", "tmax", "yesterday_tmax")
+        learning.with_season(
+            weather.previous_day(series, ["station"], "date", "tmax", "yesterday_tmax"))
         .withColumn("_side", F.xxhash64("station"))
     )
     return tuple(part.drop("_side") for part in learning.hash_split(pairs, "_side"))
@@ -185,7 +187,8 @@ def weather_test(spark: SparkSession, model_path: str, source: str) -> None:
     """Score a saved model on a file and show what it relies on."""
     model = PipelineModel.load(model_path)
     series = readers.daily_maxima(spark, source)
-    rows = weather.previous_day(series, ["station"], "date", "tmax", "yesterday_tmax")
+    rows = learning.with_season(
+        weather.previous_day(series, ["station"], "date", "tmax", "yesterday_tmax"))
     _report(learning.score_regression(model, {"test": rows}, "saved"))
     _report(learning.feature_importances(model, rows))
 
@@ -200,7 +203,7 @@ def weather_tomorrow(spark: SparkSession, model_path: str, station: str, date: s
     )
     asked = known.withColumn("date", F.date_add(F.to_date(F.lit(date)), 1))
     asked = asked.withColumn("tmax", F.lit(None).cast("float"))
-    scored = PipelineModel.load(model_path).transform(asked)
+    scored = PipelineModel.load(model_path).transform(learning.with_season(asked))
     _report(scored.select("station", "date", "prediction"))
 
 

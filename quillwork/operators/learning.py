@@ -33,20 +33,21 @@ def in_first_part(key: str, percent: int = 75):
     return F.pmod(F.pmod(F.col(key), F.lit(1 << 31)) * 2654435761, F.lit(100)) < percent
 
 
-def day_of_year_stage() -> SQLTransformer:
-    return SQLTransformer(statement="SELECT dayofyear(date) AS day_of_yr, * FROM __THIS__")
+def with_season(df: DataFrame, date: str = "date") -> DataFrame:
+    """Add ``season_day``, the day of the year, which the temperature model takes as input."""
+    return df.withColumn("season_day", F.dayofyear(date))
 
 
 def temperature_model(with_yesterday: bool = True, max_depth: int = 5, max_iter: int = 100,
                       seed: int = 7, place: list[str] = PLACE) -> Pipeline:
     """Boosted trees for ``tmax`` from the day of the year, the place and the day before.
 
-    The input carries ``yesterday_tmax`` as made by ``previous_day``; building it before the split
+    The input carries ``season_day`` of ``with_season`` and ``yesterday_tmax`` of ``previous_day``;
+    building it before the split
     keeps all day pairs.
     """
-    inputs = ["day_of_yr", *place] + (["yesterday_tmax"] if with_yesterday else [])
+    inputs = ["season_day", *place] + (["yesterday_tmax"] if with_yesterday else [])
     return Pipeline(stages=[
-        day_of_year_stage(),
         VectorAssembler(inputCols=inputs, outputCol="features"),
         GBTRegressor(featuresCol="features", labelCol="tmax", maxDepth=max_depth,
                      maxIter=max_iter, seed=seed),

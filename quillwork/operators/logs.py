@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillwork.functions.calendar import log_time
 from quillwork.functions.fixed import ACCESS_LOG_PATTERN
-from quillwork.operators.stats import correlation, moments, with_correlation
+from quillwork.operators.stats import correlation, moments_with_correlation
 
 
 def parse_access_log(lines: DataFrame, column: str = "value", ids: str = "uuid") -> DataFrame:
@@ -53,10 +53,8 @@ def host_moments(requests: DataFrame, host: str = "host", amount: str = "bytes")
     exact = host_totals(requests, host, amount).select(
         F.col("x").cast("decimal(18,0)"), F.col("y").cast("decimal(20,0)")
     )
-    sums = moments(exact, "x", "y")
-    return with_correlation(
-        sums.select("n", *[F.col(c).cast("double").alias(c) for c in sums.columns if c != "n"])
-    )
+    sums = moments_with_correlation(exact, "x", "y")
+    return sums.select("n", *[F.col(c).cast("double").alias(c) for c in sums.columns if c != "n"])
 
 
 def host_correlation(requests: DataFrame, host: str = "host", amount: str = "bytes") -> DataFrame:

@@ -44,21 +44,23 @@ def _narrowed(inside: DataFrame, groups: DataFrame, keys: list[str]) -> DataFram
 
 def summary_with_median(df: DataFrame, keys: list[str], value: str,
                         rank_limit: int = RANK_LIMIT) -> DataFrame:
-    """Per group: ``count`` and ``total`` of the values, and their exact ``median``.
+    """Per group: ``n_rows``, ``count`` and ``total`` of the values, and their exact ``median``.
 
     The built-in exact percentile keeps all distinct values of a group in one task.  Here equal
     values are tallied in one pass over ``df`` and the tallies settled.  While more of them remain
     than may be ranked, each group is cut into buckets and narrowed to those holding its middle
-    ranks; then the middle values are read off running counts.  Rows without key or value are left
-    out.
+    ranks; then the middle values are read off running counts.  Rows without key are left out; a
+    NULL value counts as a row only, and a group of NULL values has neither total nor median.
     """
     tally = settle(
-        df.filter(present(*keys, value)).groupBy(*keys, F.col(value).alias("_v"))
+        df.filter(present(*keys)).groupBy(*keys, F.col(value).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     groups, size = settle_measured(
         tally.groupBy(*keys).agg(
-            F.sum("_n").alias("count"), F.sum(F.col("_v") * F.col("_n")).alias("total"),
+            F.sum("_n").alias("n_rows"), F.sum(F.col("_v") * F.col("_n")).alias("total"),
+            F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("_n"))), F.lit(0))
+            .alias("count"),
             F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
             F.count(F.lit(1)).alias("_pairs"),
         )
@@ -66,6 +68,7 @@ def summary_with_median(df: DataFrame, keys: list[str], value: str,
         .withColumn("_first", F.floor((F.col("count") + 1) / 2))
         .withColumn("_last", F.floor((F.col("count") + 2) / 2))
     )
+    totals = groups.select(*keys, "n_rows", "count", "total")
     left, before = groups.agg(F.sum("_pairs")).first()[0] or 0, None
     while True:
         inside = join_measured(tally, groups, size, keys).filter("_v between _lo and _hi")
@@ -76,4 +79,5 @@ def summary_with_median(df: DataFrame, keys: list[str], value: str,
     ranked = inside.withColumn("_upto", F.col("_below") + _running(keys, "_v"))
     middle = F.max(F.when(_holds("_first"), F.col("_v"))).cast("double")
     middle = middle + F.max(F.when(_holds("_last"), F.col("_v"))).cast("double")
-    return ranked.groupBy(*keys, "count", "total").agg((middle / 2).alias("median"))
+    medians = ranked.groupBy(*keys).agg((middle / 2).alias("median"))
+    return totals.join(medians, keys, "left")

@@ -33,9 +33,10 @@ def calendar_features(sales: DataFrame, holidays: DataFrame) -> DataFrame:
     """Sales per staff member with holiday and weekend flags; all sales rows are kept.
 
     The holiday list is measured before it is broadcast: dates are few and sales would pile up on
-    the busy ones if they were shuffled.
+    the busy ones if they were shuffled.  A date listed with several holidays counts once.
     """
-    listed, size = settle_measured(holidays.select("date", "holiday"))
+    named = holidays.filter("holiday is not null")
+    listed, size = settle_measured(named.groupBy("date").agg(F.min("holiday").alias("holiday")))
     return join_measured(sales, listed, size, ["date"], "left").select(
         "date", "store", "sales",
         F.try_divide("sales", "staff").alias("sales_per_staff"),

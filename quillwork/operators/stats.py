@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from quillwork.functions.nulls import present
 
 
-def moments(df: DataFrame, x: str, y: str) -> DataFrame:
-    """One row: n, sum_x, sum_y, sum_xx, sum_yy, sum_xy over rows with both values."""
+def moments(df: DataFrame, x: str, y: str, also: dict[str, Column] = {}) -> DataFrame:
+    """One row: n, sum_x, sum_y, sum_xx, sum_yy, sum_xy over rows with both values.
+
+    ``also`` names further aggregates for the same pass.
+    """
     a, b = F.col(x), F.col(y)
     return df.filter(present(x, y)).agg(
         F.count(F.lit(1)).alias("n"),
@@ -18,23 +21,26 @@ def moments(df: DataFrame, x: str, y: str) -> DataFrame:
         F.sum(a * a).alias("sum_xx"),
         F.sum(b * b).alias("sum_yy"),
         F.sum(a * b).alias("sum_xy"),
+        *[column.alias(name) for name, column in also.items()],
     )
 
 
-def with_correlation(sums: DataFrame) -> DataFrame:
-    """Add r and r2 to a row of moments, or NULL where a variance is zero."""
-    n, sx, sy, sxx, syy, sxy = (
-        F.col(c).cast("double") for c in ("n", "sum_x", "sum_y", "sum_xx", "sum_yy", "sum_xy")
-    )
-    spread = F.sqrt(n * sxx - sx * sx) * F.sqrt(n * syy - sy * sy)
-    return sums.withColumn("r", F.try_divide(n * sxy - sx * sy, spread)).withColumn(
-        "r2", F.col("r") * F.col("r")
-    )
+def moments_with_correlation(df: DataFrame, x: str, y: str) -> DataFrame:
+    """The row of ``moments`` with r and r2 from central moments of the same aggregate."""
+    columns = ["n", "sum_x", "sum_y", "sum_xx", "sum_yy", "sum_xy"]
+    central = {"r": pearson(x, y)}
+    return moments(df, x, y, central).select(*columns, "r", (F.col("r") * F.col("r")).alias("r2"))
+
+
+def pearson(x: str, y: str) -> Column:
+    """Pearson's r as an aggregate, NULL where a variance is zero."""
+    a, b = F.col(x).cast("double"), F.col(y).cast("double")
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 
 def correlation(df: DataFrame, x: str, y: str) -> DataFrame:
-    """One row: n, r, r2, from running central moments (no cancellation of large sums)."""
-    r = F.corr(F.col(x).cast("double"), F.col(y).cast("double"))
+    """One row: n, r, r2; r is NULL where a variance is zero."""
+    r = pearson(x, y)
     return df.filter(present(x, y)).agg(
         F.count(F.lit(1)).alias("n"), r.alias("r"), (r * r).alias("r2")
     )

@@ -61,8 +61,8 @@ def visitor_segments(purchases: DataFrame, area: DataFrame, customers: DataFrame
     facts = join_measured(purchases.select("custid", "amount"), segments, size, ["custid"])
     report = summary_with_median(facts, ["from_province_only", "from_area"], "amount")
     return report.select(
-        "from_province_only", "from_area", "count",
-        (F.col("total").cast("double") / F.col("count")).alias("average"), "median",
+        "from_province_only", "from_area", F.col("n_rows").alias("count"),
+        F.try_divide(F.col("total").cast("double"), F.col("count")).alias("average"), "median",
     )
 
 

@@ -8,20 +8,6 @@ from pyspark.sql import functions as F
 from quillwork.functions.text import split_on_punctuation, split_on_space
 
 
-def spread_few_splits(df: DataFrame, by: str | None = None, parts: int | None = None) -> DataFrame:
-    """Redistribute rows when the input has at most half as many splits as there are slots.
-
-    A handful of unsplittable files would otherwise keep most slots idle.  An input with enough
-    splits, as any large one has, is returned untouched, so no shuffle is added at scale.  ``df``
-    is a plain scan: counting the splits of anything else could start computing it.  Give
-    ``by`` a column of many values: hashing it is repeatable and skips the sort of a round robin.
-    """
-    slots = parts or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > slots:
-        return df
-    return df.repartition(slots, by) if by else df.repartition(slots)
-
-
 def explode_words(df: DataFrame, text: str = "value", punctuation: bool = True,
                   unicode_spaces: bool = True) -> DataFrame:
     """One row per non-empty word; with ``punctuation`` words are also lower-cased."""

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from quillwork.functions.calendar import hour_bucket
 from quillwork.functions.fixed import MONTH_NAMES
 from quillwork.operators.colourspace import nearest_word
-from quillwork.operators.wordcount import spread_few_splits
 from quillwork.schemas import TEST_TABLES
 from quillwork.streaming.regression import encode_point
 
@@ -209,7 +208,6 @@ def trade_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = lambda letter, c: F.concat(F.lit(letter), F.col(c).cast("string"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    items = spread_few_splits(items, by="l_orderkey")
     bought = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         named("c", "o_custkey").alias("src"), named("p", "l_partkey").alias("dst")
     )

@@ -8,7 +8,6 @@ from quillwork.functions.fixed import (
     RGB_TO_XYZ,
     WHITE_XYZ,
 )
-from quillwork.operators.sampling import MIX_1, MIX_2, STEP
 
 SPACE = (
     r" \t\n\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
@@ -310,39 +309,6 @@ xyz AS (SELECT p_partkey, labL, labA, labB, ({_back('fx')}) * {WHITE_XYZ[0]}::DO
 SELECT p_partkey, labL, labA, labB, {_shown(0, 'R')}, {_shown(1, 'G')}, {_shown(2, 'B')} FROM xyz
 """
 
-WRAP = "18446744073709551616::UHUGEINT"
-
-
-def _times(z: str, factor: int) -> str:
-    return f"CAST(({z}::UHUGEINT * {factor}::UHUGEINT) % {WRAP} AS UBIGINT)"
-
-
-def _plus(z: str, term: int) -> str:
-    return f"CAST(({z}::UHUGEINT + {term}::UHUGEINT) % {WRAP} AS UBIGINT)"
-
-
-def _fold(z: str, bits: int) -> str:
-    return f"xor({z}, {z} >> {bits})"
-
-
-DRAWS = f"""
-WITH RECURSIVE t AS (
-  SELECT event_id AS id, {_plus(_times('event_id', MIX_2), MIX_1)} AS state,
-         0.0::DOUBLE AS total, 0 AS draws FROM events
-  UNION ALL
-  SELECT id, state, total + u, draws + 1 FROM (
-    SELECT id, state, total, draws,
-           CAST({_fold('z2', 31)} >> 11 AS DOUBLE) / 9007199254740992.0::DOUBLE AS u
-    FROM (SELECT *, {_times(_fold('z1', 27), MIX_2)} AS z2
-          FROM (SELECT *, {_times(_fold('state', 30), MIX_1)} AS z1
-                FROM (SELECT id, {_plus('state', STEP)} AS state, total, draws FROM t
-                      WHERE total < 1.0)))
-  )
-)
-SELECT count(*) AS trials, CAST(sum(draws) AS BIGINT) AS draws, round(avg(draws), 6) AS estimate
-FROM t WHERE total >= 1.0
-"""
-
 ORACLE: dict[str, str] = {
     "word_count": _words("documents", PUNCT + SPACE, "lower(w)"),
     "word_count_plain": _words("documents", SPACE, "w"),
@@ -431,7 +397,6 @@ ORACLE: dict[str, str] = {
     "lab_to_rgb": RGB_BACK,
     "colour_palette": f"WITH {COLOURS} SELECT col.word, count(*) AS rows, pr AS showR, pg AS showG, "
     "pb AS showB FROM col JOIN pal ON col.word = pal.word GROUP BY ALL",
-    "estimate_e": DRAWS,
     "label_index": "SELECT CAST(row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS DOUBLE) "
     "AS label, p_type FROM part GROUP BY p_type",
     "hash_split": "SELECT CASE WHEN (c_custkey % 2147483648) * 2654435761 % 100 < 75 THEN 'train' "

@@ -16,7 +16,6 @@ from quillwork.operators import (
     logs,
     quality,
     retail,
-    sampling,
     scores,
     stats,
     toplist,
@@ -44,8 +43,7 @@ def rounded(df: DataFrame, places: int, *columns: str) -> DataFrame:
 # --- text ---------------------------------------------------------------------------------------
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = I.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return wordcount.spread_few_splits(docs, by="doc_id")
+    return I.table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 @query
@@ -240,9 +238,9 @@ def moments(spark, sf_dir):
         F.col("event_id").cast("decimal(18,0)").alias("x"),
         I.cents("value").cast("decimal(18,0)").alias("y"),
     )
-    sums = stats.moments(exact, "x", "y")
+    sums = stats.moments_with_correlation(exact, "x", "y")
     sums = sums.select("n", *[F.col(c).cast("double").alias(c) for c in sums.columns if c != "n"])
-    return rounded(stats.with_correlation(sums), 6, "r", "r2")
+    return rounded(sums, 6, "r", "r2")
 
 
 @query
@@ -398,12 +396,7 @@ def colour_palette(spark, sf_dir):
     return colourspace.with_palette(counted)
 
 
-# --- sampling and learning ----------------------------------------------------------------------
-
-@query
-def estimate_e(spark, sf_dir):
-    return rounded(sampling.estimate_e(I.table(spark, sf_dir, "events"), "event_id"), 6, "estimate")
-
+# --- splitting and learning ----------------------------------------------------------------------
 
 @query
 def label_index(spark, sf_dir):
@@ -439,10 +432,7 @@ def _temperature_data(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     pairs = weather.previous_day_window(
         I.daily_series(spark, sf_dir), ["station"], "date", "tmax", "yesterday_tmax"
     )
-    return learning.hash_split(settle(pairs), "station")
-
-
-MODEL_ROUNDS = 20
+    return learning.hash_split(settle(learning.with_season(pairs)), "station")
 
 
 @query
@@ -450,7 +440,7 @@ def regression_model(spark, sf_dir):
     train, validation = _temperature_data(spark, sf_dir)
     reports = []
     for name, lagged in (("with_yesterday", True), ("without_yesterday", False)):
-        model = learning.temperature_model(lagged, max_iter=MODEL_ROUNDS).fit(train)
+        model = learning.temperature_model(lagged).fit(train)
         parts = {"train": train, "validation": validation}
         reports.append(learning.score_regression(model, parts, name))
     return reports[0].unionByName(reports[1])
@@ -459,15 +449,15 @@ def regression_model(spark, sf_dir):
 @query
 def feature_importance(spark, sf_dir):
     train, _ = _temperature_data(spark, sf_dir)
-    model = learning.temperature_model(True, max_iter=MODEL_ROUNDS).fit(train)
+    model = learning.temperature_model(True).fit(train)
     return learning.feature_importances(model, train)
 
 
 def _colour_models(spark: SparkSession, sf_dir: str):
     train, validation = learning.hash_split(settle(I.colours(spark, sf_dir)), "p_partkey")
     models = {
-        "rgb": learning.colour_model("RGB", max_iter=100),
-        "lab": learning.colour_model("LAB", max_iter=100),
+        "rgb": learning.colour_model("RGB"),
+        "lab": learning.colour_model("LAB"),
     }
     return {name: m.fit(train) for name, m in models.items()}, validation
 
@@ -482,7 +472,7 @@ def classifier_model(spark, sf_dir):
 @query
 def prediction_grid(spark, sf_dir):
     models, _ = _colour_models(spark, sf_dir)
-    grid = colourspace.lab_grid(spark, 70.0, 64).withColumn("word", F.lit("black"))
+    grid = colourspace.lab_grid(spark, 70.0, 256).withColumn("word", F.lit("black"))
     scored = learning.with_predicted_word(models["rgb"], models["rgb"].transform(grid), "predicted")
     shown = colourspace.with_palette(scored.drop("word"), "predicted")
     return shown.select("labA", "labB", "R", "G", "B", "predicted", "showR", "showG", "showB")

@@ -47,7 +47,8 @@ def drain(result: DataFrame, timeout: int | None = None) -> DataFrame:
     """Process everything available now, then return the last state of a complete-mode result.
 
     The state goes through an in-memory table, so this is for results of a few rows, such as the
-    single row of a running fit.  ``timeout`` (seconds) stops waiting and shows the state reached.
+    single row of a running fit.  Waits until the stream is through; with ``timeout`` (seconds) a
+    stream that is not through by then is stopped and ``TimeoutError`` raised, never a part shown.
     """
     spark = result.sparkSession
     name = f"drain_{uuid.uuid4().hex}"
@@ -56,6 +57,9 @@ def drain(result: DataFrame, timeout: int | None = None) -> DataFrame:
         .option("checkpointLocation", new_path(spark, "stream"))
         .trigger(availableNow=True).start()
     )
-    if not query.awaitTermination(timeout or 86_400):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
+        raise TimeoutError(f"the stream was not through after {timeout} s")
     return spark.table(name)

@@ -83,9 +83,9 @@ def test_logs(run, spark, tmp_path, capsys):
 
 
 def test_graph(run, tmp_path):
-    (tmp_path / "links.txt").write_text("1: 3 5\n2: 4\n3: 2 5\n4: 3\n5:\n6: 1 5\n")
-    run("shortest-path", tmp_path / "links.txt", tmp_path / "out", "1", "4")
-    assert read_all(tmp_path / "out" / "path") == ["1", "3", "2", "4"]
+    (tmp_path / "links.txt").write_text("ash: elm fir\nelm: oak\noak: yew\nyew: ash\n")
+    run("shortest-path", tmp_path / "links.txt", tmp_path / "out", "ash", "yew")
+    assert read_all(tmp_path / "out" / "path") == ["ash", "elm", "oak", "yew"]
     assert len(list((tmp_path / "out" / "rounds").glob("iter=*"))) == 3
 
 

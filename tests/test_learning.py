@@ -17,7 +17,8 @@ def series(spark):
     ]
     df = spark.createDataFrame(rows, "station int, date date, latitude double, longitude double, "
                                      "elevation double, tmax double")
-    return weather.previous_day(df, ["station"], "date", "tmax", "yesterday_tmax")
+    return learning.with_season(
+        weather.previous_day(df, ["station"], "date", "tmax", "yesterday_tmax"))
 
 
 def test_temperature_model_saves_and_scores(spark, series, tmp_path):
@@ -33,7 +34,7 @@ def test_temperature_model_saves_and_scores(spark, series, tmp_path):
     assert a == learning.score_regression(loaded, parts, "m").collect()
     assert all(math.isfinite(r.rmse) for r in a) and a[0].r2 > 0.8
     weights = {r.feature: r.importance for r in learning.feature_importances(loaded, train).collect()}
-    assert set(weights) == {"day_of_yr", "latitude", "longitude", "elevation", "yesterday_tmax"}
+    assert set(weights) == {"season_day", "latitude", "longitude", "elevation", "yesterday_tmax"}
     assert sum(weights.values()) == pytest.approx(1.0)
 
 

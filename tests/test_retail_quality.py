@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from quillwork.operators import quality, retail
 
 SAT, MON = dt.date(2021, 12, 25), dt.date(2021, 12, 27)
@@ -39,3 +41,14 @@ def test_key_checks(spark):
     assert found[("purchases", "custid in customers.custid")] == (0, 0)
     assert found[("purchases", "pmid in paymentmethods.pmid")] == (1, 1)
     assert found[("purchases", "unique purchid")] == (0, 0)
+
+
+def test_a_date_with_two_holidays_keeps_its_sales_once(spark):
+    sales = spark.createDataFrame(
+        [("2020-07-01", "S", 10.0, 2), ("2020-07-02", "S", 4.0, 0)],
+        "date string, store string, sales double, staff int").withColumn("date", F.to_date("date"))
+    days = spark.createDataFrame(
+        [("2020-07-01", "one"), ("2020-07-01", "two"), ("2020-07-02", None)],
+        "date string, holiday string").withColumn("date", F.to_date("date"))
+    got = retail.calendar_features(sales, days).orderBy("date").collect()
+    assert [(r.sales_per_staff, r.is_holiday) for r in got] == [(5.0, True), (None, False)]

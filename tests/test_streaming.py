@@ -33,3 +33,12 @@ def test_console_sink(spark, tmp_path):
     query.processAllAvailable()
     assert query.exception() is None
     query.stop()
+
+
+def test_a_stream_stopped_early_raises(spark, tmp_path):
+    spark.range(2000).selectExpr("cast(id as string) as value").repartition(40).write.parquet(
+        str(tmp_path / "in"))
+    source = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1)
+    messages = source.parquet(str(tmp_path / "in"))
+    with pytest.raises(TimeoutError):
+        regression.drain(regression.running_fit(messages), timeout=1)

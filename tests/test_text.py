@@ -3,7 +3,7 @@ import re
 import string
 from collections import Counter
 
-from quillwork.operators.wordcount import as_line, spread_few_splits, word_count
+from quillwork.operators.wordcount import as_line, word_count
 
 TEXTS = [
     "The cat; the CAT, and a dog.", "", "   ", "tab\tnew\nline\r\nend", "a--b__c",
@@ -41,10 +41,3 @@ def test_repartition_keeps_counts(lines):
 def test_lines_are_formatted(lines):
     out = word_count(lines("b a b")).select(as_line("%s %d", "word", "count").alias("value"))
     assert sorted(r[0] for r in out.collect()) == ["a 1", "b 2"]
-
-
-def test_spread_only_when_few_splits(spark):
-    few = spark.range(0, 100, 1, 1)
-    assert spread_few_splits(few).rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, 1, 3)
-    assert spread_few_splits(many) is many

@@ -99,3 +99,10 @@ def test_declared_tag_struct(spark, tmp_path):
     amenities = readers.json_lines(spark, str(tmp_path), schema, "DROPMALFORMED")
     assert warehouse.amenities_with_tag(amenities, "cuisine", "%sushi%", "cafe").count() == 1
     assert amenities.filter("tags.brand is null").count() == 1
+
+
+def test_purchases_without_amount_count_but_do_not_lower_the_mean(spark):
+    df = spark.createDataFrame([("a", 4), ("a", None), ("a", 8), ("b", None)], "k string, v int")
+    got = {r.k: (r.n_rows, r["count"], r.total, r.median)
+           for r in median.summary_with_median(df, ["k"], "v").collect()}
+    assert got == {"a": (3, 2, 12, 6.0), "b": (1, 0, None, None)}
