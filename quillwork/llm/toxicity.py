@@ -3,7 +3,10 @@
 Two zstandard dictionaries are trained: one on segments that toxic texts have and ordinary ones
 lack, one on ordinary text.  A text is cut into windows of one word with its boundaries; a window is
 compressed with either dictionary, and the gain is how many bytes shorter the toxic one makes it.
-Longer windows match inside themselves, which drowns the difference (see README).  The threshold of
+A word of more than ``WORD_BYTES``, as in scripts without spaces, is cut into windows that overlap
+by ``OVERLAP``: zstandard reaches the dictionary from a bounded distance only, and longer windows
+match inside themselves, which drowns the difference.  A passage inside an overlap counts in both
+windows, in calibration as in scoring.  The threshold of
 the gain, and the probability that belongs to a number of windows beyond it, are calibrated on
 labelled rows that the dictionaries have not seen.
 
@@ -37,6 +40,8 @@ MIN_DOCS = 4               # toxic texts that must have a gram
 MIN_CONTRAST = 4.5         # signed root of the likelihood ratio
 MIN_RATIO = 4.0            # of its shares among toxic and ordinary texts
 DICTIONARY = 6144
+WORD_BYTES = 96            # of a padded word that is one window
+OVERLAP = 48               # bytes that windows of a longer word share; passages up to that stay whole
 COUNTED = 4                # numbers of windows from here on are one class
 CUT = 0.3
 KEPT_WORDS = 600_000
@@ -53,6 +58,12 @@ def padded(word: bytes) -> bytes:
     return b"  " + word + b"  "
 
 
+def windows(word: bytes) -> list[bytes]:
+    """A padded word, or the overlapping windows of a long one from end to end."""
+    p, step = padded(word), WORD_BYTES - OVERLAP
+    return [p[i:i + WORD_BYTES] for i in range(0, max(1, len(p) - OVERLAP), step)]
+
+
 def grams(word: bytes) -> list[bytes]:
     p = padded(word)
     return [p[i:i + GRAM] for i in range(max(1, len(p) - GRAM + 1))]
@@ -139,10 +150,9 @@ class Model:
     def __reduce__(self):
         return Model, (self.toxic, self.ordinary, self.threshold, self.chances)
 
-    def gain(self, word: bytes) -> int:
+    def gain(self, window: bytes) -> int:
         """Bytes by which the toxic dictionary makes a window shorter than the ordinary one."""
-        window = PRIMER + padded(word)
-        ordinary, toxic = (len(c.compress(window)) for c in self.compressors)
+        ordinary, toxic = (len(c.compress(PRIMER + window)) for c in self.compressors)
         return ordinary - toxic
 
     def gains(self, text: str | None) -> list[int]:
@@ -151,9 +161,10 @@ class Model:
             kept.clear()
         out = list(map(kept.get, words))
         if None in out:
-            for i, known in enumerate(out):
+            for i, known in enumerate(out[:]):
                 if known is None:
-                    out[i] = self.gain(words[i])
+                    out[i], *more = map(self.gain, windows(words[i]))
+                    out += more
                     if len(words[i]) <= 40:
                         kept[words[i]] = out[i]
         return out

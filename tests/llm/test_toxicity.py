@@ -46,6 +46,34 @@ def test_toxic_words_at_the_end_of_a_very_long_text():
     assert MODEL.score(long) >= X.CUT
 
 
+def test_toxic_passages_in_texts_without_spaces():
+    """Wherever they stand in a long unbroken text, and as many as there are."""
+    letters = "".join(chr(c) for c in range(0x4E00, 0x4E00 + 3000))
+
+    def unbroken(n, bad=()):
+        signs = RNG.choices(letters, k=n)
+        for word in bad:
+            signs.insert(RNG.randrange(n), word)
+        return "".join(signs)
+
+    model = X.fit(pd.DataFrame(
+        [(unbroken(60, RNG.choices(["grubling", "vexwort", "smirch"], k=3) if y else ()), y, i % 3 == 0)
+         for i in range(300) for y in (0, 1)], columns=["text", "toxic", "part"]).astype({"part": int}))
+    for n in (2_000, 20_000):
+        found = [model.beyond(unbroken(n, ["grubling"])) for _ in range(20)]
+        assert sum(x >= 1 for x in found) >= 19
+        assert model.beyond(unbroken(n, ["grubling", "vexwort", "smirch"] * 3)) == X.COUNTED
+        assert sum(model.beyond(unbroken(n)) for _ in range(20)) <= 2
+
+
+def test_windows_cover_long_words():
+    word = bytes(RNG.choices(b"abcdefghij", k=1001))
+    cut = X.windows(word)
+    assert max(map(len, cut)) == X.WORD_BYTES and X.windows(b"short") == [X.padded(b"short")]
+    assert all(any(X.padded(word)[i:i + X.OVERLAP] in w for w in cut)
+               for i in range(len(word) + 4 - X.OVERLAP))
+
+
 def test_without_both_labels():
     for rows, score in (([], 0.0), ([("a b", 0, 0)], 0.0), ([("a b", 1, 0)], 1.0)):
         model = X.fit(pd.DataFrame(rows, columns=["text", "toxic", "part"]))
