@@ -11,8 +11,10 @@ the gain, and the probability that belongs to a number of windows beyond it, are
 labelled rows that the dictionaries have not seen.
 
 Only the model is fitted on a sample: labelled rows in the order of a hash of their id, bounded by
-``SAMPLE_ROWS`` per label and ``SAMPLE_CHARS`` in all.  Scoring reads every text from end to end,
-where it lies; there is no shuffle.
+``SAMPLE_ROWS`` per label and ``SAMPLE_CHARS`` in all.  No row is dropped for its length: where a
+label's texts exceed its half of the characters, the longest are reduced to equal shares, in
+stretches over their whole length.  Calibration weighs the labels by their counts among all usable
+rows.  Scoring reads every text from end to end, where it lies; there is no shuffle.
 
 Defined results: null and empty texts have no window beyond the threshold and get the probability of
 that; without labels of both kinds all texts get the share of toxic labels (0 without any); a null
@@ -30,9 +32,12 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillwork.functions.text import stretches
+from quillwork.session import settle
+
 SAMPLE_ROWS = 3000
 SAMPLE_CHARS = 32_000_000
 GRAM = 7                   # bytes of a contrasted gram, and of the shortest match
@@ -177,12 +182,17 @@ class Model:
         return self.chances[self.beyond(text)]
 
 
-def fit(sample: pd.DataFrame) -> Model:
-    """A model of rows ``text, toxic, part``; part 0 trains the dictionaries, part 1 calibrates."""
+def fit(sample: pd.DataFrame, totals: dict[int, int] | None = None) -> Model:
+    """A model of rows ``text, toxic, part``; part 0 trains the dictionaries, part 1 calibrates.
+
+    ``totals`` has the rows of each label that the sample stands for, if those are more.
+    """
     def texts(label: int, part: int) -> list[str]:
         return sample["text"][(sample["toxic"] == label) & (sample["part"] == part)].tolist()
 
-    share = float((sample["toxic"] == 1).mean()) if len(sample) else 0.0
+    sampled = [int((sample["toxic"] == label).sum()) for label in (1, 0)]
+    stood_for = [max(n, (totals or {}).get(label, 0)) for n, label in zip(sampled, (1, 0))]
+    share = stood_for[0] / sum(stood_for) if sum(stood_for) else 0.0
     toxic, ordinary = texts(1, 0), texts(0, 0)
     chosen = contrasting(toxic, ordinary) if toxic and ordinary else set()
     if not chosen:
@@ -204,32 +214,57 @@ def fit(sample: pd.DataFrame) -> Model:
     model.threshold = min(range(1, 9), key=lambda t: (wrong(t), t))
     counts = [np.bincount([int((g >= model.threshold).sum()) for g in group], minlength=COUNTED + 1)
               for group in gains]
+    # Each label weighs as in all usable rows; the weights leave the sum as it is.
+    weights = np.divide(stood_for, sampled) * (sum(sampled) / sum(stood_for))
     # A number of windows that hardly any row has takes the chances of the numbers above it.
     above, chances = np.zeros(2), []
     for pair in np.column_stack(counts)[::-1]:
-        above = pair + above if pair.sum() < 3 else pair
+        above = pair * weights + above if pair.sum() < 3 else pair * weights
         chances.insert(0, (above[0] + share) / (above.sum() + 1))
     model.chances = np.maximum.accumulate(chances).tolist()
     return model
 
 
+def equal_share(lengths: list[int], budget: int) -> int:
+    """The most characters that each text may bring so that all of them fit the budget."""
+    left = budget
+    for i, n in enumerate(sorted(lengths)):
+        if n * (len(lengths) - i) > left:
+            return max(1, left // (len(lengths) - i))
+        left -= n
+    return max(lengths, default=1)
+
+
+def known_labels(labels: DataFrame, usable, id_col: str, label_col: str) -> DataFrame:
+    return labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(
+        F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic")).filter(usable(F.col("id")))
+
+
+def label_totals(docs: DataFrame, labels: DataFrame, usable, id_col: str, text_col: str,
+                 label_col: str) -> dict[int, int]:
+    """The number of usable labelled documents of either label."""
+    there = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"))
+    rows = known_labels(labels, usable, id_col, label_col).join(there, "id", "left_semi")
+    return {int(r["toxic"]): r["count"] for r in rows.groupBy("toxic").count().collect()}
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, usable, part, id_col: str, text_col: str,
                     label_col: str) -> pd.DataFrame:
     """Labelled rows for :func:`fit`, bounded in rows and characters; gathered on the driver."""
-    known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(
-        F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic")).filter(usable(F.col("id")))
+    known = known_labels(labels, usable, id_col, label_col)
     chosen = [known.filter(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
               for label in (0, 1)]
-    # At most 2 * SAMPLE_ROWS ids; rows repeated under an id are cut to that bound as well.
+    # At most 2 * SAMPLE_ROWS ids; of rows repeated under an id the least text is taken.
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(
-        F.col("text").isNotNull()).join(F.broadcast(chosen[0].union(chosen[1])), "id")
+        F.col("text").isNotNull()).join(F.broadcast(settle(chosen[0].union(chosen[1]))), "id")
     one_each = texts.groupBy("id", "toxic").agg(F.min("text").alias("text"))
-    before = Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id").rowsBetween(
-        Window.unboundedPreceding, 0)
-    within = one_each.withColumn("chars", F.sum(F.length("text")).over(before)).filter(
-        F.col("chars") <= SAMPLE_CHARS // 2)
-    return within.select(
-        "id", "text", F.col("toxic").cast("int").alias("toxic"),
+    lengths: dict[int, list[int]] = {0: [], 1: []}
+    for toxic, n in one_each.select("toxic", F.length("text")).collect():
+        lengths[int(toxic)].append(n)
+    share = [F.lit(equal_share(lengths[label], SAMPLE_CHARS // 2)) for label in (0, 1)]
+    return one_each.select(
+        "id", stretches(F.col("text"), F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
+        .alias("text"), F.col("toxic").cast("int").alias("toxic"),
         part(F.col("id")).cast("int").alias("part")).toPandas().sort_values("id")
 
 
@@ -246,7 +281,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def part(i):
         return crc_of(i) % 4 == (held_out_remainder + 1) % 4
 
-    return fit(training_sample(docs, labels, usable, part, id_col, text_col, label_col))
+    return fit(training_sample(docs, labels, usable, part, id_col, text_col, label_col),
+               label_totals(docs, labels, usable, id_col, text_col, label_col))
 
 
 def with_scores(docs: DataFrame, model: Model, text_col: str = "text",

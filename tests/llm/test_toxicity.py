@@ -3,6 +3,7 @@
 import random
 
 import pandas as pd
+import pytest
 
 from quillwork.llm import toxicity as X
 
@@ -112,3 +113,40 @@ def test_held_out_rows_are_never_learned_from(spark):
     sample = X.training_sample(table, labels, usable, usable, "doc_id", "text", "toxic")
     held = {r.doc_id for r in table.filter(X.crc_of(X.F.col("doc_id")) % 4 == 2).collect()}
     assert len(sample) and not held & set(sample["id"]) and len(held) + len(sample) == 200
+
+
+def learned(spark, rows):
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(rows["text"])],
+                                  "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(y)) for i, y in enumerate(rows["toxic"])],
+                                   "doc_id long, toxic int")
+    return X.learn(table, labels)
+
+
+@pytest.mark.parametrize("label", [0, 1])
+def test_one_huge_labelled_text(spark, monkeypatch, label):
+    """It neither drops itself nor the other rows of its label."""
+    monkeypatch.setattr(X, "SAMPLE_CHARS", 400_000)
+    rows = labelled(300)
+    first = [r.id for r in spark.range(len(rows)).orderBy(X.F.xxhash64("id")).collect()]
+    at = next(i for i in first if rows["toxic"][i] == label and X.zlib.crc32(str(i).encode()) % 4 != 2)
+    rows.loc[at, "text"] = " ".join([rows["text"][at]] * 1000)
+    assert len(rows["text"][at]) > X.SAMPLE_CHARS // 2
+    model = learned(spark, rows)
+    assert model.score(text(["vexwort", "smirch"])) >= X.CUT > model.score(text())
+
+
+def test_capped_labels_weigh_as_in_all_rows(spark, monkeypatch):
+    rows = labelled(600)
+    whole = learned(spark, rows)
+    monkeypatch.setattr(X, "SAMPLE_ROWS", 100)
+    capped = learned(spark, rows)
+    assert abs(whole.chances[0] - capped.chances[0]) < 0.02
+    few = pd.DataFrame([("same words here", y, p) for y in (0, 1) for p in (0, 1)] * 5,
+                       columns=["text", "toxic", "part"])
+    assert X.fit(few).score("x") == 0.5 and X.fit(few, {0: 90, 1: 10}).score("x") == 0.1
+
+
+def test_equal_shares():
+    assert X.equal_share([5, 1, 100], 1000) == 100
+    assert X.equal_share([5, 1, 100, 200], 46) == 20
