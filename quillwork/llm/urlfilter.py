@@ -8,7 +8,7 @@ specific active entry decides; among equals blocking does.
 
 Only built-in functions are used.  Changes that do not alter the state are merged first, and a
 host that a third of all captures have is a skewed key of an ordinary join, which adaptive execution
-splits; a capture yields one row per prefix of its path, whatever the size of the list.
+splits; a capture yields one row per prefix of its path of a depth that entries of the list have.
 
 Defined results: a null URL, or one without a host, or a null fetch time, matches nothing and is
 allowed; of several changes of an entry at one time blocking wins; an entry with a null host or date
@@ -21,8 +21,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 4   # path levels an entry may name; deeper entries are refused
-
 
 def host_of(url: Column) -> Column:
     """The lower-case host of an absolute URL, without user, port and a final dot; else null."""
@@ -43,12 +41,7 @@ def intervals(changes: DataFrame) -> DataFrame:
     ``action`` is block, allow or remove; a removed entry leaves a gap.  ``path`` is null or empty
     for a whole host, else levels joined by slashes.
     """
-    clean = changes.select(
-        F.lower("host").alias("host"),
-        F.array_join(F.filter(F.split(F.coalesce("path", F.lit("")), "/"), lambda x: x != ""), "/")
-        .alias("path"), "action", "at",
-    ).filter("host is not null and at is not null and action in ('block', 'allow', 'remove')"
-             f" and size(split(path, '/')) <= {MAX_DEPTH}")
+    clean = valid(changes)
     first = F.min(F.struct(F.expr("case action when 'block' then 0 when 'allow' then 1 else 2 end"),
                            F.col("action"))).alias("best")
     at_once = clean.groupBy("host", "path", "at").agg(first).select(
@@ -61,6 +54,21 @@ def intervals(changes: DataFrame) -> DataFrame:
         "host", "path", "action", F.col("at").alias("valid_from"), "valid_to")
 
 
+def valid(changes: DataFrame) -> DataFrame:
+    """The changes that name a host, a date and a known action, in plain form."""
+    return changes.select(
+        F.lower("host").alias("host"),
+        F.array_join(F.filter(F.split(F.coalesce("path", F.lit("")), "/"), lambda x: x != ""), "/")
+        .alias("path"), "action", "at",
+    ).filter("host is not null and at is not null and action in ('block', 'allow', 'remove')")
+
+
+def depths(changes: DataFrame) -> DataFrame:
+    """One row: the numbers of path levels that entries have."""
+    return valid(changes).agg(F.collect_set(
+        F.expr("if(path = '', 0, size(split(path, '/')))")).alias("depths"))
+
+
 def judge(captures: DataFrame, changes: DataFrame, id_col: str = "page_id", url_col: str = "url",
           time_col: str = "fetched_at") -> DataFrame:
     """Per capture: id, host, fetch time, the entry that decided, and ``blocked``."""
@@ -69,11 +77,11 @@ def judge(captures: DataFrame, changes: DataFrame, id_col: str = "page_id", url_
         F.col(id_col).alias("id"), url.alias("url"), F.col(time_col).alias("time"),
         host_of(url).alias("host"), path_levels(url).alias("levels"))
     row = F.struct("id", "url", "time", "host")
-    # One key per level of the path down to the deepest an entry may have, the host alone first.
-    depth = F.least(F.size("levels"), F.lit(MAX_DEPTH))
-    keys = F.transform(F.sequence(F.lit(0), depth), lambda i: F.struct(
+    # One key per depth that the list has and the path reaches; depth 0 is the host alone.
+    keys = F.transform(F.filter("depths", lambda i: i <= F.size("levels")), lambda i: F.struct(
         i.alias("depth"), F.array_join(F.slice("levels", F.lit(1), i), "/").alias("path")))
-    asked = rows.filter("host is not null and time is not null").select(
+    asked = rows.filter("host is not null and time is not null").crossJoin(
+        F.broadcast(depths(changes))).select(
         row.alias("row"), "host", F.explode(keys).alias("key")).select(
         "row", "host", "key.depth", F.col("key.path").alias("path"), F.col("row.time").alias("time"))
     listed = intervals(changes)

@@ -67,6 +67,18 @@ def test_against_search(spark):
     assert found == {i: blocked(u, d) for i, u, d in captures}
 
 
+def test_entries_of_any_depth(spark):
+    """Entries apply as deep as the list names them."""
+    deep = "/".join(f"l{i}" for i in range(60))
+    changes = [("h.org", "", "block", 0), ("h.org", "a/b/c/d/e/f", "allow", 0), ("i.org", deep, "block", 5)]
+    captures = [(1, "http://h.org/a/b/c/d/e/f/g", 3), (2, "http://h.org/a/b/c/d/e/x", 3),
+                (3, f"http://i.org/{deep}", 4), (4, f"http://i.org/{deep}/more", 5),
+                (5, f"http://i.org/{deep}x", 5), (6, "http://h.org/a/b/c/d/e/f", 3)]
+    found = {r.page_id: (r.blocked, r.entry_path) for r in judged(spark, captures, changes)}
+    assert found == {1: (False, "a/b/c/d/e/f"), 2: (True, ""), 3: (False, None), 4: (True, deep),
+                     5: (False, None), 6: (False, "a/b/c/d/e/f")}
+
+
 def test_no_python_in_the_plan(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     plan = U.judge(U.dated_captures(pages), U.dated_list(pages))._jdf.queryExecution().toString()
