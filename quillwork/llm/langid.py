@@ -7,9 +7,11 @@ are windows of labelled texts, some of them joined from two languages, so that t
 switch.  Forward-backward then gives each word of a text its marginals, step by step for many texts
 at once; a document's language has the largest mean marginal, weighted by letters.
 
-Only the model is fitted on a sample: about ``SAMPLE_ROWS`` texts for each of the ``LANGUAGES`` most
-frequent languages, of up to ``SAMPLE_LENGTH`` characters, chosen by a hash of the id.  Every text is labelled from end to end, where it
-lies; there is no shuffle.
+Only the model is fitted on a sample, but of every language: up to ``SAMPLE_ROWS`` texts each, or an
+equal share of ``SAMPLE_ROWS * LANGUAGES`` where there are more than ``LANGUAGES`` of them, one at
+least, chosen by a hash of the id.  Of a text above ``SAMPLE_LENGTH`` characters, stretches over its
+whole length are taken.  The driver needs half a megabyte a language while it learns.  Every text is
+labelled from end to end, where it lies; there is no shuffle.
 
 Defined results: null text, and text without a letter, is ``und`` with score 0, as is all text when
 nothing could be learned from; a null id or null language is never learned from; repeated rows get
@@ -22,13 +24,17 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LANGUAGES = 32
+from quillwork.functions.text import stretches
+from quillwork.session import settle
+
+LANGUAGES = 32         # for which the budgets of rows and words hold in full; more languages share them
 SAMPLE_ROWS = 400
 SAMPLE_LENGTH = 20_000
 WINDOW = 60            # words of a training window
@@ -44,16 +50,23 @@ words_in = re.compile(r"[^\W\d_]+").findall
 
 
 def feature_ids(word: str) -> list[int]:
-    """Hashed affixes and n-grams of a word."""
-    p = f"<{word}>" if len(word) <= 40 else f"<{word[:20]}{word[-20:]}>"
+    """Hashed affixes and n-grams of a whole word; of a long one each hashed feature once."""
+    p = f"<{word}>"
     parts = {f"w{word}" if len(word) <= 12 else "long"}
     parts.update(f"p{p[:k]}" for k in (2, 3, 4))
     parts.update(f"s{p[-k:]}" for k in (2, 3, 4))
-    parts.update(p[i:i + 3] for i in range(len(p) - 2))
-    parts.update(c for c in word if c > "\x7f")
+    inner = chain((p[i:i + 3] for i in range(len(p) - 2)), (c for c in word if c > "\x7f"))
+    if len(word) > 40:
+        return sorted({zlib.crc32(x.encode()) % SPACE for x in chain(parts, inner)})
+    parts.update(inner)
     return [zlib.crc32(x.encode()) % SPACE for x in parts]
 
 
+def shared_out(words: int, languages: int) -> int:
+    """A number of words that are held at once, less where each needs more columns."""
+    return max(1, words * LANGUAGES // max(LANGUAGES, languages))
+
+
 def marginals(emissions: np.ndarray, sizes: np.ndarray, transitions: np.ndarray) -> np.ndarray:
     """Forward-backward over many sequences laid end to end.
 
@@ -127,7 +140,7 @@ class Chain:
 
     def label(self, groups: list[list[str]]) -> list[np.ndarray]:
         """Marginals per word (rows) and language (columns) of each list of words."""
-        if len(self.kept) > KEPT_WORDS:
+        if len(self.kept) > shared_out(KEPT_WORDS, len(self.languages)):
             self.kept.clear()
         sizes = np.array([len(g) for g in groups], "i8")
         if not sizes.sum():
@@ -141,7 +154,7 @@ class Chain:
         for text in texts:
             group.append(words_in((text or "").lower()))
             size += len(group[-1])
-            if size >= GROUP_WORDS:
+            if size >= shared_out(GROUP_WORDS, len(self.languages)):
                 out += self.verdicts(group)
                 group, size = [], 0
         return out + self.verdicts(group)
@@ -204,17 +217,17 @@ def fit(sample: pd.DataFrame, seed: int = 0) -> Chain:
     rng = np.random.default_rng(seed)
     texts, labels = sample["text"].tolist(), [languages.index(x) for x in sample["lang"]]
     lexicons = lexicon_of(texts, labels, k)
-    chain = Chain(languages, np.zeros((SPACE, k)), lexicons, np.zeros((k, k)), np.zeros((k, k)))
+    model = Chain(languages, np.zeros((SPACE, k)), lexicons, np.zeros((k, k)), np.zeros((k, k)))
     windows = training_windows(texts, labels, rng)
     ids: dict[str, list[int]] = {}
     none = np.zeros(k, "f4")
-    steps = {name: np.full_like(getattr(chain, name), 1e-3)
+    steps = {name: np.full_like(getattr(model, name), 1e-3)
              for name in ("weights", "lexicon_weights", "transitions")}
 
-    def climb(name: str, gradient: np.ndarray, rate: float) -> None:
-        """An adaptive gradient step."""
-        steps[name] += gradient ** 2
-        getattr(chain, name)[...] += rate * gradient / np.sqrt(steps[name])
+    def climb(name: str, gradient: np.ndarray, rate: float, rows=slice(None)) -> None:
+        """An adaptive gradient step; rows that are left out have no gradient."""
+        steps[name][rows] += gradient ** 2
+        getattr(model, name)[rows] += rate * gradient / np.sqrt(steps[name][rows])
 
     for _ in range(EPOCHS):
         order = rng.permutation(len(windows))
@@ -230,26 +243,28 @@ def fit(sample: pd.DataFrame, seed: int = 0) -> Chain:
             flat = np.array([x for ls in lists for x in ls])
             owner = np.repeat(np.arange(len(words)), [len(ls) for ls in lists])
             held = np.array([lexicons.get(w, none) for w in words])
-            emissions = np.add.reduceat(chain.weights[flat], np.r_[0, np.flatnonzero(np.diff(owner)) + 1])
-            emissions = emissions + held @ chain.lexicon_weights
-            shares = marginals(emissions, sizes, chain.transitions)
+            emissions = np.add.reduceat(model.weights[flat], np.r_[0, np.flatnonzero(np.diff(owner)) + 1])
+            emissions = emissions + held @ model.lexicon_weights
+            shares = marginals(emissions, sizes, model.transitions)
             wrong = np.eye(k)[states] - shares
-            gradient = np.zeros_like(chain.weights)
-            np.add.at(gradient, flat, wrong[owner])
+            touched, places = np.unique(flat, return_inverse=True)
+            gradient = np.zeros((len(touched), k))
+            np.add.at(gradient, places, wrong[owner])
             inside = np.ones(len(words), bool)
             inside[np.cumsum(sizes) - 1] = False
             here = np.flatnonzero(inside)
             # Expected transitions, from neighbouring marginals and the current transitions.
-            joint = shares[here][:, :, None] * shares[here + 1][:, None, :] * np.exp(
-                chain.transitions - chain.transitions.max())
-            joint /= joint.sum(axis=(1, 2), keepdims=True)
+            move = np.exp(model.transitions - model.transitions.max())
+            reached = shares[here] @ move
+            scaled = shares[here + 1] / (reached * shares[here + 1]).sum(axis=1, keepdims=True)
+            joint = move * (shares[here].T @ scaled)
             seen = np.zeros((k, k))
             np.add.at(seen, (states[here], states[here + 1]), 1)
-            climb("weights", gradient / len(batch), 0.1)
+            climb("weights", gradient / len(batch), 0.1, touched)
             climb("lexicon_weights", held.T @ wrong / len(batch), 0.1)
-            climb("transitions", (seen - joint.sum(axis=0)) / len(batch), 0.05)
-    chain.weights = chain.weights.astype("f4")
-    return chain
+            climb("transitions", (seen - joint) / len(batch), 0.05)
+    model.weights = model.weights.astype("f4")
+    return model
 
 
 def fold(id_column: Column) -> Column:
@@ -258,19 +273,21 @@ def fold(id_column: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> pd.DataFrame:
-    """Labelled texts outside the held-out fold, about ``SAMPLE_ROWS`` per language."""
+    """Labelled texts outside the held-out fold, up to an equal share of the rows per language."""
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                         F.col(lang_col).alias("lang")).filter(
-        f"id is not null and lang is not null and length(text) <= {SAMPLE_LENGTH}").filter(fold(F.col("id")) != 0)
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(
-        F.desc("n"), "lang").limit(LANGUAGES)
-    # Twice the rows by chance, then exactly the first ones by hash, so the bound holds.
-    chance = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) * F.col("n") < 2_000_000 * SAMPLE_ROWS
+        "id is not null and lang is not null and text is not null").filter(fold(F.col("id")) != 0)
+    counts = settle(known.groupBy("lang").agg(F.count("*").alias("n")))
+    each = max(1, min(SAMPLE_ROWS, SAMPLE_ROWS * LANGUAGES // max(1, counts.count())))
+    # Some more rows than needed by chance, then exactly the first ones of each language by hash.
+    place = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
+    chance = place * F.col("n") < 1_000_000 * (2 * each + 20)
     drawn = known.join(F.broadcast(counts), "lang").filter(chance).select(
-        "id", "lang", "text")
-    found = drawn.orderBy(F.pmod(F.xxhash64("id"), F.lit(1_000_000)), "id", "text").limit(
-        2 * SAMPLE_ROWS * LANGUAGES).toPandas()
-    return found.groupby("lang", sort=True).head(SAMPLE_ROWS)
+        "id", "lang", stretches(F.col("text"), F.lit(SAMPLE_LENGTH)).alias("text"), place.alias("place"))
+    first = Window.partitionBy("lang").orderBy("place", "id", "text")
+    found = drawn.withColumn("number", F.row_number().over(first)).filter(F.col("number") <= each)
+    return found.select("place", "id", "lang", "text").toPandas().sort_values(
+        ["place", "id", "text"]).drop(columns="place")
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

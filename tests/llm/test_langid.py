@@ -75,3 +75,46 @@ def test_groups_of_texts_do_not_matter(monkeypatch):
     split = chain.documents(texts)
     assert [a[0] for a in whole] == [b[0] for b in split]
     assert np.allclose([a[1] for a in whole], [b[1] for b in split])
+
+
+def made_up(spark, languages, rows, length):
+    """Texts of languages with letters of their own."""
+    rng = np.random.default_rng(4)
+
+    def words(k, n):
+        own = [chr(0x4E00 + 20 * k + j) for j in range(20)]
+        return " ".join("".join(rng.choice(own, 4)) for _ in range(n))
+
+    return spark.createDataFrame(
+        [(k * 1000 + i, words(k, length), f"l{k:02}") for k in range(languages) for i in range(rows)],
+        "doc_id long, text string, lang string")
+
+
+def test_more_languages_than_a_full_budget_holds(spark):
+    docs = made_up(spark, 40, 12, 30)
+    chain = G.learn(docs)
+    assert len(chain.languages) == 40
+    found = {r.doc_id: r.lang_pred for r in G.languages_of(docs, chain).collect()}
+    held = docs.filter(G.fold(G.F.col("doc_id")) == 0).collect()
+    assert len(held) > 40 and np.mean([found[r.doc_id] == r.lang for r in held]) >= 0.97
+
+
+def test_rows_are_shared_among_languages(spark, monkeypatch):
+    monkeypatch.setattr(G, "LANGUAGES", 2)
+    monkeypatch.setattr(G, "SAMPLE_ROWS", 10)
+    sample = G.training_sample(made_up(spark, 5, 60, 5), "doc_id", "text", "lang")
+    assert sample.groupby("lang").size().tolist() == [4] * 5
+
+
+def test_a_language_of_long_texts_only(spark, monkeypatch):
+    monkeypatch.setattr(G, "SAMPLE_LENGTH", 1000)
+    docs = made_up(spark, 2, 10, 50).union(made_up(spark, 3, 10, 2000).filter("lang = 'l02'"))
+    sample = G.training_sample(docs, "doc_id", "text", "lang")
+    assert sample["text"].str.len().max() <= 1000
+    assert G.fit(sample).languages == ["l00", "l01", "l02"]
+
+
+def test_features_of_the_middle_of_long_words():
+    a, b = ("".join(["\u4e00" * 20, middle * 30, "\u4e01" * 20]) for middle in "\u5000\u5001")
+    assert set(G.feature_ids(a)) != set(G.feature_ids(b))
+    assert len(G.feature_ids(a * 1000)) <= G.SPACE
