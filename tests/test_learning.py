@@ -61,3 +61,13 @@ def test_label_index_orders_by_frequency_then_name(spark):
 def test_hash_split_handles_negative_keys(spark):
     a, b = learning.hash_split(spark.range(-500, 500), "id")
     assert a.count() + b.count() == 1000 and a.count() > 600
+
+
+def test_label_index_stays_on_spark(spark):
+    words = [f"w{i % 997}" for i in range(5000)] + [None, "", "w7"]
+    found = learning.label_index(spark.createDataFrame([(w,) for w in words], "w string"), "w")
+    plan = found._jdf.queryExecution().toString()
+    assert "ExistingRDD" not in plan and "LocalTableScan" not in plan
+    counts = {w: words.count(w) for w in set(words) - {None}}
+    ranked = sorted(counts, key=lambda w: (-counts[w], w))
+    assert sorted(map(tuple, found.collect())) == [(float(i), w) for i, w in enumerate(ranked)]
