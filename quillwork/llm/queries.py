@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwork.llm import (
-    bpe, editcount, langid, linededup, ngramjoin, packing, quality, toxicity, urlfilter, vectorjoin,
+    bpe, editcount, langid, linededup, merkle, ngramjoin, packing, quality, toxicity, urlfilter,
+    vectorjoin,
 )
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -271,6 +272,89 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and, of one in seven tampered with, the root that follows."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    fields = [F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+              if c == "n_chars" else F.col(c) for c in merkle.FIELDS]
+    rows = merkle.manifest(docs, carry={"found": merkle.leaf_digest(*fields)}).withColumn(
+        "folded", merkle.folded(F.col("found"), F.col("path")))
+    return rows.select(
+        F.col("id").alias("doc_id"), *[merkle.shown(c).alias(c) for c in ("leaf", "subroot", "root")],
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle.shown("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
+OP13_SQL = """
+with recursive given as (
+    select row_number() over () as id, doc_id, coalesce('=' || lang, '') as tree,
+           coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-')
+               || coalesce(strlen(source) || ':' || source, '-')
+               || coalesce(strlen(lang) || ':' || lang, '-') as head,
+           n_chars, coalesce(strlen(text) || ':' || text, '-') as tail,
+           xor(4294967295::bigint, list_reduce(list_prepend(4294967295::bigint, list_transform(
+               string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+               lambda crc, byte: list_reduce(
+                   list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+                   lambda x, _: case x % 2 when 1 then xor(x // 2, 3988292384) else x // 2 end))) as crc
+    from documents
+), leaves as (
+    select id, doc_id, tree,
+           sha256(head || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || tail) as leaf,
+           sha256(head || coalesce(strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1), '-') || tail)
+               as altered, coalesce(crc % 7 = 0, false) as tampered
+    from given
+), ranked as (
+    select *, row_number() over (partition by tree order by doc_id nulls first, leaf, id) - 1 as place
+    from leaves
+), levels as (
+    select tree, 0 as level, list(leaf order by place) as row from ranked group by tree
+    union all
+    select tree, level + 1, list_transform(range((len(row) + 1) // 2), lambda i: sha256(
+        row[2 * i + 1] || coalesce(row[2 * i + 2], '')))
+    from levels where len(row) > 1
+), nodes as (
+    select tree, level, unnest(row) as digest, unnest(range(len(row))) as place from levels
+), heights as (
+    select tree, max(level) as height, arg_max(row[1], level) as subroot,
+           row_number() over (order by tree) - 1 as place
+    from levels group by tree
+), top_levels as (
+    select 0 as level, list(subroot order by place) as row from heights
+    union all
+    select level + 1, list_transform(range((len(row) + 1) // 2), lambda i: sha256(
+        row[2 * i + 1] || coalesce(row[2 * i + 2], '')))
+    from top_levels where len(row) > 1
+), top_nodes as (
+    select level, unnest(row) as digest, unnest(range(len(row))) as place from top_levels
+), summit as (
+    select max(level) as height, arg_max(row[1], level) as root from top_levels
+), walk as (
+    select id, tree, 0 as level, place, case when tampered then altered else leaf end as now, '' as proof
+    from ranked
+    union all
+    select w.id, w.tree, w.level + 1, w.place // 2,
+           sha256(case w.place % 2 when 1 then s.digest || w.now else w.now || coalesce(s.digest, '') end),
+           w.proof || coalesce(s.digest, '')
+    from walk w join heights h on h.tree = w.tree and w.level < h.height
+    left join nodes s on s.tree = w.tree and s.level = w.level and s.place = xor(w.place, 1)
+), climb as (
+    select w.id, 0 as level, h.place, w.now, w.proof
+    from walk w join heights h on h.tree = w.tree and h.height = w.level
+    union all
+    select c.id, c.level + 1, c.place // 2,
+           sha256(case c.place % 2 when 1 then s.digest || c.now else c.now || coalesce(s.digest, '') end),
+           c.proof || coalesce(s.digest, '')
+    from climb c join summit t on c.level < t.height
+    left join top_nodes s on s.level = c.level and s.place = xor(c.place, 1)
+)
+select r.doc_id, r.leaf, h.subroot, t.root, sha256(c.proof) as proof_sha256, c.now as folded_root,
+       c.now = t.root as verified
+from ranked r join heights h using (tree) join climb c on c.id = r.id join summit t on t.height = c.level
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
@@ -282,6 +366,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLE: dict[str, str] = {
@@ -289,4 +374,5 @@ ORACLE: dict[str, str] = {
     "op6_embedding_dedup": OP6_SQL,
     "op7_url_filter": OP7_SQL,
     "op9_quality_rules": OP9_SQL,
+    "op13_merkle": OP13_SQL,
 }

@@ -1,0 +1,95 @@
+"""The Merkle manifest against a tree built in one list, and its proofs."""
+
+import hashlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from quillwork.llm import merkle
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, tree string, lo long, path int"
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf_of(row):
+    by_name = dict(zip(("doc_id", "text", "lang", "source", "n_chars"), row))
+    values = [by_name[c] for c in merkle.FIELDS]
+    return digest("".join(
+        "-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def above(row):
+    return [digest("".join(row[i:i + 2])) for i in range(0, len(row), 2)]
+
+
+def proof(row, place):
+    """Siblings from a leaf to the root, and the root."""
+    way = []
+    while len(row) > 1:
+        way += row[place ^ 1:(place ^ 1) + 1]
+        row, place = above(row), place // 2
+    return way, row[0]
+
+
+def expected(rows):
+    trees = defaultdict(list)
+    for row in rows:
+        trees[row[2]].append(row)
+    out, order = [], sorted(trees, key=lambda t: (t is not None, (t or "").encode()))
+    for tree in trees.values():
+        tree.sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf_of(r)))
+    roots = [proof([leaf_of(r) for r in trees[t]], 0)[1] for t in order]
+    for at, name in enumerate(order):
+        leaves = [leaf_of(r) for r in trees[name]]
+        over, root = proof(roots, at)
+        for place, row in enumerate(trees[name]):
+            way, subroot = proof(leaves, place)
+            out.append((row[0], leaves[place], subroot, root, digest("".join(way + over)), True))
+    return out
+
+
+def found(spark, rows):
+    wide = [(*row, "clash", 7, 9) for row in rows]
+    df = merkle.manifest(spark.createDataFrame(wide, SCHEMA)).select(
+        "id", *[merkle.shown(c) for c in ("leaf", "subroot", "root")],
+        merkle.proof_digest(F.col("path")),
+        merkle.folded(F.col("leaf"), F.col("path")) == F.col("root"))
+    return [tuple(r) for r in df.collect()]
+
+
+def key(row):
+    return tuple(str(x) for x in row)
+
+
+ROWS = [
+    *[(i, f"text {i}", "en", "web", 3) for i in range(131)],
+    *[(i, "", "de", None, None) for i in range(64)],
+    *[(i, "ä" * i, "fr", "s", i) for i in range(65)],
+    (2 ** 53 + 1, "only", "es", "s", 1), (2 ** 53 + 2, "one", "", "s", 1),
+    (2 ** 53 + 1, None, None, "s", 1), (None, None, None, None, None), (None, "x", None, "", 2),
+    *[(5, "again and again", "it", "s", 15)] * 7,
+]
+
+
+@pytest.mark.parametrize("rows", [ROWS, ROWS[:1], ROWS[:2], ROWS[130:195]],
+                         ids=["many", "one", "two", "two trees"])
+def test_against_one_list(spark, rows):
+    assert sorted(found(spark, rows), key=key) == sorted(expected(rows), key=key)
+
+
+def test_no_rows(spark):
+    assert found(spark, []) == []
+
+
+def test_a_changed_leaf_does_not_verify(spark):
+    docs = spark.createDataFrame([(*row, "clash", 7, 9) for row in ROWS], SCHEMA)
+    other = merkle.leaf_digest(*[F.col(c) + 1 if c == "n_chars" else F.col(c) for c in merkle.FIELDS])
+    rows = merkle.manifest(docs, carry={"other": other}).select(
+        "id", (merkle.folded(F.col("other"), F.col("path")) == F.col("root")).alias("same"),
+        (F.col("other") == F.col("leaf")).alias("unchanged")).collect()
+    assert all(r.same == r.unchanged for r in rows)
+    assert {r.same for r in rows} == {True, False}
