@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwork.llm import (
-    bpe, editcount, langid, linededup, merkle, ngramjoin, packing, quality, toxicity, urlfilter,
-    vectorjoin,
+    bpe, editcount, langid, linededup, merkle, ngramjoin, packing, quality, runs, toxicity,
+    urlfilter, vectorjoin,
 )
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -272,6 +272,37 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; a tenth of the texts go on periodically from some word on."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    crc = F.crc32(F.col("doc_id").cast("string"))
+    rest = docs.filter(F.coalesce(crc % 10 != 0, F.lit(True))).select("doc_id", "text")
+    chosen = docs.filter(crc % 10 == 0).select(
+        "doc_id", words.alias("words"), F.floor(crc / 10).alias("g")).withColumn(
+        "n", F.size("words")).withColumn("a", F.expr("cast(if(n > 0, g % n, 0) as int)")).withColumn(
+        "p", F.expr("cast(1 + floor((n - a) / (3 + g % 8)) as int)"))
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), F.expr(
+        "transform(if(n > a, sequence(a, n - 1), cast(array() as array<int>)), "
+        "i -> words[a + (i - a) % p])")), " ")
+    return rest.unionByName(chosen.select("doc_id", planted.alias("text")))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, and digests of the texts without their repeats."""
+    found = runs.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    # Runs come by start, then period, so the first of equal exponents stays.
+    best = F.expr("""aggregate(runs, cast(null as struct<start:bigint,length:bigint,period:bigint>),
+        (best, r) -> if(best is null or r.length * best.period > best.length * r.period, r, best))""")
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select("doc_id", "n_runs", "best.*",
+             F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+             "runs_sha256", "collapsed_sha256")
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf, proof and, of one in seven tampered with, the root that follows."""
     docs = table(spark, sf_dir, "documents")
@@ -366,6 +397,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
+    "op11_runs": op11_runs,
     "op13_merkle": op13_merkle,
 }
 
