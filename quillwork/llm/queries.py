@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwork.llm import (
-    bpe, editcount, langid, linededup, merkle, ngramjoin, packing, quality, runs, toxicity,
-    urlfilter, vectorjoin,
+    bpe, editcount, hmm, langid, linededup, merkle, ngramjoin, packing, quality, runs,
+    toxicity, urlfilter, vectorjoin,
 )
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -303,6 +303,12 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
              "runs_sha256", "collapsed_sha256")
 
 
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's likelihood under a model of the documents outside the held-out fold."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return hmm.score_texts(table(spark, sf_dir, "documents"), ~held_out, held_out)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf, proof and, of one in seven tampered with, the root that follows."""
     docs = table(spark, sf_dir, "documents")
@@ -398,6 +404,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
     "op11_runs": op11_runs,
+    "op12_language_model": op12_language_model,
     "op13_merkle": op13_merkle,
 }
 
