@@ -29,29 +29,67 @@ def get_spark(app: str = "quillwork", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+def _remote(spark: SparkSession, path: str):
+    """A path of the cluster's file systems, as its file system and the path there."""
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(spark._jsc.hadoopConfiguration()), named
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system holds it; nothing happens if there is none."""
+    files, named = _remote(spark, path)
+    files.delete(named, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, named = _remote(spark, path)
+    return files.exists(named)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """This session's own folder below ``spark.checkpoint.dir``; it is deleted when the driver ends.
 
-    Only a local session may go without that setting; it then gets a temporary folder.
+    Only a local session may go without that setting; it then gets a temporary folder.  On a cluster
+    a folder of the local file system may be a network mount or not, so it is tried out: a table the
+    executors write must be found by all of them.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    current = context.getCheckpointDir()
-    if named:
-        if current is None:
-            context.setCheckpointDir(named)
-        return named
-    if current:
-        return current
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="quillwork-")
-    context.setCheckpointDir(folder)
+    known = getattr(context, "_quillwork_folder", None)
+    if known:
+        return known
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    local = context.master.startswith("local")
+    if root is None:
+        if not local:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="quillwork-")
+        files, named = _remote(spark, root)
+        files.deleteOnExit(named)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
+    folder = f"{root.rstrip('/')}/quillwork-{uuid.uuid4().hex}"
+    files, named = _remote(spark, folder)
+    files.mkdirs(named)
+    files.deleteOnExit(named)
+    if not local and files.getScheme() == "file":
+        _try_out(spark, f"{folder}/tried")
+    context._quillwork_folder = folder
     return folder
 
 
+def _try_out(spark: SparkSession, path: str) -> None:
+    """Raise unless what executors write to a folder is there for the driver and for executors."""
+    tasks = max(spark.sparkContext.defaultParallelism, 2)
+    spark.range(0, tasks, 1, tasks).write.parquet(path)
+    files, named = _remote(spark, path)
+    written = sum(f.getPath().getName().startswith("part-") for f in files.listStatus(named))
+    if written < tasks or spark.read.schema("id long").parquet(path).count() < tasks:
+        raise RuntimeError(f"executors do not share {path}: set spark.checkpoint.dir to a folder they share")
+    delete(spark, path)
+
+
 def new_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared folder."""
+    """A fresh path below the session's shared folder."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -59,8 +97,50 @@ def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once as a table in the shared folder and return that table.
 
     The plan is cut, executor loss costs nothing already written, and the optimizer knows the real
-    size of what follows.  The caller's cluster decides how long the shared folder is kept.
+    size of what follows.  The table stays until the driver ends; see :class:`Scratch` for tables
+    that may go earlier.
     """
-    path = new_path(df.sparkSession, "settled")
+    return _written(df, new_path(df.sparkSession, "settled"))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Settled tables by name, owned by one job.
+
+    Settling under a name in use deletes that name's earlier table as soon as the new one is written,
+    so a loop holds one state, not all of them.  Leaving the ``with`` block, or :meth:`close`, deletes
+    all tables but those named: a job that returns a lazy result keeps the tables it reads, and they go
+    when the driver ends.  No frame that reads a deleted table may be used again.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def settle(self, df: DataFrame, name: str) -> DataFrame:
+        path = new_path(self.spark, name)
+        try:
+            table = _written(df, path)
+        except BaseException:
+            delete(self.spark, path)
+            raise
+        self.drop(name)
+        self.paths[name] = path
+        return table
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if path := self.paths.pop(name, None):
+                delete(self.spark, path)
+
+    def close(self, *keep: str) -> None:
+        self.drop(*[name for name in self.paths if name not in keep])
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()

@@ -7,11 +7,12 @@ import pytest
 import __spark_entry__ as entry
 from compare import connect, duck_rows, spark_rows
 from quillwork.plans.inspect import plan_text
+from quillwork.plans.oracle import ORACLE
+from quillwork.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 MODELS = ["regression_model", "feature_importance", "classifier_model", "prediction_grid"]
 
 
@@ -27,6 +28,10 @@ def test_every_query_but_the_models_has_a_twin():
     assert set(ORACLE) <= set(QUERIES)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_result_and_plan(spark, duck, name):
     df = QUERIES[name](spark, SF)
