@@ -1,39 +1,12 @@
-import random
-import statistics
 from decimal import Decimal
 
 import pytest
 
 from quillwork import schemas
-from quillwork.operators import median, warehouse
+from quillwork.operators import warehouse
 from quillwork.sources import readers
 
 
-def test_median_matches_python(spark):
-    rng = random.Random(11)
-    rows = [(rng.choice("ab"), Decimal(rng.randrange(0, 3000)) / 100) for _ in range(801)]
-    rows += [("one", Decimal("4.25")), ("two", Decimal("1.00")), ("two", Decimal("2.00")), ("a", None)]
-    rows += [("same", Decimal("7.00"))] * 50
-    df = spark.createDataFrame(rows, "k string, v decimal(7,2)")
-    wanted = {}
-    for k, v in rows:
-        if v is not None:
-            wanted.setdefault(k, []).append(v)
-    for limit in (1_000_000, 20, 1):
-        got = median.summary_with_median(df, ["k"], "v", rank_limit=limit).collect()
-        assert {r.k: (r["count"], r.total, r.median) for r in got} == {
-            k: (len(v), sum(v), float(statistics.median(v))) for k, v in wanted.items()
-        }
-
-
-def test_median_of_skewed_doubles(spark):
-    rng = random.Random(2)
-    values = [rng.lognormvariate(0, 4) for _ in range(2001)]
-    df = spark.createDataFrame([(1, v) for v in values], "k int, v double")
-    got = median.summary_with_median(df, ["k"], "v", rank_limit=10).first()
-    assert got.median == statistics.median(values)
-
-
 @pytest.fixture
 def star(spark):
     table = spark.createDataFrame
@@ -99,10 +72,3 @@ def test_declared_tag_struct(spark, tmp_path):
     amenities = readers.json_lines(spark, str(tmp_path), schema, "DROPMALFORMED")
     assert warehouse.amenities_with_tag(amenities, "cuisine", "%sushi%", "cafe").count() == 1
     assert amenities.filter("tags.brand is null").count() == 1
-
-
-def test_purchases_without_amount_count_but_do_not_lower_the_mean(spark):
-    df = spark.createDataFrame([("a", 4), ("a", None), ("a", 8), ("b", None)], "k string, v int")
-    got = {r.k: (r.n_rows, r["count"], r.total, r.median)
-           for r in median.summary_with_median(df, ["k"], "v").collect()}
-    assert got == {"a": (3, 2, 12, 6.0), "b": (1, 0, None, None)}
