@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillwork.functions.nulls import present
 from quillwork.functions.text import split_on_space
 from quillwork.operators.sizing import join_measured, settle_measured
-from quillwork.session import settle
+from quillwork.session import Scratch, new_path, settle_at
 
 
 def edges_from_adjacency(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -25,43 +24,49 @@ def edges_from_adjacency(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def neighbours(links: DataFrame, node: str) -> DataFrame:
+    """Edges that leave a node; of edges bucketed by ``src`` one bucket is read."""
+    return links.filter(F.col("src") == F.lit(node).cast(links.schema["src"].dataType))
+
+
 def shortest_paths(edges: DataFrame, source: str, max_hops: int = 6,
                    destination: str | None = None) -> DataFrame:
     """``(node, parent, distance)`` of every node within ``max_hops`` of ``source``.
 
-    Among equally short ways the smallest parent is kept.  Each round expands only the nodes found
-    in the round before, keeps one parent per new node with a map-side minimum, and is settled in
-    the shared folder, so plans stay small and a lost executor costs one round at most.  Stops
-    when ``destination`` or nothing new was found.
+    Among equally short ways the smallest parent is kept.  The edges are exchanged once, into buckets
+    sorted by ``src``: the first round reads the source's bucket, a later one joins the nodes found in
+    the round before, which alone are broadcast (when measured small) or shuffled.  A round keeps one
+    parent per new node with a map-side minimum and is written to a directory of its own,
+    ``distance=...``, so plans stay small, a lost executor costs one round at most, and who asks for
+    one distance reads one directory.  Stops when ``destination`` or nothing new was found.
     """
-    # Repeated edges stay: each round's map-side minimum absorbs them without a shuffle of their own.
-    links = settle(edges.select("src", "dst").filter(present("src", "dst")))
-    kind = links.schema["dst"].dataType
-    start = links.sparkSession.range(1).select(
-        F.lit(source).cast(kind).alias("node"),
-        F.lit(None).cast(kind).alias("parent"),
-        F.lit(0).alias("distance"),
-    )
-    rounds = [start]
-    size = (1, 0)
-    for hop in range(1, max_hops + 1):
-        frontier = rounds[-1].select(F.col("node").alias("src"))
-        reached = (
-            join_measured(links, frontier, size, ["src"])
-            .groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("parent"))
-        )
-        known = reduce(DataFrame.unionByName, rounds).select("node")
-        fresh, size = settle_measured(
-            reached.join(known, "node", "left_anti").withColumn("distance", F.lit(hop))
-        )
-        if size[0] == 0:
-            break
-        rounds.append(fresh)
-        if destination is not None and not fresh.filter(
-            F.col("node") == F.lit(destination).cast(kind)
-        ).isEmpty():
-            break
-    return reduce(DataFrame.unionByName, rounds)
+    spark = edges.sparkSession
+    with Scratch(spark) as scratch:
+        # Repeated edges stay: each round's map-side minimum absorbs them without a shuffle of their own.
+        links = scratch.bucketed(
+            edges.select("src", "dst").filter(present("src", "dst")), "edges", "src")
+        kind = links.schema["dst"].dataType
+        root = new_path(spark, "paths")
+        named = T.StructType([T.StructField("node", kind), T.StructField("parent", kind),
+                              T.StructField("distance", T.IntegerType())])
+
+        def known() -> DataFrame:
+            return spark.read.schema(named).parquet(root)
+
+        settle_at(spark.range(1).select(F.lit(source).cast(kind).alias("node"),
+                                        F.lit(None).cast(kind).alias("parent")), f"{root}/distance=0")
+        size = (1, 0)
+        for hop in range(1, max_hops + 1):
+            frontier = known().filter(F.col("distance") == hop - 1).select(F.col("node").alias("src"))
+            leaving = (neighbours(links, source) if hop == 1
+                       else join_measured(links, frontier, size, ["src"]))
+            reached = leaving.groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("parent"))
+            fresh, size = settle_measured(
+                reached.join(known().select("node"), "node", "left_anti"), f"{root}/distance={hop}")
+            if size[0] == 0 or (destination is not None and not fresh.filter(
+                    F.col("node") == F.lit(destination).cast(kind)).isEmpty()):
+                break
+        return known()
 
 
 def by_iteration(paths: DataFrame) -> DataFrame:
@@ -75,14 +80,18 @@ def by_iteration(paths: DataFrame) -> DataFrame:
 def route(paths: DataFrame, destination: str) -> DataFrame:
     """The nodes from the source to ``destination`` as ``(step, node)``, empty if not reached.
 
-    Walks back from one row, so each join, one per hop, has a single row on one side.
+    Walks back from one row: a hop asks for one node at one distance, so it reads one round's directory
+    and, there, the files that may hold the node.  The steps, one a hop, are known to the driver.
     """
-    kind = paths.schema["node"].dataType
-    steps = paths.select(F.col("distance").alias("step"), "node", "parent")
-    here = steps.filter(F.col("node") == F.lit(destination).cast(kind))
-    walked, end = [here], here.first()
-    for _ in range(end.step if end else 0):
-        asked = F.broadcast(here.select(F.col("parent").alias("node")))
-        here = settle(steps.join(asked, "node").select("step", "node", "parent"))
-        walked.append(here)
-    return reduce(DataFrame.unionByName, walked).select("step", "node")
+    spark, kind = paths.sparkSession, paths.schema["node"].dataType
+
+    def at(node, distance: int | None) -> DataFrame:
+        here = paths.filter(F.col("node") == F.lit(node).cast(kind))
+        return here if distance is None else here.filter(F.col("distance") == distance)
+
+    steps, row = [], at(destination, None).first()
+    while row:
+        steps.append((row.distance, row.node))
+        row = at(row.parent, row.distance - 1).first() if row.distance else None
+    return spark.createDataFrame(steps, T.StructType(
+        [T.StructField("step", T.IntegerType()), T.StructField("node", kind)]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quillwork.session import settle
+from quillwork.session import new_path, settle_at
 
 # A broadcast lookup may hold at most this much; beyond it the join is shuffled.
 MAX_BROADCAST_ROWS = 2_000_000
@@ -13,16 +13,16 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 32
 
 
-def settle_measured(df: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+def settle_measured(df: DataFrame, path: str | None = None) -> tuple[DataFrame, tuple[int, int]]:
     """Settle a table and learn its rows and approximate bytes from the same job."""
     width = sum(
         (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns),
         F.lit(ROW_OVERHEAD_BYTES),
     )
     seen = Observation()
-    table = settle(df.observe(
+    table = settle_at(df.observe(
         seen, F.count(F.lit(1)).alias("rows"), F.sum(width.cast("long")).alias("bytes")
-    ))
+    ), path or new_path(df.sparkSession, "settled"))
     return table, (seen.get["rows"], seen.get["bytes"] or 0)
 
 

@@ -100,14 +100,20 @@ def settle(df: DataFrame) -> DataFrame:
     size of what follows.  The table stays until the driver ends; see :class:`Scratch` for tables
     that may go earlier.
     """
-    return _written(df, new_path(df.sparkSession, "settled"))
+    return settle_at(df, new_path(df.sparkSession, "settled"))
 
 
-def _written(df: DataFrame, path: str) -> DataFrame:
+def settle_at(df: DataFrame, path: str) -> DataFrame:
+    """:func:`settle` in a folder of the caller's."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def buckets_of(spark: SparkSession) -> int:
+    """As many buckets as a shuffle has partitions, so that either side may stay where it is."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 class Scratch:
     """Settled tables by name, owned by one job.
 
@@ -118,12 +124,12 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, {}
+        self.spark, self.paths, self.tables = spark, {}, {}
 
     def settle(self, df: DataFrame, name: str) -> DataFrame:
         path = new_path(self.spark, name)
         try:
-            table = _written(df, path)
+            table = settle_at(df, path)
         except BaseException:
             delete(self.spark, path)
             raise
@@ -131,8 +137,24 @@ class Scratch:
         self.paths[name] = path
         return table
 
+    def bucketed(self, df: DataFrame, name: str, key: str) -> DataFrame:
+        """``df`` hashed by ``key`` into files sorted by it, a file a bucket, after one exchange.
+
+        Joins and groups by the key need no further exchange of it, and a filter on one key reads one
+        bucket.  The table is registered in the session's catalogue until it is dropped.
+        """
+        path, table = new_path(self.spark, name), f"quillwork_{uuid.uuid4().hex}"
+        buckets = buckets_of(self.spark)
+        self.drop(name)
+        self.paths[name], self.tables[name] = path, table
+        df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key).option(
+            "path", path).saveAsTable(table)
+        return self.spark.table(table)
+
     def drop(self, *names: str) -> None:
         for name in names:
+            if table := self.tables.pop(name, None):
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
             if path := self.paths.pop(name, None):
                 delete(self.spark, path)
 
