@@ -13,12 +13,12 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillwork.operators.colourspace import rgb_to_lab_sql
+from quillwork.operators.ordering import positioned
 from quillwork.operators.stats import accuracy, regression_metrics
-from quillwork.session import settle
 
 PLACE = ["latitude", "longitude", "elevation"]
 
@@ -77,23 +77,12 @@ def colour_model(space: str = "RGB", words: int = 11, hidden: int = 10, max_iter
 def label_index(df: DataFrame, column: str) -> DataFrame:
     """Labels with their index: most frequent first, ties in alphabetical order; without nulls.
 
-    Counts are sorted by range, numbered in each partition and moved on by the rows before it.
+    Counts are numbered in their order where they lie.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     labels = df.select(column).na.drop().select(F.col(column).cast("string").alias("word"))
-    order = [F.desc("n"), F.asc("word")]
-    place = F.monotonically_increasing_id()  # the partition, and below 33 bits the row in it
-    ordered = settle(
-        labels.groupBy("word").agg(F.count("*").alias("n")).repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order).withColumn("place", place)
-        .select("word", F.shiftright("place", 33).alias("split"),
-                F.col("place").bitwiseAND((1 << 33) - 1).alias("within")))
-    # One row per partition: the window orders partitions, not labels.
-    counts = ordered.groupBy("split").agg(F.count("*").alias("rows"))
-    before = Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("split", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
-    return ordered.join(F.broadcast(offsets), "split").select(
-        (F.col("start") + F.col("within")).cast("double").alias("label"), F.col("word").alias(column))
+    counts = labels.groupBy("word").agg(F.count("*").alias("n"))
+    return positioned(counts, F.desc("n"), F.asc("word"), out="place", first=0).select(
+        F.col("place").cast("double").alias("label"), F.col("word").alias(column))
 
 
 def with_predicted_word(model: PipelineModel, scored: DataFrame, out: str) -> DataFrame:

@@ -12,8 +12,11 @@ from quillwork.schemas import DECLARED_KEYS
 
 
 def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
-    """Key values that occur more than once, with their row count."""
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    """Key values that occur more than once, with their row count.
+
+    A key with a NULL part is no key: it equals nothing, and :func:`check_keys` reports it as missing.
+    """
+    return df.filter(present(*key)).groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
 def orphans(child: DataFrame, foreign: str, parent: DataFrame, key: str) -> DataFrame:
@@ -38,16 +41,19 @@ def _verdict(found: DataFrame, table: str, check: str) -> DataFrame:
 
 
 def check_keys(tables: dict[str, DataFrame], declared: dict[str, dict] = DECLARED_KEYS) -> DataFrame:
-    """One row per declared constraint: distinct offending values and rows concerned."""
+    """One row per declared constraint: distinct offending values and rows concerned.
+
+    Columns of a key must not be NULL, like the required ones; all of a table are counted in one scan.
+    """
     out = []
     for name, rule in declared.items():
         if rule["key"]:
             label = "unique " + ",".join(rule["key"])
             out.append(_verdict(duplicate_keys(tables[name], rule["key"]), name, label))
-        for column in rule["required"]:
-            out.append(_verdict(
-                missing(tables[name], [column]).filter("rows > 0"), name, f"not null {column}"
-            ))
+        if needed := list(dict.fromkeys([*rule["key"], *rule["required"]])):
+            out.append(missing(tables[name], needed).select(
+                F.lit(name).alias("table"), F.concat(F.lit("not null "), "column").alias("check"),
+                (F.col("rows") > 0).cast("bigint").alias("offenders"), "rows"))
         for foreign, (parent, key) in rule["references"].items():
             found = orphans(tables[name], foreign, tables[parent], key)
             out.append(_verdict(found, name, f"{foreign} in {parent}.{key}"))

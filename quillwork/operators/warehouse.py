@@ -98,6 +98,18 @@ def average_at_tagged(purchases: DataFrame, amenities: DataFrame, area: DataFram
     )
 
 
+def average_on_days(purchases: DataFrame, days: DataFrame, name: str) -> DataFrame:
+    """Count and mean amount of the purchases on days of one name, by date.
+
+    ``days`` (``date, holiday``) is measured before it is broadcast.  On a table partitioned by
+    ``pdate`` its dates prune directories at run time, before any is read.
+    """
+    listed, size = settle_measured(days.filter("holiday is not null").distinct())
+    chosen = listed.filter(F.col("holiday") == name).select(F.col("date").alias("pdate"))
+    return join_measured(purchases, chosen, size, ["pdate"]).groupBy("pdate").agg(
+        F.count(F.lit(1)).alias("purchases"), F.avg("amount").cast("double").alias("avg"))
+
+
 def average_by_day(purchases: DataFrame, month: int = 8, days: tuple[int, ...] = (1, 2, 3, 4, 5),
                    date: str = "pdate", amount: str = "amount") -> DataFrame:
     """Mean amount per date for chosen days of one month.

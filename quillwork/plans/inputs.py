@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillwork.functions.calendar import hour_bucket
 from quillwork.functions.fixed import MONTH_NAMES
 from quillwork.operators.colourspace import nearest_word
-from quillwork.schemas import TEST_TABLES
+from quillwork.schemas import PURCHASES_BY_DAY, TEST_TABLES
+from quillwork.session import new_path
 from quillwork.streaming.regression import encode_point
 
 
@@ -242,3 +244,71 @@ def lab_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         (key * 13 % 201 - 100).cast("double").alias("labA"),
         (key * 29 % 201 - 100).cast("double").alias("labB"),
     )
+
+
+# The external table's columns, wide enough for the amounts of the test tables.
+DAILY_COLUMNS = T.StructType([T.StructField(f.name, T.DecimalType(12, 2) if f.name == "amount" else f.dataType)
+                              for f in PURCHASES_BY_DAY])
+
+
+def purchase_days(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as comma-separated files in a directory per day; returns the folder."""
+    path = new_path(spark, "days")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("purchid"),
+        F.col("o_custkey").cast("string").alias("custid"),
+        F.lit(None).cast("string").alias("pmid"), F.lit(None).cast("string").alias("amenid"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
+        F.col("o_orderdate").cast("date").alias("pdate"))
+    orders.repartition("pdate").write.partitionBy("pdate").csv(path)
+    return path
+
+
+def hourly_files(spark: SparkSession, sf_dir: str) -> str:
+    """Events as page-view files whose path tells the hour; returns the folder."""
+    path = new_path(spark, "views")
+    name = F.concat(F.lit("pagecounts-"), hour_bucket("ts"), F.lit("0000"))
+    rows = table(spark, sf_dir, "events").select(
+        F.lit("en").alias("language"), F.col("event_type").alias("title"),
+        cents("value").alias("views"), F.lit(0).alias("bytes"), name.alias("file"))
+    rows.repartition("file").write.partitionBy("file").option("sep", " ").csv(path)
+    return path
+
+
+def event_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Events as JSON lines, of every twenty one cut short, one blank, one a list, one with a word for a
+    number and one without id; returns the folder."""
+    path, kind = new_path(spark, "json"), F.col("event_id") % 20
+    whole = F.to_json(F.struct("event_id", "event_type", "value"))
+    line = (F.when(kind == 0, F.expr("left(l, length(l) - 1)")).when(kind == 1, "")
+            .when(kind == 2, F.concat(F.lit("["), F.col("l"), F.lit("]")))
+            .when(kind == 3, F.to_json(F.struct("event_id", "event_type", F.lit("many").alias("value"))))
+            .when(kind == 4, F.to_json(F.struct("event_type", "value"))).otherwise(F.col("l")))
+    table(spark, sf_dir, "events").withColumn("l", whole).select(line.alias("value")).write.text(path)
+    return path
+
+
+def view_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Events as blank-separated page views, of every ten one without count and one with a word for it;
+    returns the folder."""
+    path, kind = new_path(spark, "views"), F.col("event_id") % 10
+    views = F.when(kind == 1, "many").when(kind != 0, cents("value").cast("string"))
+    line = F.concat_ws(" ", hour_bucket("ts"), F.lit("en"), F.concat(F.lit('"'), F.col("event_type")), views)
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    return path
+
+
+def message_files(spark: SparkSession, sf_dir: str, files: int = 8) -> DataFrame:
+    """Events as a stream of messages that arrive file by file."""
+    path = new_path(spark, "messages")
+    points(spark, sf_dir).select(encode_point(F.col("x"), F.col("y")).alias("value")).repartition(
+        files).write.parquet(path)
+    return spark.readStream.schema("value binary").option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders, some without a key and some without a customer."""
+    key = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(
+        F.when(key % 101 != 7, key).alias("visit"),
+        F.when(key % 53 != 5, F.col("o_custkey")).alias("custid"))

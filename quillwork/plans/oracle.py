@@ -154,7 +154,9 @@ def _unique(table: str, key: str) -> str:
     return (
         f"SELECT '{table}' AS \"table\", 'unique {key}' AS \"check\", count(*) AS offenders, "
         f"CAST(coalesce(sum(n), 0) AS BIGINT) AS rows FROM "
-        f"(SELECT {key}, count(*) AS n FROM {table} GROUP BY {key} HAVING count(*) > 1)"
+        f"(SELECT {key}, count(*) AS n FROM {table} "
+        f"WHERE {' AND '.join(f'{k} IS NOT NULL' for k in key.split(','))} "
+        f"GROUP BY {key} HAVING count(*) > 1)"
     )
 
 
@@ -172,22 +174,35 @@ def _referenced(table: str, column: str, parent: str, key: str) -> str:
     )
 
 
+VISITS = (
+    "(SELECT CASE WHEN o_orderkey % 101 <> 7 THEN o_orderkey END AS visit, "
+    "CASE WHEN o_orderkey % 53 <> 5 THEN o_custkey END AS custid FROM orders) AS visits"
+)
 DQ = " UNION ALL ".join([
     _unique("customer", "c_custkey"),
+    _present("customer", "c_custkey"),
     _present("customer", "c_name"),
     _referenced("customer", "c_nationkey", "nation", "n_nationkey"),
     _unique("orders", "o_orderkey"),
+    _present("orders", "o_orderkey"),
     _referenced("orders", "o_custkey", "customer", "c_custkey"),
     _unique("lineitem", "l_orderkey,l_linenumber"),
+    _present("lineitem", "l_orderkey"),
+    _present("lineitem", "l_linenumber"),
     _present("lineitem", "l_shipdate"),
     _referenced("lineitem", "l_orderkey", "orders", "o_orderkey"),
     _referenced("lineitem", "l_partkey", "part", "p_partkey"),
     _referenced("lineitem", "l_suppkey", "supplier", "s_suppkey"),
     _unique("nation", "n_nationkey"),
+    _present("nation", "n_nationkey"),
     _referenced("nation", "n_regionkey", "region", "r_regionkey"),
     _unique("documents", "doc_id"),
+    _present("documents", "doc_id"),
     _present("documents", "text"),
     _referenced("documents", "doc_id", "labels", "doc_id"),
+    _unique("visits", "visit").replace("FROM visits", f"FROM {VISITS}"),
+    _present("visits", "visit").replace("FROM visits", f"FROM {VISITS}"),
+    _referenced("visits", "custid", "customer", "c_custkey").replace("FROM visits", f"FROM {VISITS}"),
 ])
 
 PATHS = """
@@ -309,6 +324,18 @@ xyz AS (SELECT p_partkey, labL, labA, labB, ({_back('fx')}) * {WHITE_XYZ[0]}::DO
 SELECT p_partkey, labL, labA, labB, {_shown(0, 'R')}, {_shown(1, 'G')}, {_shown(2, 'B')} FROM xyz
 """
 
+MOMENTS = (
+    "SELECT count(*) AS n, CAST(sum(event_id) AS DOUBLE) AS sum_x, "
+    "round(sum(value), 1) AS sum_y, CAST(sum(event_id * event_id) AS DOUBLE) AS sum_xx, "
+    "round(sum(value * value), 1) AS sum_yy, round(sum(event_id * value), 1) AS sum_xy FROM events"
+)
+FIVE_DAYS = (
+    "SELECT CAST(o_orderdate AS DATE) AS pdate, "
+    "round(avg(CAST(o_totalprice AS DECIMAL(12,2))), 4) AS avg FROM orders "
+    "WHERE date_part('month', o_orderdate) = 8 AND date_part('day', o_orderdate) IN (1, 2, 3, 4, 5) "
+    "GROUP BY 1"
+)
+
 ORACLE: dict[str, str] = {
     "word_count": _words("documents", PUNCT + SPACE, "lower(w)"),
     "word_count_plain": _words("documents", SPACE, "w"),
@@ -321,6 +348,31 @@ ORACLE: dict[str, str] = {
     "argmax_ties_window": TIES,
     "filename_hour": "SELECT strftime(ts, '%Y%m%d-%H') AS hour, count(*) AS rows, "
     "max(value) AS value FROM events GROUP BY 1",
+    "json_ledger": "SELECT CASE event_id % 20 WHEN 0 THEN 'not JSON' WHEN 1 THEN 'blank line' "
+    "WHEN 2 THEN 'not an object' WHEN 3 THEN 'wrong type' WHEN 4 THEN 'no event_id' ELSE 'kept' END "
+    "AS outcome, count(*) AS rows FROM events GROUP BY 1",
+    "page_view_ledger": "SELECT CASE event_id % 10 WHEN 0 THEN 'number of fields' WHEN 1 THEN "
+    "'wrong type' ELSE 'kept' END AS outcome, count(*) AS rows, CAST(sum(CASE WHEN event_id % 10 > 1 "
+    "THEN CAST(round(value * 100) AS BIGINT) END) AS BIGINT) AS views FROM events GROUP BY 1",
+    "five_day_external": FIVE_DAYS,
+    "holiday_external": "SELECT CAST(o_orderdate AS DATE) AS pdate, count(*) AS purchases, "
+    "round(avg(CAST(o_totalprice AS DECIMAL(12,2))), 4) AS avg FROM orders "
+    "WHERE strftime(o_orderdate, '%m-%d') = '12-25' GROUP BY 1",
+    "clustered_range": "SELECT l_returnflag, count(*) AS rows, CAST(sum(CAST(round(l_extendedprice * 100) "
+    "AS BIGINT)) AS BIGINT) AS cents FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-04-01' "
+    "AND l_shipdate < TIMESTAMP '1996-07-01' GROUP BY 1",
+    "published_table": "SELECT o_orderstatus, o_orderpriority, count(*) AS rows, "
+    "CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM orders GROUP BY 1, 2",
+    "batched_inserts": "SELECT o_orderstatus, count(*) AS rows, count(DISTINCT o_orderkey) AS keys, "
+    "CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM orders GROUP BY 1",
+    "ordered_segments": "SELECT *, row_number() OVER (ORDER BY cents DESC, c_mktsegment, c_nationkey) "
+    "AS position FROM (SELECT c_mktsegment, c_nationkey, count(*) AS customers, "
+    "CAST(sum(CAST(round(c_acctbal * 100) AS BIGINT)) AS BIGINT) AS cents FROM customer GROUP BY 1, 2)",
+    "ordered_days": "SELECT *, row_number() OVER (ORDER BY CASE WHEN dayofweek(day) IN (0, 6) THEN 0 "
+    "WHEN strftime(day, '%m-%d') = '12-25' THEN 0 ELSE 1 END, month(day), orders DESC, day) AS position "
+    "FROM (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS orders FROM orders GROUP BY 1)",
+    "stream_restart": MOMENTS,
+    "area_view_permanent": f"WITH {AREA} SELECT custid, in_area FROM a",
     "group_mean": "SELECT o_orderpriority, round(avg(o_totalprice), 4) AS mean FROM orders GROUP BY 1",
     "json_group_mean": "SELECT event_type, round(avg(CAST(regexp_extract(props, '\"k\": *(\\d+)', 1) "
     "AS INT)), 6) AS mean FROM events GROUP BY 1",
@@ -359,9 +411,7 @@ ORACLE: dict[str, str] = {
     "CAST(round(value * 100) AS HUGEINT) AS y FROM events)," + _sums("p"),
     "linear_fit": FIT,
     "stream_regression": FIT,
-    "stream_moments": "SELECT count(*) AS n, CAST(sum(event_id) AS DOUBLE) AS sum_x, "
-    "round(sum(value), 1) AS sum_y, CAST(sum(event_id * event_id) AS DOUBLE) AS sum_xx, "
-    "round(sum(value * value), 1) AS sum_yy, round(sum(event_id * value), 1) AS sum_xy FROM events",
+    "stream_moments": MOMENTS,
     "star_avg_by_method": f"WITH {CUSTOMERS} SELECT o_orderpriority AS payment_method, "
     "round(CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) / count(*), 6) "
     "AS average_amount FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
@@ -376,10 +426,7 @@ ORACLE: dict[str, str] = {
     "round(CAST(sum(amount) AS DOUBLE) / count(*), 6) AS avg FROM b JOIN a ON b.custid = a.custid "
     "WHERE amenid IN (SELECT p_partkey FROM part WHERE p_type = 'ECONOMY' "
     "AND CASE WHEN p_brand <> 'Brand#1' THEN p_name END ILIKE '%RING%') GROUP BY 1",
-    "five_day_avg": "SELECT CAST(o_orderdate AS DATE) AS pdate, "
-    "round(avg(CAST(o_totalprice AS DECIMAL(12,2))), 4) AS avg FROM orders "
-    "WHERE date_part('month', o_orderdate) = 8 AND date_part('day', o_orderdate) IN (1, 2, 3, 4, 5) "
-    "GROUP BY 1",
+    "five_day_avg": FIVE_DAYS,
     "dq_checks": DQ,
     "dq_duplicate_keys": "SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem "
     "GROUP BY 1, 2 HAVING count(*) > 1",

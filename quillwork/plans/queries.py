@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quillwork.functions.calendar import hour_bucket, hour_from_path
+from quillwork.functions.calendar import is_weekend
 from quillwork.operators import (
     colourspace,
     graph,
@@ -24,8 +26,9 @@ from quillwork.operators import (
     wordcount,
 )
 from quillwork.plans import inputs as I
-from quillwork.session import settle
-from quillwork.streaming import regression
+from quillwork.session import new_path, settle
+from quillwork.sources import catalog, readers, tolerant, writers
+from quillwork.streaming import regression, restartable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,14 +100,114 @@ def argmax_ties_window(spark, sf_dir):
 
 @query
 def filename_hour(spark, sf_dir):
-    name = F.concat(F.lit("/views/pagecounts-"), hour_bucket("ts"), F.lit("0000"))
-    files = I.table(spark, sf_dir, "events").select(name.alias("path"), "value")
-    files = files.select(hour_from_path("path").alias("hour"), "value")
+    """The hour of each row comes from the name of the file that holds it."""
+    files = readers.page_views_by_file(spark, I.hourly_files(spark, sf_dir))
     return files.groupBy("hour").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("value").alias("value")
+        F.count(F.lit(1)).alias("rows"), (F.max("views") / 100).alias("value")
     )
 
 
+# --- sources and sinks --------------------------------------------------------------------------
+
+EVENT = T.StructType([T.StructField("event_id", T.LongType(), False),
+                      T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])
+
+
+@query
+def json_ledger(spark, sf_dir):
+    """JSON lines kept and rejected, by reason."""
+    rows = tolerant.json_lines(spark, I.event_lines(spark, sf_dir), EVENT)
+    return tolerant.ledger(rows)
+
+
+@query
+def page_view_ledger(spark, sf_dir):
+    """Page views kept and rejected, divided by one scan."""
+    rows = readers.page_views_with_rejects(spark, I.view_lines(spark, sf_dir))
+    kept, rejected = tolerant.divided(rows)
+    views = F.sum("views").alias("views")
+    return kept.agg(F.lit("kept").alias("outcome"), F.count(F.lit(1)).alias("rows"), views).unionByName(
+        rejected.groupBy(F.col("reject").alias("outcome")).agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("views", F.lit(None).cast("bigint")))
+
+
+@query
+def five_day_external(spark, sf_dir):
+    """Orders as an external table of daily directories, all registered, of which five days are read."""
+    location, name = I.purchase_days(spark, sf_dir), f"purchases_by_day_{uuid.uuid4().hex}"
+    catalog.create_purchases_by_day(spark, name, location, I.DAILY_COLUMNS)
+    catalog.register_days(spark, name, location)
+    return rounded(warehouse.average_by_day(spark.table(name)), 4, "avg")
+
+
+@query
+def holiday_external(spark, sf_dir):
+    """The same table joined to a list of holidays, whose dates prune its directories at run time."""
+    location, name = I.purchase_days(spark, sf_dir), f"purchases_by_day_{uuid.uuid4().hex}"
+    catalog.create_purchases_by_day(spark, name, location, I.DAILY_COLUMNS)
+    catalog.register_days(spark, name, location)
+    report = warehouse.average_on_days(spark.table(name), I.holidays(spark, sf_dir), "Christmas")
+    return rounded(report, 4, "avg")
+
+
+@query
+def clustered_range(spark, sf_dir):
+    """A quarter of the line items, from files clustered by the date they are asked by."""
+    path = new_path(spark, "clustered")
+    writers.clustered(I.table(spark, sf_dir, "lineitem").select(
+        "l_shipdate", "l_returnflag", I.cents("l_extendedprice").alias("cents")), path, "l_shipdate")
+    items = readers.table(spark, "parquet", path=path)
+    quarter = items.filter("l_shipdate >= timestamp_ntz'1996-04-01' and l_shipdate < timestamp_ntz'1996-07-01'")
+    return quarter.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("cents").alias("cents"))
+
+
+@query
+def published_table(spark, sf_dir):
+    """Orders published, replaced by another publication, and read again."""
+    path, orders = new_path(spark, "published"), I.table(spark, sf_dir, "orders")
+    writers.publish(orders.select("o_orderkey", "o_orderstatus"), path)
+    writers.publish(orders, path)
+    return readers.table(spark, "parquet", path=path).groupBy("o_orderstatus", "o_orderpriority").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(I.cents("o_totalprice")).alias("cents"))
+
+
+@query
+def batched_inserts(spark, sf_dir):
+    """Orders sent from the executors in batches under a ledger, and what arrived."""
+    ledger, target = new_path(spark, "ledger"), new_path(spark, "arrived")
+    orders = I.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", I.cents("o_totalprice").alias("cents"))
+    writers.in_batches(orders, writers.json_files(target), size=1000, ledger=ledger)
+    arrived = readers.json_lines(spark, target, orders.schema)
+    return arrived.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("o_orderkey").alias("keys"),
+        F.sum("cents").alias("cents"))
+
+
+# --- ordered reports ----------------------------------------------------------------------------
+
+@query
+def ordered_segments(spark, sf_dir):
+    """Segments of each nation, largest total balance first."""
+    totals = I.table(spark, sf_dir, "customer").groupBy("c_mktsegment", "c_nationkey").agg(
+        F.count(F.lit(1)).alias("customers"), F.sum(I.cents("c_acctbal")).alias("cents"))
+    path = new_path(spark, "ordered")
+    writers.in_order(totals, path, F.desc("cents"), "c_mktsegment", "c_nationkey")
+    return readers.table(spark, "parquet", path=path)
+
+
+@query
+def ordered_days(spark, sf_dir):
+    """Days by whether they are free, then by month, then by number of orders."""
+    days = I.table(spark, sf_dir, "orders").groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(
+        F.count(F.lit(1)).alias("orders"))
+    free = F.when(is_weekend("day"), 0).when(F.date_format("day", "MM-dd") == "12-25", 0).otherwise(1)
+    path = new_path(spark, "ordered")
+    writers.in_order(days, path, free, F.month("day"), F.desc("orders"), "day")
+    return readers.table(spark, "parquet", path=path)
+
+
 # --- comments -----------------------------------------------------------------------------------
 
 @query
@@ -255,6 +358,18 @@ def stream_regression(spark, sf_dir):
     return rounded(fit, 6, "slope_beta", "intercept_alpha")
 
 
+@query
+def stream_restart(spark, sf_dir):
+    """A stream stopped after half of its files, started again, and the sums of all."""
+    messages = regression.decode_points(I.message_files(spark, sf_dir))
+    folder, checkpoint = new_path(spark, "epochs"), new_path(spark, "checkpoint")
+    run = lambda: restartable.start(messages, folder, checkpoint, restartable.partial_moments())
+    restartable.stop_after(run(), 4)
+    run().awaitTermination()
+    return rounded(restartable.total_moments(spark, folder).drop("epochs"), 1,
+                   "sum_x", "sum_y", "sum_xx", "sum_yy", "sum_xy")
+
+
 @query
 def stream_moments(spark, sf_dir):
     decoded = regression.decode_points(I.point_stream(spark, sf_dir))
@@ -283,6 +398,29 @@ def area_view(spark, sf_dir):
     return _area(spark, sf_dir)
 
 
+@query
+def area_view_permanent(spark, sf_dir):
+    """The same flags through a view in the catalogue that any later statement may use."""
+    files = {name: f"parquet.`{sf_dir}/{name}.parquet`" for name in ("customer", "nation", "supplier")}
+    view = catalog.create_permanent_view(spark, "quillwork_area", AREA_VIEW.format(**files))
+    return view.select("custid", "in_area")
+
+
+AREA_VIEW = """
+WITH placed AS (
+  SELECT c_custkey AS custid, substring(concat(lpad(CAST(c_nationkey AS STRING), 2, '0'),
+         substring(c_mktsegment, 1, 1), substring(c_name, 16, 3)), 1, 3) AS prefix
+  FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
+),
+listed AS (
+  SELECT DISTINCT concat(lpad(CAST(s_nationkey AS STRING), 2, '0'), 'M') AS prefix
+  FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey WHERE n_regionkey = 1
+)
+SELECT p.custid, IF(l.prefix IS NULL, 0, 1) AS in_area
+FROM placed p LEFT JOIN listed l ON p.prefix = l.prefix
+"""
+
+
 @query
 def segment_three_way(spark, sf_dir):
     report = warehouse.visitor_segments(
@@ -318,13 +456,16 @@ DRIVER_KEYS = {
                "references": {"n_regionkey": ("region", "r_regionkey")}},
     "documents": {"key": ["doc_id"], "required": ["text"],
                   "references": {"doc_id": ("labels", "doc_id")}},
+    "visits": {"key": ["visit"], "required": [],
+               "references": {"custid": ("customer", "c_custkey")}},
 }
 
 
 @query
 def dq_checks(spark, sf_dir):
     names = [*DRIVER_KEYS, "part", "supplier", "region", "labels"]
-    tables = {name: I.table(spark, sf_dir, name) for name in names}
+    tables = {name: I.visits(spark, sf_dir) if name == "visits" else I.table(spark, sf_dir, name)
+              for name in names}
     return quality.check_keys(tables, DRIVER_KEYS)
 
 

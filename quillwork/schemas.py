@@ -9,8 +9,9 @@ BOOLEAN, DATE, LOCAL_TIME = T.BooleanType(), T.DateType(), T.TimestampNTZType()
 MONEY = T.DecimalType(7, 2)
 
 
-def _struct(**columns: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+def _struct(*required: str, **columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind, name not in required)
+                         for name, kind in columns.items()])
 
 
 TEXT = _struct(value=STRING)
@@ -38,7 +39,7 @@ DAILY_MAXIMA = _struct(
 ACCESS_LOG = _struct(host=STRING, id=STRING, bytes=LONG, date_time=LOCAL_TIME, r_path=STRING)
 
 AMENITIES = _struct(
-    amenid=STRING, lat=DOUBLE, lon=DOUBLE, ts=LOCAL_TIME, amenity=STRING, amname=STRING,
+    "amenid", "amenity", amenid=STRING, lat=DOUBLE, lon=DOUBLE, ts=LOCAL_TIME, amenity=STRING, amname=STRING,
     tags=T.MapType(STRING, STRING),
 )
 
@@ -50,11 +51,11 @@ def amenities_with_tags(names: list[str]) -> T.StructType:
 
 
 CUSTOMERS = _struct(
-    custid=STRING, custname=STRING, street=STRING, city=STRING, province=STRING, postalcode=STRING
+    "custid", custid=STRING, custname=STRING, street=STRING, city=STRING, province=STRING, postalcode=STRING
 )
-PAYMENT_METHODS = _struct(pmid=STRING, custid=STRING, number=STRING, expdate=STRING, mtype=STRING)
+PAYMENT_METHODS = _struct("pmid", pmid=STRING, custid=STRING, number=STRING, expdate=STRING, mtype=STRING)
 PURCHASES = _struct(
-    purchid=STRING, custid=STRING, pmid=STRING, amenid=STRING, pdate=DATE, amount=MONEY
+    "purchid", purchid=STRING, custid=STRING, pmid=STRING, amenid=STRING, pdate=DATE, amount=MONEY
 )
 # The partitioned twin keeps pdate in the directory name.
 PURCHASES_BY_DAY = _struct(
@@ -65,7 +66,8 @@ POSTAL_PREFIXES = _struct(city=STRING, pcprefix=STRING)
 SALES = _struct(date=DATE, store=STRING, sales=DOUBLE, staff=DOUBLE)
 HOLIDAYS = _struct(date=DATE, holiday=STRING)
 
-COLOURS = _struct(R=INT, G=INT, B=INT, word=STRING, confidence=STRING)
+COLOURS_REQUIRED = ["R", "G", "B", "word", "confidence"]
+COLOURS = _struct(*COLOURS_REQUIRED, R=INT, G=INT, B=INT, word=STRING, confidence=STRING)
 
 # Columns the owner of each table declares: unique key, required columns, references.
 DECLARED_KEYS = {
@@ -86,7 +88,6 @@ DECLARED_KEYS = {
         },
     },
 }
-COLOURS_REQUIRED = ["R", "G", "B", "word", "confidence"]
 
 # The test tables.
 TEST_TABLES = {

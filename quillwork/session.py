@@ -46,6 +46,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(named)
 
 
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    files, named = _remote(spark, old)
+    if not files.rename(named, _remote(spark, new)[1]):
+        raise OSError(f"{old} could not be renamed to {new}")
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder, in order; none if it is not there."""
+    files, named = _remote(spark, path)
+    if not files.exists(named):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(named))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """This session's own folder below ``spark.checkpoint.dir``; it is deleted when the driver ends.
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from quillwork import schemas
 from quillwork.functions.calendar import hour_from_path
-from quillwork.functions.text import split_on_space
+from quillwork.sources import tolerant
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -45,24 +45,20 @@ def colours(spark: SparkSession, path: str) -> DataFrame:
 
 
 def page_views(spark: SparkSession, path: str) -> DataFrame:
-    """Five blank-separated fields per line; lines with fewer fields are skipped.
+    """Five blank-separated fields per line, the last of which may be missing."""
+    return tolerant.kept(page_views_with_rejects(spark, path))
 
-    Read as text because titles may hold quote characters that a CSV reader would interpret.
-    """
-    fields = F.filter(split_on_space(F.col("value")), lambda piece: piece != "")
-    cut = text_lines(spark, path).select(fields.alias("f")).filter(F.size("f") >= 4)
-    get = lambda i: F.get("f", F.lit(i))
-    return cut.select(
-        get(0).alias("hour"), get(1).alias("language"), get(2).alias("title"),
-        get(3).try_cast("bigint").alias("views"), get(4).try_cast("bigint").alias("bytes"),
-    ).filter("views is not null")
+
+def page_views_with_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`page_views` with a ``reject`` reason and the ``raw`` line of those that cannot be read."""
+    return tolerant.spaced_rows(spark, path, schemas.PAGE_VIEWS, fewest=4, strict=["views"])
 
 
 def page_views_by_file(spark: SparkSession, path: str) -> DataFrame:
-    """Four blank-separated fields per line; the hour comes from the file name."""
+    """Four blank-separated fields per line; the hour comes from the file name, at any depth."""
     rows = (
         spark.read.schema(schemas.PAGE_VIEWS_BY_FILE)
-        .option("sep", " ").option("quote", "").csv(path)
+        .option("sep", " ").option("quote", "").option("recursiveFileLookup", "true").csv(path)
     )
     return rows.withColumn("hour", hour_from_path(F.col("_metadata.file_path")))
 

@@ -52,3 +52,10 @@ def test_a_date_with_two_holidays_keeps_its_sales_once(spark):
         "date string, holiday string").withColumn("date", F.to_date("date"))
     got = retail.calendar_features(sales, days).orderBy("date").collect()
     assert [(r.sales_per_staff, r.is_holiday) for r in got] == [(5.0, True), (None, False)]
+
+
+def test_null_keys_are_reported(spark):
+    visits = spark.createDataFrame([(None, 1), (None, 1), (2, 1), (2, 1), (3, None)], "a int, b int")
+    rule = {"visits": {"key": ["a", "b"], "required": ["b"], "references": {}}}
+    found = {r.check: (r.offenders, r.rows) for r in quality.check_keys({"visits": visits}, rule).collect()}
+    assert found == {"unique a,b": (1, 2), "not null a": (1, 2), "not null b": (1, 1)}
