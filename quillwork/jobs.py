@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import inspect
 import sys
+import uuid
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -18,14 +19,17 @@ from quillwork.operators import (
     graph,
     learning,
     logs,
-    sampling,
+    quality,
+    retail,
     scores,
     toplist,
+    warehouse,
     weather,
     wordcount,
 )
+from quillwork import schemas
 from quillwork.session import get_spark, settle
-from quillwork.sources import readers, writers
+from quillwork.sources import catalog, readers, tolerant, writers
 from quillwork.streaming import regression
 
 JOBS = {}
@@ -36,10 +40,19 @@ def job(f):
     return f
 
 
-def _report(df: DataFrame) -> None:
-    """Print all rows of a small result."""
+REPORT_ROWS = 1000
+
+
+def _report(df: DataFrame, name: str = "report") -> None:
+    """Print all rows of a result, or, beyond ``REPORT_ROWS`` of them, write all to a folder and name it."""
     shown = settle(df)
-    shown.show(shown.count(), truncate=False)
+    rows = shown.count()
+    if rows <= REPORT_ROWS:
+        shown.show(rows, truncate=False)
+    else:
+        target = f"{name}-{uuid.uuid4().hex}"
+        writers.csv(shown, target)
+        print(f"{rows} rows written to {target}")
 
 
 @job
@@ -60,6 +73,14 @@ def popular_pages(spark: SparkSession, source: str, target: str) -> None:
     writers.text(best.select("hour", pair), target, wordcount.as_line("%s\t%s", "hour", "best"))
 
 
+@job
+def page_view_rejects(spark: SparkSession, source: str, target: str) -> None:
+    """Lines of page views that cannot be read, with the reason; prints how many there are of each."""
+    _, rejected = tolerant.divided(readers.page_views_with_rejects(spark, source))
+    writers.json(rejected, target)
+    _report(rejected.groupBy("reject").count().orderBy("reject"))
+
+
 @job
 def most_views(spark: SparkSession, source: str, target: str) -> None:
     """Largest view count per hour."""
@@ -112,10 +133,11 @@ def maxima(spark: SparkSession, source: str, target: str) -> None:
 
 @job
 def temperature_range(spark: SparkSession, source: str, target: str, form: str = "frame") -> None:
-    """Stations with the widest range of each day; form ``frame`` or ``sql``."""
+    """Stations with the widest range of each day, and how many pairs of readings have it; form ``frame``
+    or ``sql``."""
     obs = readers.observations(spark, source)
     find = weather.daily_range_champions_sql if form == "sql" else weather.daily_range_champions
-    rows = weather.repeat_pairs(find(obs)).select("date", "station", "range")
+    rows = find(obs).select("date", "station", "range", "pairs")
     writers.csv(rows.orderBy("date", "station"), target)
 
 
@@ -144,25 +166,20 @@ def correlate_table(spark: SparkSession, fmt: str, *options: str) -> None:
 
 
 @job
-def shortest_path(spark: SparkSession, source: str, target: str, start: str, end: str) -> None:
-    """State after each round below ``iter=...`` and the path, one node per line."""
+def shortest_path(spark: SparkSession, source: str, target: str, start: str, end: str,
+                  hops: str = "6") -> None:
+    """State after each round below ``iter=...`` and the path of at most ``hops``, one node per line."""
     edges = graph.edges_from_adjacency(readers.text_lines(spark, source))
-    paths = graph.shortest_paths(edges, start, destination=end)
+    paths = graph.shortest_paths(edges, start, max_hops=int(hops), destination=end)
     writers.split(graph.by_iteration(paths), f"{target}/rounds", "iter", fmt="json")
     steps = graph.route(paths, end)
     writers.text(steps.orderBy("step").coalesce(1), f"{target}/path", F.col("node"))
 
 
-@job
-def estimate_e(spark: SparkSession, samples: str, slices: str = "20") -> None:
-    """Monte Carlo estimate of e."""
-    _report(sampling.estimate_e(sampling.numbered_trials(spark, int(samples), int(slices)), "id"))
-
-
 def _station_split(series: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = settle(
         learning.with_season(
-            weather.previous_day(series, ["station"], "date", "tmax", "yesterday_tmax"))
+            weather.previous_day_window(series, ["station"], "date", "tmax", "yesterday_tmax"))
         .withColumn("_side", F.xxhash64("station"))
     )
     return tuple(part.drop("_side") for part in learning.hash_split(pairs, "_side"))
@@ -188,7 +205,7 @@ def weather_test(spark: SparkSession, model_path: str, source: str) -> None:
     model = PipelineModel.load(model_path)
     series = readers.daily_maxima(spark, source)
     rows = learning.with_season(
-        weather.previous_day(series, ["station"], "date", "tmax", "yesterday_tmax"))
+        weather.previous_day_window(series, ["station"], "date", "tmax", "yesterday_tmax"))
     _report(learning.score_regression(model, {"test": rows}, "saved"))
     _report(learning.feature_importances(model, rows))
 
@@ -210,17 +227,95 @@ def weather_tomorrow(spark: SparkSession, model_path: str, station: str, date: s
 @job
 def colour_words(spark: SparkSession, source: str, target: str) -> None:
     """Colour-word models over RGB and LAB: accuracy, and predictions over a plane of colours."""
-    data = settle(readers.colours(spark, source).withColumn("_side", F.xxhash64("R", "G", "B")))
+    data, counts = learning.whole_rows(readers.colours(spark, source), schemas.COLOURS_REQUIRED[:4])
+    _report(counts)
+    data = settle(data.withColumn("_side", F.xxhash64("R", "G", "B")))
     train, validation = learning.hash_split(data, "_side")
     grid = colourspace.lab_grid(spark).select("R", "G", "B", F.lit("black").alias("word"))
     for space in ("RGB", "LAB"):
-        model = learning.colour_model(space).fit(train)
+        model = learning.fit_colour_model(train, space)
         _report(learning.score_words(model, validation, space))
         named = learning.with_predicted_word(model, model.transform(grid), "predicted")
         shown = colourspace.with_palette(named.select("R", "G", "B", "predicted"), "predicted")
         writers.csv(shown, f"{target}/{space}")
 
 
+def _star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The warehouse's files: comma-separated, the amenities JSON lines, each in a folder of its name."""
+    tables = {name: readers.csv_rows(spark, f"{folder}/{name}", schema)
+              for name, schema in catalog.WAREHOUSE.items() if name != "amenities"}
+    return tables | {"amenities": readers.json_lines(spark, f"{folder}/amenities", schemas.AMENITIES)}
+
+
+def _local(star: dict[str, DataFrame]) -> DataFrame:
+    return warehouse.area_view(star["customers"], star["greater_vancouver_prefixes"])
+
+
+@job
+def warehouse_load(spark: SparkSession, folder: str, schema: str, location: str) -> None:
+    """Create the typed tables of the star schema and load them from files."""
+    catalog.create_warehouse(spark, schema, location)
+    for name, rows in _star(spark, folder).items():
+        catalog.load(rows, f"{schema}.{name}")
+
+
+@job
+def key_checks(spark: SparkSession, folder: str) -> None:
+    """Offenders against the declared keys, references and required columns of the warehouse's files."""
+    _report(quality.check_keys(_star(spark, folder)))
+
+
+@job
+def average_by_method(spark: SparkSession, folder: str, target: str, province: str = "ON") -> None:
+    """Mean purchase per payment method of a province's customers, dearest first."""
+    star = _star(spark, folder)
+    out = warehouse.average_by_method(star["purchases"], star["paymentmethods"], star["customers"], province)
+    writers.csv(out.orderBy(F.desc("average_amount"), "payment_method"), target)
+
+
+@job
+def visitor_segments(spark: SparkSession, folder: str, target: str, home: str = "BC") -> None:
+    """Count, mean and median purchase of locals, the rest of the province, and others; by median."""
+    star = _star(spark, folder)
+    out = warehouse.visitor_segments(star["purchases"], _local(star), star["customers"], home)
+    writers.csv(out.orderBy("median", "from_area", "from_province_only"), target)
+
+
+@job
+def average_at_tagged(spark: SparkSession, folder: str, target: str, key: str = "cuisine",
+                      pattern: str = "%sushi%", kind: str = "restaurant") -> None:
+    """Mean purchase at matching amenities, for locals and others, dearest first."""
+    star = _star(spark, folder)
+    out = warehouse.average_at_tagged(
+        star["purchases"], star["amenities"], _local(star), key, pattern, kind)
+    writers.csv(out.orderBy(F.desc("avg"), "in_area"), target)
+
+
+@job
+def average_by_day(spark: SparkSession, source: str, target: str, month: str = "8",
+                   days: str = "1,2,3,4,5") -> None:
+    """Mean purchase of chosen days of a month, from daily directories ``pdate=...``, by date."""
+    chosen = tuple(int(d) for d in days.split(","))
+    out = warehouse.average_by_day(readers.purchases_by_day(spark, source), int(month), chosen)
+    writers.csv(out.orderBy("pdate"), target)
+
+
+@job
+def store_comparison(spark: SparkSession, source: str, target: str, first: str = "Burnaby",
+                     second: str = "Vancouver") -> None:
+    """Sales of two stores side by side, by date."""
+    out = retail.store_comparison(readers.csv_rows(spark, source, schemas.SALES), first, second)
+    writers.csv(out.orderBy("date"), target)
+
+
+@job
+def calendar_features(spark: SparkSession, sales: str, holidays: str, target: str) -> None:
+    """Sales per staff member with holiday and weekend flags, by date and store."""
+    out = retail.calendar_features(readers.csv_rows(spark, sales, schemas.SALES),
+                                   readers.csv_rows(spark, holidays, schemas.HOLIDAYS))
+    writers.csv(out.orderBy("date", "store"), target)
+
+
 @job
 def stream_fit(spark: SparkSession, servers: str, topic: str, seconds: str = "600") -> None:
     """Running slope and intercept of the points of a topic, on the console."""

@@ -16,6 +16,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillwork.functions.nulls import present
 from quillwork.operators.colourspace import rgb_to_lab_sql
 from quillwork.operators.ordering import positioned
 from quillwork.operators.stats import accuracy, regression_metrics
@@ -67,13 +68,31 @@ def colour_model(space: str = "RGB", words: int = 11, hidden: int = 10, max_iter
     convert = [SQLTransformer(statement=rgb_to_lab_sql(keep=["word"]))] if space == "LAB" else []
     return Pipeline(stages=[
         *convert,
-        VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"),
+        VectorAssembler(inputCols=inputs, outputCol="features"),
         StringIndexer(inputCol="word", outputCol="label", handleInvalid="keep"),
         MultilayerPerceptronClassifier(layers=[len(inputs), hidden, words], maxIter=max_iter,
                                        seed=seed),
     ])
 
 
+def whole_rows(df: DataFrame, needed: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with all the columns a model needs, and a count per outcome: ``kept`` or the first lacking.
+
+    A model cannot be fitted on the others, and scoring one of them fails; they are counted, not lost.
+    """
+    lacking = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"no {c}")) for c in needed])
+    counts = df.groupBy(F.coalesce(lacking, F.lit("kept")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("rows"))
+    return df.filter(present(*needed)), counts
+
+
+def fit_colour_model(df: DataFrame, space: str = "RGB", **settings) -> PipelineModel:
+    """:func:`colour_model` fitted on the rows with all channels and a word, sized by their words."""
+    rows, _ = whole_rows(df, ["R", "G", "B", "word"])
+    words = rows.select("word").distinct().count()
+    return colour_model(space, words=words, **settings).fit(rows)
+
+
 def label_index(df: DataFrame, column: str) -> DataFrame:
     """Labels with their index: most frequent first, ties in alphabetical order; without nulls.
 
@@ -111,7 +130,8 @@ def score_regression(model: PipelineModel, parts: dict[str, DataFrame], name: st
 
 
 def score_words(model: PipelineModel, rows: DataFrame, name: str) -> DataFrame:
-    """Share of rows whose word was predicted."""
+    """Share of rows whose word was predicted, of those with all channels and a word."""
+    rows, _ = whole_rows(rows, ["R", "G", "B", "word"])
     return accuracy(model.transform(rows), "label", "prediction").select(
         F.lit(name).alias("model"), "n", "accuracy"
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quillwork.session import new_path, settle_at
@@ -41,26 +41,30 @@ def join_measured(facts: DataFrame, lookup: DataFrame, size: tuple[int, int],
 
 
 def hot_keys(counts: DataFrame, on: list[str], rows: str, share: float = 0.01) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows: at most ``1 / share`` of them."""
+    """Keys that hold more than ``share`` of all rows, at most ``1 / share`` of them, with ``_salts``.
+
+    A key gets twice as many salts as its share of the shuffle's partitions, so that none of its parts
+    is larger than half an even partition.
+    """
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = counts.agg(F.sum(rows)).first()[0] or 0
-    return counts.filter(F.col(rows) > total * share).select(*on)
+    salts = F.ceil(F.col(rows) * (2 * parts) / max(total, 1)).cast("int")
+    return counts.filter(F.col(rows) > total * share).select(
+        *on, F.greatest(salts, F.lit(2)).alias("_salts"))
 
 
-def join_salted(facts: DataFrame, lookup: DataFrame, on: list[str], hot: DataFrame,
-                salts: int = 64) -> DataFrame:
-    """Inner shuffle join in which the rows of hot keys are spread over ``salts`` partitions.
+def join_salted(facts: DataFrame, lookup: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
+    """Inner shuffle join in which the rows of hot keys are spread over their salts.
 
     ``lookup`` has one row per key and ``hot`` comes from :func:`hot_keys`, so its size is bounded
-    by arithmetic; it is the only thing broadcast.  Cold keys keep salt 0 and are not copied.
+    by arithmetic; it is the only thing broadcast.  Cold keys keep salt 0 and are not copied.  A row's
+    salt is a hash of the row, so a repeated task sends it where it went before.
     """
-    flags = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    is_hot: Column = F.coalesce(F.col("_hot"), F.lit(False))
-    spread = F.floor(F.rand(7) * salts).cast("int")
+    flags, salts = F.broadcast(hot), F.coalesce(F.col("_salts"), F.lit(1))
     left = (
         facts.join(flags, on, "left")
-        .withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
-        .drop("_hot")
+        .withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), salts).cast("int")).drop("_salts")
     )
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = lookup.join(flags, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    copies = F.sequence(F.lit(0), salts - 1)
+    right = lookup.join(flags, on, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return left.join(right.hint("shuffle_hash"), [*on, "_salt"]).drop("_salt")

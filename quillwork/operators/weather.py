@@ -52,12 +52,6 @@ def station_ranges(obs: DataFrame, low: str = "TMIN", high: str = "TMAX") -> Dat
     )
 
 
-def repeat_pairs(champions: DataFrame) -> DataFrame:
-    """One row per reading pair instead of a count of pairs."""
-    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("pairs")))
-    return champions.withColumn("_copy", copies).drop("_copy", "pairs")
-
-
 def daily_range_champions(obs: DataFrame, low: str = "TMIN", high: str = "TMAX") -> DataFrame:
     """Stations with the widest range of each date, all ties kept, with their pair count."""
     return argmax_ties(settle(station_ranges(obs, low, high)), ["date"], "range")
@@ -66,17 +60,17 @@ def daily_range_champions(obs: DataFrame, low: str = "TMIN", high: str = "TMAX")
 DAILY_RANGE_SQL = """
 WITH tallied AS (
   SELECT date, station, observation, value, count(*) AS n
-  FROM {view}
-  WHERE qflag IS NULL AND observation IN ('{low}', '{high}')
+  FROM {obs}
+  WHERE qflag IS NULL AND observation IN (:low, :high)
     AND date IS NOT NULL AND station IS NOT NULL AND value IS NOT NULL
   GROUP BY date, station, observation, value
 ),
 extremes AS (
   SELECT date, station,
-         min(value) FILTER (WHERE observation = '{low}') AS low,
-         min_by(n, value) FILTER (WHERE observation = '{low}') AS n_low,
-         max(value) FILTER (WHERE observation = '{high}') AS high,
-         max_by(n, value) FILTER (WHERE observation = '{high}') AS n_high
+         min(value) FILTER (WHERE observation = :low) AS low,
+         min_by(n, value) FILTER (WHERE observation = :low) AS n_low,
+         max(value) FILTER (WHERE observation = :high) AS high,
+         max_by(n, value) FILTER (WHERE observation = :high) AS n_high
   FROM tallied GROUP BY date, station
 ),
 ranges AS (
@@ -91,11 +85,13 @@ FROM ranges r JOIN widest w ON r.date = w.date AND r.range = w.range
 """
 
 
-def daily_range_champions_sql(obs: DataFrame, low: str = "TMIN", high: str = "TMAX",
-                              view: str = "observations") -> DataFrame:
-    """The same champions written as one SQL query over a temporary view."""
-    obs.createOrReplaceTempView(view)
-    return obs.sparkSession.sql(DAILY_RANGE_SQL.format(view=view, low=low, high=high))
+def daily_range_champions_sql(obs: DataFrame, low: str = "TMIN", high: str = "TMAX") -> DataFrame:
+    """The same champions written as one SQL query.
+
+    The kinds are parameters of the statement, and the view it reads has a name of its own, so no view
+    of the caller's is replaced.
+    """
+    return obs.sparkSession.sql(DAILY_RANGE_SQL, args={"low": low, "high": high}, obs=obs)
 
 
 def previous_day(series: DataFrame, keys: list[str], date: str, value: str, out: str) -> DataFrame:

@@ -76,6 +76,14 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gappy_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The series with gaps: some stations without elevation, some days without a maximum."""
+    series = daily_series(spark, sf_dir)
+    return series.withColumns({
+        "elevation": F.when(F.col("station") % 13 != 4, F.col("elevation")),
+        "tmax": F.when((F.col("station") + F.dayofmonth("date")) % 17 != 3, F.col("tmax"))})
+
+
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as sales: the priority as store, a staff count that may be zero."""
     return table(spark, sf_dir, "orders").select(

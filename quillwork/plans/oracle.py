@@ -75,9 +75,10 @@ r AS (SELECT lo.date, lo.station, (hi.value - lo.value) / 10.0::DOUBLE AS range
 """
 DAILY_RANGE = f"""
 WITH {RANGES}
-SELECT r.date, r.station, r.range
+SELECT r.date, r.station, r.range, count(*) AS pairs
 FROM r JOIN (SELECT date, max(range) AS m FROM r GROUP BY date) b
   ON r.date = b.date AND r.range = b.m
+GROUP BY r.date, r.station, r.range
 """
 
 SERIES = """
@@ -93,6 +94,15 @@ SELECT station, date, CAST(dayofyear(date) AS INT) AS day_of_yr,
        round(tmax, 6) AS tmax, round(yesterday_tmax, 6) AS yesterday_tmax FROM p
 """
 
+GAPPY = f"""
+WITH {SERIES},
+g AS (SELECT station, date, CAST(dayofyear(date) AS DOUBLE) AS season_day,
+             CAST(station % 60 + 20 AS DOUBLE) AS latitude,
+             CAST(station % 120 - 60 AS DOUBLE) AS longitude,
+             CASE WHEN station % 13 <> 4 THEN CAST(station * 7 % 900 AS DOUBLE) END AS elevation,
+             CASE WHEN (station + day(date)) % 17 <> 3 THEN tmax END AS tmax FROM s)
+"""
+
 LOG_LINES = """
 SELECT 'user' || user_id || '.example.com - - [' || strftime(ts, '%d/%b/%Y:%H:%M:%S') ||
        ' -0400] "GET /' || event_type || '/' || event_id || ' HTTP/1.0" 200 ' ||
@@ -448,6 +458,11 @@ ORACLE: dict[str, str] = {
     "AS label, p_type FROM part GROUP BY p_type",
     "hash_split": "SELECT CASE WHEN (c_custkey % 2147483648) * 2654435761 % 100 < 75 THEN 'train' "
     "ELSE 'validation' END AS part, c_mktsegment, count(*) AS rows FROM customer GROUP BY 1, 2",
+    "vector_assembly": GAPPY + "SELECT station, date, season_day AS v0, latitude AS v1, longitude AS v2, "
+    "elevation AS v3, round(tmax, 6) AS v4 FROM g WHERE elevation IS NOT NULL AND tmax IS NOT NULL",
+    "model_row_counts": GAPPY + "SELECT CASE WHEN elevation IS NULL THEN 'no elevation' "
+    "WHEN tmax IS NULL THEN 'no tmax' ELSE 'kept' END AS outcome, count(*) AS rows FROM g GROUP BY 1",
+    "log_ids": f"WITH {PARSED} SELECT count(*) AS rows, count(*) AS ids FROM q",
     "regression_metrics": f"WITH {SERIES} SELECT count(*) AS n, "
     "round(sqrt(avg(power(tmax - yesterday_tmax, 2))), 6) AS rmse, "
     "round(1 - avg(power(tmax - yesterday_tmax, 2)) / var_pop(tmax), 6) AS r2 FROM p",

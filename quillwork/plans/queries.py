@@ -5,7 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -262,14 +263,12 @@ def tmax_etl(spark, sf_dir):
 
 @query
 def daily_range(spark, sf_dir):
-    best = weather.daily_range_champions(I.observations(spark, sf_dir), "VIEW", "CLICK")
-    return weather.repeat_pairs(best)
+    return weather.daily_range_champions(I.observations(spark, sf_dir), "VIEW", "CLICK")
 
 
 @query
 def daily_range_sql(spark, sf_dir):
-    best = weather.daily_range_champions_sql(I.observations(spark, sf_dir), "VIEW", "CLICK")
-    return weather.repeat_pairs(best)
+    return weather.daily_range_champions_sql(I.observations(spark, sf_dir), "VIEW", "CLICK")
 
 
 @query
@@ -318,6 +317,13 @@ def parse_log(spark, sf_dir):
     return logs.parse_access_log(I.log_lines(spark, sf_dir), ids="hash")
 
 
+@query
+def log_ids(spark, sf_dir):
+    """Every accepted line has an id of its own."""
+    requests = logs.parse_access_log(I.log_lines(spark, sf_dir), ids="uuid")
+    return requests.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"))
+
+
 @query
 def log_quality(spark, sf_dir):
     return logs.log_quality(I.log_lines(spark, sf_dir))
@@ -553,6 +559,25 @@ def hash_split(spark, sf_dir):
     )
 
 
+@query
+def vector_assembly(spark, sf_dir):
+    """The inputs of the temperature model as vectors; rows without one of them are left out."""
+    inputs = ["season_day", *learning.PLACE, "tmax"]
+    rows, _ = learning.whole_rows(learning.with_season(I.gappy_series(spark, sf_dir)), inputs)
+    vectors = VectorAssembler(inputCols=inputs, outputCol="features").transform(rows)
+    cells = vectors.select("station", "date", vector_to_array("features").alias("v"))
+    return rounded(cells.select("station", "date", *[
+        F.get("v", F.lit(i)).alias(f"v{i}") for i in range(len(inputs))]), 6, "v4")
+
+
+@query
+def model_row_counts(spark, sf_dir):
+    """Rows a model can be fitted on, and those it cannot, by what they lack."""
+    rows = learning.with_season(I.gappy_series(spark, sf_dir))
+    _, counts = learning.whole_rows(rows, ["season_day", *learning.PLACE, "tmax"])
+    return counts
+
+
 @query
 def regression_metrics(spark, sf_dir):
     """How well yesterday's value predicts today's."""
@@ -597,10 +622,10 @@ def feature_importance(spark, sf_dir):
 def _colour_models(spark: SparkSession, sf_dir: str):
     train, validation = learning.hash_split(settle(I.colours(spark, sf_dir)), "p_partkey")
     models = {
-        "rgb": learning.colour_model("RGB"),
-        "lab": learning.colour_model("LAB"),
+        "rgb": learning.fit_colour_model(train, "RGB"),
+        "lab": learning.fit_colour_model(train, "LAB"),
     }
-    return {name: m.fit(train) for name, m in models.items()}, validation
+    return models, validation
 
 
 @query

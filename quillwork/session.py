@@ -140,10 +140,11 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.paths, self.tables = spark, {}, {}
 
-    def settle(self, df: DataFrame, name: str) -> DataFrame:
+    def settle(self, df: DataFrame, name: str, write=settle_at):
+        """What ``write(df, path)`` returns: by default the settled table."""
         path = new_path(self.spark, name)
         try:
-            table = settle_at(df, path)
+            table = write(df, path)
         except BaseException:
             delete(self.spark, path)
             raise

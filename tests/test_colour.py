@@ -3,7 +3,7 @@ import colorsys
 import pytest
 
 from quillwork.functions.fixed import PALETTE
-from quillwork.operators import colourspace, sampling
+from quillwork.operators import colourspace
 
 # Published LAB values of the primaries (D65, 2 degrees).
 KNOWN_LAB = {
@@ -60,14 +60,3 @@ def test_palette_words(spark):
     assert words == {p[1:]: p[0] for p in PALETTE}
     shown = colourspace.with_palette(spark.createDataFrame([("pink",), ("teal",)], "word string"))
     assert {r.word: r.showG for r in shown.collect()} == {"pink": 187, "teal": None}
-
-
-def test_estimate_e(spark):
-    got = sampling.estimate_e(sampling.numbered_trials(spark, 1_000_000), "id").first()
-    assert got.trials == 1_000_000 and abs(got.estimate - 2.718281828) < 0.01
-
-
-def test_estimate_does_not_depend_on_partitioning(spark):
-    one = sampling.estimate_e(sampling.numbered_trials(spark, 5000, 1), "id").first()
-    assert one == sampling.estimate_e(sampling.numbered_trials(spark, 5000, 7), "id").first()
-    assert one.trials == 5000

@@ -68,7 +68,7 @@ def test_observations(run, tmp_path):
     assert list((tmp_path / "max").glob("*.json.gz"))
     for form in ("frame", "sql"):
         run("temperature-range", tmp_path / "in.csv", tmp_path / form, form)
-        assert read_all(tmp_path / form) == ["20200101,CA1,10.0"]
+        assert read_all(tmp_path / form) == ["20200101,CA1,10.0,1"]
 
 
 def test_logs(run, spark, tmp_path, capsys):
@@ -89,9 +89,67 @@ def test_graph(run, tmp_path):
     assert len(list((tmp_path / "out" / "rounds").glob("iter=*"))) == 3
 
 
-def test_estimate(run, capsys):
-    run("estimate-e", "20000", "4")
-    assert "2.7" in capsys.readouterr().out
+@pytest.fixture
+def star(tmp_path):
+    files = {
+        "customers": "c1,Ann,s,Vancouver,BC,V5K1A1\nc2,Bob,s,Prince George,BC,V2L1A1\nc3,Cid,s,Ottawa,ON,K1A0A1\n",
+        "paymentmethods": "p1,c1,n,01/30,visa\np2,c2,n,01/30,debit\np3,c3,n,01/30,visa\n",
+        "purchases": "x1,c1,p1,a1,2021-08-01,10.00\nx2,c2,p2,a2,2021-08-01,30.00\n"
+                     "x3,c3,p3,a1,2021-08-02,50.00\nx4,c3,p3,a2,2021-08-09,70.00\n",
+        "greater_vancouver_prefixes": "Vancouver,V5K\nVancouver,V5K\n",
+        "amenities": '{"amenid": "a1", "amenity": "restaurant", "tags": {"cuisine": "Sushi;ramen"}}\n'
+                     '{"amenid": "a2", "amenity": "cafe", "tags": {}}\n',
+    }
+    for name, text in files.items():
+        (tmp_path / "star" / name).mkdir(parents=True)
+        (tmp_path / "star" / name / "part.txt").write_text(text)
+    return tmp_path / "star"
+
+
+def test_warehouse_jobs(run, spark, star, tmp_path, capsys):
+    run("average-by-method", star, tmp_path / "method")
+    assert read_all(tmp_path / "method") == ["visa,60.0"]
+    run("visitor-segments", star, tmp_path / "segments")
+    assert read_all(tmp_path / "segments") == [
+        "false,true,1,10.0,10.0", "true,false,1,30.0,30.0", "false,false,2,60.0,60.0"]
+    run("average-at-tagged", star, tmp_path / "sushi")
+    assert read_all(tmp_path / "sushi") == ["0,50.0", "1,10.0"]
+    run("key-checks", star)
+    assert "unique custid" in capsys.readouterr().out
+    run("warehouse-load", star, "shop_job", tmp_path / "shop")
+    assert {t: spark.table(f"shop_job.{t}").count() for t in ("customers", "purchases", "amenities")} == {
+        "customers": 3, "purchases": 4, "amenities": 2}
+    spark.sql("DROP SCHEMA shop_job CASCADE")
+
+
+def test_retail_jobs(run, tmp_path):
+    (tmp_path / "days" / "pdate=2021-08-01").mkdir(parents=True)
+    (tmp_path / "days" / "pdate=2021-08-01" / "a.csv").write_text("x,c,p,a,2.00\ny,c,p,a,4.00\n")
+    run("average-by-day", tmp_path / "days", tmp_path / "five")
+    assert read_all(tmp_path / "five") == ["2021-08-01,3.0"]
+    (tmp_path / "sales.csv").write_text("2021-12-25,Burnaby,5,2\n2021-12-25,Vancouver,7,0\n")
+    (tmp_path / "holidays.csv").write_text("2021-12-25,Christmas\n")
+    run("store-comparison", tmp_path / "sales.csv", tmp_path / "stores")
+    assert read_all(tmp_path / "stores") == ["2021-12-25,5.0,7.0"]
+    run("calendar-features", tmp_path / "sales.csv", tmp_path / "holidays.csv", tmp_path / "calendar")
+    assert read_all(tmp_path / "calendar") == [
+        "2021-12-25,Burnaby,5.0,2.5,true,true", "2021-12-25,Vancouver,7.0,,true,true"]
+
+
+def test_rejects_job(run, tmp_path, capsys):
+    (tmp_path / "in.txt").write_text("2016 en T 1 2\n2016 en T\n\n2016 en T x 1\n")
+    run("page-view-rejects", tmp_path / "in.txt", tmp_path / "out")
+    assert {json.loads(x)["raw"] for x in read_all(tmp_path / "out")} == {"2016 en T", "", "2016 en T x 1"}
+    assert "number of fields" in capsys.readouterr().out
+
+
+def test_a_long_report_is_written_whole(spark, tmp_path, monkeypatch, capsys):
+    jobs._report(spark.range(3))
+    assert "|2" in capsys.readouterr().out
+    jobs._report(spark.range(1200), str(tmp_path / "long"))
+    said = capsys.readouterr().out
+    assert "1200 rows written to" in said
+    assert len(read_all(next(tmp_path.glob("long-*")))) == 1200
 
 
 def test_weather_models(run, tmp_path, capsys, monkeypatch):
@@ -115,7 +173,7 @@ def test_colours(run, tmp_path, capsys, monkeypatch):
     from quillwork.operators import colourspace, learning
 
     real, grid = learning.colour_model, colourspace.lab_grid
-    monkeypatch.setattr(learning, "colour_model", lambda space: real(space, max_iter=5))
+    monkeypatch.setattr(learning, "colour_model", lambda space, **more: real(space, max_iter=5, **more))
     monkeypatch.setattr(colourspace, "lab_grid", lambda s: grid(s, resolution=4))
     rng = random.Random(1)
     from quillwork.functions.fixed import PALETTE

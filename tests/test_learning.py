@@ -3,8 +3,9 @@ import math
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
 
-from quillwork.operators import colourspace, learning, weather
+from quillwork.operators import colourspace, learning, scoring, weather
 
 
 @pytest.fixture(scope="module")
@@ -71,3 +72,41 @@ def test_label_index_stays_on_spark(spark):
     counts = {w: words.count(w) for w in set(words) - {None}}
     ranked = sorted(counts, key=lambda w: (-counts[w], w))
     assert sorted(map(tuple, found.collect())) == [(float(i), w) for i, w in enumerate(ranked)]
+
+
+def test_trees_as_columns_equal_the_model(spark, series):
+    inputs = ["season_day", *learning.PLACE, "yesterday_tmax"]
+    model = learning.temperature_model(True, max_iter=12).fit(series)
+    scored = model.transform(series).withColumn("column", scoring.boosted_trees(model.stages[-1], inputs))
+    worst = scored.selectExpr("max(abs(prediction - column)) d", "count(*) n", "count(column) m").first()
+    assert worst.d <= 1e-9 and worst.n == worst.m
+    gap = series.limit(1).withColumn("elevation", F.lit(None).cast("double"))
+    assert gap.select(scoring.boosted_trees(model.stages[-1], inputs)).first()[0] is None
+
+
+def test_layers_as_columns_equal_the_model(spark):
+    rows = [(r, g, b) for r in range(0, 256, 85) for g in range(0, 256, 85) for b in range(0, 256, 85)]
+    data = colourspace.nearest_word(spark.createDataFrame(rows, "R int, G int, B int"))
+    model = learning.fit_colour_model(data, "RGB", max_iter=30)
+    network = model.stages[-1]
+    shares, best = scoring.perceptron(network, ["R", "G", "B"], network.getLayers())
+    scored = learning.probabilities(model.transform(data)).withColumns({"shares": shares, "best": best})
+    for r in scored.collect():
+        assert r.best == r.prediction
+        assert r.shares == pytest.approx(r.probability, abs=1e-9)
+    gap = data.limit(1).withColumn("G", F.lit(None).cast("int"))
+    assert gap.select(shares.alias("s"), best.alias("b")).first() == (None, None)
+
+
+def test_rows_without_channel_or_word_are_counted(spark):
+    rows = [(r, g, 0, w) for w, r, g in (("red", 255, 0), ("green", 0, 255), ("black", 0, 0))
+            for _ in range(4)]
+    rows += [(None, 1, 2, "red"), (1, None, None, "red"), (1, 2, 3, None)]
+    data = spark.createDataFrame(rows, "R int, G int, B int, word string")
+    kept, counts = learning.whole_rows(data, ["R", "G", "B", "word"])
+    assert kept.count() == 12
+    assert {r.outcome: r.rows for r in counts.collect()} == {"kept": 12, "no R": 1, "no G": 1, "no word": 1}
+    for space in ("RGB", "LAB"):
+        model = learning.fit_colour_model(data, space, max_iter=20)
+        assert model.stages[-1].getLayers()[-1] == 3
+        assert learning.score_words(model, data, space).first().n == 12
