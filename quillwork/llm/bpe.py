@@ -18,11 +18,12 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillwork.llm.arrow import Answer, map_rows
+
 # Fixed value: the pattern that the byte-level pre-tokenizer applies.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -202,11 +203,25 @@ class Encoder:
                 self.kept.update(zip(part, ids))
         return out
 
-    def encode_many(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of whole texts as little-endian unsigned 32-bit integers."""
+    def ids_of(self, piece: str) -> bytes:
+        """Ids of one pre-token, kept if it is short."""
+        ids = self.kept.get(piece)
+        if ids is None:
+            raw = piece.encode()
+            ids = np.array(self.merge(raw), "<u4").tobytes()
+            if len(raw) <= WIDTHS[-1]:
+                self.kept[piece] = ids
+        return ids
+
+    def make_room(self) -> None:
+        """Forget kept pre-tokens if there are too many."""
         if len(self.kept) >= KEPT_PIECES:
             self.kept.clear()
             self.kept.update(self.added)
+
+    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of whole texts as little-endian unsigned 32-bit integers."""
+        self.make_room()
         known, new, rows = self.kept.get, set(), []
         for text in texts:
             pieces = self.cut(text or "")
@@ -260,38 +275,25 @@ def read_vocabulary(path: str) -> str:
         return file.read()
 
 
-def map_texts(docs: DataFrame, vocabulary: str, rows_of, schema: str,
-              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``rows_of(encoder, ids, texts)`` for every batch, with the encoder of the vocabulary."""
-    shipped = docs.sparkSession.sparkContext.broadcast(vocabulary)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = encoder(shipped.value)
-        for batch in batches:
-            yield rows_of(own, batch["i"], batch["t"])
-
-    return docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).mapInPandas(run, schema)
-
-
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """Per row: its id and ``ids``, the array of token ids of its whole text."""
-    kind = docs.schema[id_col].dataType.simpleString()
+    shipped = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    def rows(own, keys, texts):
-        return pd.DataFrame({"doc_id": keys, "ids": [np.frombuffer(raw, "<i4")
-                                                     for raw in own.encode_all(texts)]})
+    def rows(texts: list[str | None]) -> Answer:
+        own = encoder(shipped.value)
+        return None, {"ids": [np.frombuffer(raw, "<i4") for raw in own.encode_all(texts)]}
 
-    return map_texts(docs, vocabulary, rows, f"doc_id {kind}, ids array<int>", id_col, text_col)
+    return map_rows(docs, id_col, [F.col(text_col)], "ids array<int>", rows)
 
 
 def decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id",
            ids_col: str = "ids") -> DataFrame:
     """Per row: its id and ``text`` of its token ids; null ids give the empty text."""
-    kind = encoded.schema[id_col].dataType.simpleString()
+    shipped = encoded.sparkSession.sparkContext.broadcast(vocabulary)
 
-    def rows(own, keys, lists):
-        texts = ["" if x is None else own.decode(np.asarray(x)) for x in lists]
-        return pd.DataFrame({"doc_id": keys, "text": texts})
+    def rows(lists: list[list[int] | None]) -> Answer:
+        own = encoder(shipped.value)
+        return None, {"text": ["" if x is None else own.decode(np.asarray(x, "i8")) for x in lists]}
 
-    return map_texts(encoded, vocabulary, rows, f"doc_id {kind}, text string", id_col, ids_col)
+    return map_rows(encoded, id_col, [F.col(ids_col)], "text string", rows)

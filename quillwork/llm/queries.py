@@ -6,7 +6,6 @@ import hashlib
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +14,8 @@ from quillwork.llm import (
     bpe, editcount, hmm, langid, linededup, merkle, ngramjoin, packing, quality, runs,
     toxicity, urlfilter, vectorjoin,
 )
+from quillwork.llm.arrow import Answer, map_rows
+from quillwork.session import settle
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -159,9 +160,11 @@ from parsed p left join hits h on p.page_id = h.page_id and h.place = 1
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document before and after its edits."""
-    docs = table(spark, sf_dir, "documents")
-    return editcount.edited_counts(docs, editcount.derived_edits(docs),
-                                   bpe.read_vocabulary(VOCABULARY))
+    vocabulary = bpe.read_vocabulary(VOCABULARY)
+    trees = settle(editcount.build(table(spark, sf_dir, "documents"), vocabulary))
+    # Each document's edits follow from its own row, so there is nothing to join.
+    rows = editcount.edited(trees.withColumn("edits", editcount.derived_edits()), vocabulary, keep=False)
+    return rows.select("doc_id", "tokens_before", "tokens_after", "n_edits", "n_encoded_again")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,19 +260,19 @@ from failed f left join limits t
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, as digests."""
-    def rows(own, keys, texts):
-        counts, encoded, decoded = [], [], []
+    shipped = spark.sparkContext.broadcast(bpe.read_vocabulary(VOCABULARY))
+
+    def digests(texts: list[str | None]) -> Answer:
+        own, counts, encoded, decoded = bpe.encoder(shipped.value), [], [], []
         for raw in own.encode_all(texts):
             counts.append(len(raw) // 4)
             encoded.append(hashlib.sha256(raw).hexdigest())
             back = own.decode(np.frombuffer(raw, "<u4"))
             decoded.append(hashlib.sha256(back.encode()).hexdigest())
-        return pd.DataFrame({"doc_id": keys, "n_tokens": counts, "ids_sha256": encoded,
-                             "decoded_sha256": decoded})
+        return None, {"n_tokens": counts, "ids_sha256": encoded, "decoded_sha256": decoded}
 
-    return bpe.map_texts(
-        table(spark, sf_dir, "documents"), bpe.read_vocabulary(VOCABULARY), rows,
-        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_rows(table(spark, sf_dir, "documents"), "doc_id", [F.col("text")],
+                    "n_tokens long, ids_sha256 string, decoded_sha256 string", digests)
 
 
 def with_planted_runs(docs: DataFrame) -> DataFrame:
