@@ -15,12 +15,12 @@ labelled from end to end, where it lies; there is no shuffle.
 
 Defined results: null text, and text without a letter, is ``und`` with score 0, as is all text when
 nothing could be learned from; a null id or null language is never learned from; repeated rows get
-equal answers; an empty table gives an empty table.
+equal answers; of languages with equal marginals the first by name is taken; an empty table gives an
+empty table; other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter, defaultdict
 from dataclasses import dataclass, field
@@ -28,10 +28,12 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillwork.functions.text import stretches
+from quillwork.llm.arrow import Answer, map_rows
+from quillwork.llm.excerpts import stretches
 from quillwork.session import settle
 
 LANGUAGES = 32         # for which the budgets of rows and words hold in full; more languages share them
@@ -46,7 +48,7 @@ KEPT_WORDS = 400_000
 GROUP_WORDS = 400_000  # words that are labelled at once
 UNKNOWN = "und"
 
-words_in = re.compile(r"[^\W\d_]+").findall
+words_in = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
 
 
 def feature_ids(word: str) -> list[int]:
@@ -298,38 +300,32 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def languages_of(docs: DataFrame, chain: Chain, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """Per row: its id, ``lang_pred`` and ``score``."""
-    kind = docs.schema[id_col].dataType.simpleString()
     shipped = docs.sparkSession.sparkContext.broadcast(chain)
 
-    def run(batches):
-        own = shipped.value
-        for batch in batches:
-            found = own.documents(batch["text"])
-            yield pd.DataFrame({"doc_id": batch["id"], "lang_pred": [x for x, _ in found],
-                                "score": [s for _, s in found]})
+    def verdicts(texts: list[str | None]) -> Answer:
+        found = shipped.value.documents(texts)
+        return None, {"lang_pred": [x for x, _ in found], "score": [s for _, s in found]}
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(
-        run, f"doc_id {kind}, lang_pred string, score double")
+    return map_rows(docs, id_col, [F.col(text_col)], "lang_pred string, score double", verdicts)
 
 
 def word_languages(docs: DataFrame, chain: Chain, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """Per word of every text: its document, place, ``lang`` and marginal probability."""
-    kind = docs.schema[id_col].dataType.simpleString()
     shipped = docs.sparkSession.sparkContext.broadcast(chain)
 
-    def run(batches):
-        own = shipped.value
-        for batch in batches:
-            for number, text in zip(batch["id"], batch["text"]):
-                words = words_in((text or "").lower())
-                if not words or not own.languages:
-                    continue
-                shares = own.label([words])[0]
-                best = shares.argmax(axis=1)
-                yield pd.DataFrame({
-                    "doc_id": [number] * len(words), "place": np.arange(len(words)), "word": words,
-                    "lang": [own.languages[b] for b in best], "probability": shares.max(axis=1)})
-
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(
-        run, f"doc_id {kind}, place long, word string, lang string, probability double")
+    def labels(texts: list[str | None]) -> Answer:
+        own, rows = shipped.value, []
+        out: dict[str, list] = {"place": [], "word": [], "lang": [], "probability": []}
+        for row, text in enumerate(texts if own.languages else []):
+            words = words_in((text or "").lower())
+            shares = own.label([words])[0]
+            rows += [row] * len(words)
+            out["place"] += range(len(words))
+            out["word"] += words
+            out["lang"] += [own.languages[b] for b in shares.argmax(axis=1)] if words else []
+            out["probability"] += shares.max(axis=1).tolist() if words else []
+        return rows, out
+
+    return map_rows(docs, id_col, [F.col(text_col)],
+                    "place long, word string, lang string, probability double", labels)

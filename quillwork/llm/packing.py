@@ -9,22 +9,22 @@ Every document is handled where it is read: there is no shuffle, and a hot sourc
 costs no task more than its share of rows.
 
 Defined results: a null or empty text is the single end id; repeated rows give repeated pieces under
-sequence ids of their own; a null id stays null; an empty table gives no pieces.
+sequence ids of their own; a null id stays null; an empty table gives no pieces; other columns,
+whatever their names, are not looked at.
 """
 
 from __future__ import annotations
 
 import binascii
 import json
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillwork.llm.arrow import Answer, map_rows
 from quillwork.llm.bpe import PRE_TOKENS, Encoder, byte_letters, encoder
 
 MAX_LENGTH = 2048
@@ -71,34 +71,29 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest piece must be a power of two")
-    kind = docs.schema[id_col].dataType.simpleString()
     shipped = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(texts: list[str | None]) -> Answer:
         own, slow = fast_encoder(shipped.value), encoder(shipped.value)
         end = np.array([end_id], "<u4")
-        for batch in batches:
-            rows, starts, lengths, checks, totals, parts = [], [], [], [], [], []
-            for row, text in enumerate(batch["t"]):
-                ids = np.concatenate((token_ids(own, slow, text), end))
-                raw, at = memoryview(ids.tobytes()), 0
-                for length in piece_lengths(len(ids), longest):
-                    rows.append(row)
-                    starts.append(at)
-                    lengths.append(length)
-                    checks.append(binascii.crc32(raw[4 * at:4 * (at + length)]))
-                    totals.append(len(ids))
-                    if with_ids:
-                        parts.append(ids[at:at + length].astype("i4"))
-                    at += length
-            yield pd.DataFrame({
-                "doc_id": batch["i"].take(rows).reset_index(drop=True), "start": starts,
-                "length": lengths, "ids_crc32": checks, "doc_tokens": totals,
-            } | ({"ids": parts} if with_ids else {}))
-
-    schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
-    pieces = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).mapInPandas(
-        run, schema + ", ids array<int>" * with_ids)
+        rows, starts, lengths, checks, totals, parts = [], [], [], [], [], []
+        for row, text in enumerate(texts):
+            ids = np.concatenate((token_ids(own, slow, text), end))
+            raw, at = memoryview(ids.tobytes()), 0
+            for length in piece_lengths(len(ids), longest):
+                rows.append(row)
+                starts.append(at)
+                lengths.append(length)
+                checks.append(binascii.crc32(raw[4 * at:4 * (at + length)]))
+                totals.append(len(ids))
+                if with_ids:
+                    parts.append(ids[at:at + length].astype("i4"))
+                at += length
+        return rows, {"start": starts, "length": lengths, "ids_crc32": checks, "doc_tokens": totals,
+                      "ids": parts}
+
+    schema = "start long, length long, ids_crc32 long, doc_tokens long"
+    pieces = map_rows(docs, id_col, [F.col(text_col)], schema + ", ids array<int>" * with_ids, cut)
     return pieces.withColumns({
         "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"),
     })

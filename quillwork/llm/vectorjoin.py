@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillwork.llm.arrow import Answer, map_rows
 from quillwork.llm.components import components
 from quillwork.session import settle
 
@@ -55,21 +56,17 @@ def read_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
     ``unit`` is given once for each key and batch.
     """
-    kind = df.schema[id_col].dataType.simpleString()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keys, units, had = [], [], set()
-            for vector in batch["v"]:
-                u = unit(vector)
-                key = None if u is None else xxhash.xxh3_128_digest(np.trim_zeros(u, "b").tobytes())
-                keys.append(key)
-                units.append(None if u is None or key in had else u)
-                had.add(key)
-            yield pd.DataFrame({"id": batch["i"], "key": keys, "unit": units})
-
-    return df.select(F.col(id_col).alias("i"), F.col(vec_col).alias("v")).mapInPandas(
-        run, f"id {kind}, key binary, unit array<double>")
+    def read(vectors: list[list[float] | None]) -> Answer:
+        keys, units, had = [], [], set()
+        for vector in vectors:
+            u = unit(vector)
+            key = None if u is None else xxhash.xxh3_128_digest(np.trim_zeros(u, "b").tobytes())
+            keys.append(key)
+            units.append(None if u is None or key in had else u)
+            had.add(key)
+        return None, {"key": keys, "unit": units}
+
+    return map_rows(df, id_col, [F.col(vec_col)], "key binary, unit array<double>", read, "id")
 
 
 def as_matrix(units: pd.Series, width: int) -> np.ndarray:
