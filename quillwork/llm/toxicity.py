@@ -35,7 +35,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillwork.functions.text import stretches
+from quillwork.llm.arrow import free_name
+from quillwork.llm.excerpts import stretches
 from quillwork.session import settle
 
 SAMPLE_ROWS = 3000
@@ -287,7 +288,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def with_scores(docs: DataFrame, model: Model, text_col: str = "text",
                 into: str = "_toxicity") -> DataFrame:
-    """``docs`` with the score of each whole text as a column."""
+    """``docs`` with the score of each whole text as a column ``into``, with underscores before its name
+    while ``docs`` has one of that name."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def scores(batches):
@@ -296,4 +298,4 @@ def with_scores(docs: DataFrame, model: Model, text_col: str = "text",
             yield pd.Series([own.score(t) for t in texts], dtype="f8")
 
     scores.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return docs.withColumn(into, F.pandas_udf(scores, "double")(F.col(text_col)))
+    return docs.withColumn(free_name(docs, into), F.pandas_udf(scores, "double")(F.col(text_col)))

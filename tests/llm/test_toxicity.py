@@ -1,7 +1,9 @@
 """Compression distance: the model on planted words, its bounds, and odd rows."""
 
 import random
+from pathlib import Path
 
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -150,3 +152,19 @@ def test_capped_labels_weigh_as_in_all_rows(spark, monkeypatch):
 def test_equal_shares():
     assert X.equal_share([5, 1, 100], 1000) == 100
     assert X.equal_share([5, 1, 100, 200], 46) == 20
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1").exists(), reason="test tables are not here")
+def test_held_out_accuracy(spark):
+    """Of labelled texts never learned from, toxic ones score higher and good ones are left alone."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    held = docs.join(labels.filter(X.crc_of(X.F.col("doc_id")) % 4 == 2), "doc_id")
+    scored = X.with_scores(held.select("toxic", "text"), X.learn(docs, labels)).collect()
+    bad = np.array([r["_toxicity"] for r in scored if r.toxic == 1])
+    good = np.array([r["_toxicity"] for r in scored if r.toxic == 0])
+    assert len(bad) > 100 and len(good) > 800
+    auc = np.mean([(good < b).mean() + (good == b).mean() / 2 for b in bad])
+    assert auc > 0.85
+    assert (good >= X.CUT).mean() < 0.04
+    assert (bad >= X.CUT).mean() > 0.7
