@@ -339,6 +339,16 @@ MOMENTS = (
     "round(sum(value), 1) AS sum_y, CAST(sum(event_id * event_id) AS DOUBLE) AS sum_xx, "
     "round(sum(value * value), 1) AS sum_yy, round(sum(event_id * value), 1) AS sum_xy FROM events"
 )
+MAXIMA = (
+    f"SELECT station, date, value / 10.0::DOUBLE AS tmax FROM ({OBSERVATIONS}) "
+    "WHERE qflag IS NULL AND starts_with(station, 'CA') AND observation = 'CLICK'"
+)
+STORES = (
+    "WITH s AS (SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS st, "
+    "sum(o_totalprice) AS t FROM orders GROUP BY 1, 2) SELECT a.date, round(a.t, 2) AS urgent, "
+    "round(b.t, 2) AS low FROM s a JOIN s b ON a.date = b.date "
+    "WHERE a.st = '1-URGENT' AND b.st = '5-LOW'"
+)
 FIVE_DAYS = (
     "SELECT CAST(o_orderdate AS DATE) AS pdate, "
     "round(avg(CAST(o_totalprice AS DECIMAL(12,2))), 4) AS avg FROM orders "
@@ -364,6 +374,21 @@ ORACLE: dict[str, str] = {
     "page_view_ledger": "SELECT CASE event_id % 10 WHEN 0 THEN 'number of fields' WHEN 1 THEN "
     "'wrong type' ELSE 'kept' END AS outcome, count(*) AS rows, CAST(sum(CASE WHEN event_id % 10 > 1 "
     "THEN CAST(round(value * 100) AS BIGINT) END) AS BIGINT) AS views FROM events GROUP BY 1",
+    "text_files_word_count": _words("documents", SPACE, "w"),
+    "gzip_comment_means": f"SELECT subreddit, round(avg(score), 6) AS mean FROM ({COMMENTS}) GROUP BY 1",
+    "csv_maxima": MAXIMA,
+    "tab_separated_maxima": f"WITH {CONTENT} SELECT hour, max(views) AS views FROM v GROUP BY hour",
+    "json_array_means": "SELECT o_orderpriority, round(avg(o_totalprice), 4) AS mean FROM orders GROUP BY 1",
+    "sign_directories": "SELECT CASE WHEN c_acctbal > 0 THEN 'positive' ELSE 'negative' END AS sign, "
+    "c_mktsegment, count(*) AS rows FROM customer WHERE contains(c_mktsegment, 'E') GROUP BY 1, 2",
+    "store_comparison_files": STORES,
+    "adjacency_degrees": "SELECT 'p' || l_partkey AS dst, count(*) AS edges, "
+    "count(DISTINCT l_orderkey) AS sources FROM lineitem GROUP BY 1",
+    "warehouse_tables": f"WITH {CUSTOMERS} SELECT province, count(*) AS purchases, "
+    "round(CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT) % 9000000) AS DOUBLE) / 100, 2) AS amount "
+    "FROM orders JOIN c ON o_custkey = custid GROUP BY 1",
+    "saved_model_scores": f"WITH {SERIES} SELECT count(*) AS rows, 0 AS differ FROM p",
+    "model_as_columns": f"WITH {SERIES} SELECT count(*) AS rows, 0 AS differ FROM p",
     "five_day_external": FIVE_DAYS,
     "holiday_external": "SELECT CAST(o_orderdate AS DATE) AS pdate, count(*) AS purchases, "
     "round(avg(CAST(o_totalprice AS DECIMAL(12,2))), 4) AS avg FROM orders "
@@ -391,8 +416,7 @@ ORACLE: dict[str, str] = {
     "relative_score": RELATIVE,
     "relative_score_broadcast": RELATIVE,
     "relative_score_top": RELATIVE + " ORDER BY relative_score DESC, author LIMIT 10",
-    "tmax_etl": f"SELECT station, date, value / 10.0::DOUBLE AS tmax FROM ({OBSERVATIONS}) "
-    "WHERE qflag IS NULL AND starts_with(station, 'CA') AND observation = 'CLICK'",
+    "tmax_etl": MAXIMA,
     "daily_range": DAILY_RANGE,
     "daily_range_sql": DAILY_RANGE,
     "station_ranges": f"WITH {RANGES} SELECT r.date, r.station, r.range, count(*) AS pairs "
@@ -400,10 +424,7 @@ ORACLE: dict[str, str] = {
     "ON r.date = b.date AND r.station = b.station AND r.range = b.m GROUP BY 1, 2, 3",
     "lagged_feature": LAGGED,
     "lagged_feature_window": LAGGED,
-    "store_comparison": "WITH s AS (SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS st, "
-    "sum(o_totalprice) AS t FROM orders GROUP BY 1, 2) SELECT a.date, round(a.t, 2) AS urgent, "
-    "round(b.t, 2) AS low FROM s a JOIN s b ON a.date = b.date "
-    "WHERE a.st = '1-URGENT' AND b.st = '5-LOW'",
+    "store_comparison": STORES,
     "calendar_features": "SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS store, "
     "o_totalprice AS sales, round(o_totalprice / nullif(o_custkey % 7, 0), 6) AS sales_per_staff, "
     "strftime(o_orderdate, '%m-%d') IN ('01-01', '12-25') AS is_holiday, "

@@ -5,12 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillwork import schemas
 from quillwork.functions.calendar import is_weekend
 from quillwork.operators import (
     colourspace,
@@ -20,6 +22,7 @@ from quillwork.operators import (
     quality,
     retail,
     scores,
+    scoring,
     stats,
     toplist,
     warehouse,
@@ -50,14 +53,18 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+# The documents are one file of one row group, which cannot be split: their rows are dealt out.
+DEALT = 20
+
+
 @query
 def word_count(spark, sf_dir):
-    return wordcount.word_count(_documents(spark, sf_dir), "text")
+    return wordcount.word_count(_documents(spark, sf_dir), "text", partitions=DEALT)
 
 
 @query
 def word_count_plain(spark, sf_dir):
-    return wordcount.word_count(_documents(spark, sf_dir), "text", punctuation=False)
+    return wordcount.word_count(_documents(spark, sf_dir), "text", punctuation=False, partitions=DEALT)
 
 
 @query
@@ -132,6 +139,114 @@ def page_view_ledger(spark, sf_dir):
         .withColumn("views", F.lit(None).cast("bigint")))
 
 
+def _stored(spark, name, write):
+    """The path of what ``write(path)`` has written."""
+    path = new_path(spark, name)
+    write(path)
+    return path
+
+
+@query
+def text_files_word_count(spark, sf_dir):
+    """Words of text files."""
+    docs = _documents(spark, sf_dir)
+    path = _stored(spark, "texts", lambda p: writers.text(docs, p, F.col("text")))
+    return wordcount.word_count(readers.text_lines(spark, path), punctuation=False)
+
+
+@query
+def gzip_comment_means(spark, sf_dir):
+    """Means per group of gzipped JSON lines, read by the full schema of a comment."""
+    comments = I.comments(spark, sf_dir)
+    path = _stored(spark, "comments", lambda p: writers.json(comments, p, compression="gzip"))
+    means = scores.group_mean(readers.comments(spark, path), "subreddit", "score")
+    return rounded(means, 6, "mean")
+
+
+@query
+def csv_maxima(spark, sf_dir):
+    """The maxima of comma-separated readings, by filters pushed into their reader."""
+    missing = [F.lit(None).cast("string").alias(c) for c in ("mflag", "sflag", "obstime")]
+    rows = I.observations(spark, sf_dir).select("*", *missing).select(*schemas.OBSERVATIONS.names)
+    path = _stored(spark, "readings", lambda p: writers.csv(rows, p))
+    return weather.maxima_extract(readers.observations(spark, path), "CA", "CLICK")
+
+
+@query
+def tab_separated_maxima(spark, sf_dir):
+    """The largest view count per hour, stored as tab-separated text and read again."""
+    best = toplist.max_per_key(_content(spark, sf_dir), ["hour"], "views")
+    path = _stored(spark, "tabs", lambda p: writers.tab_separated(best, p))
+    return readers.csv_rows(spark, path, best.schema, sep="\t")
+
+
+@query
+def json_array_means(spark, sf_dir):
+    """Group means stored as one JSON array per line, and the cells of those lines."""
+    orders = I.table(spark, sf_dir, "orders")
+    means = scores.group_mean(orders, "o_orderpriority", "o_totalprice")
+    path = _stored(spark, "arrays", lambda p: writers.json_arrays(means, p, means.columns))
+    cells = F.from_json("value", "array<string>")
+    return rounded(readers.text_lines(spark, path).select(
+        cells[0].alias("o_orderpriority"), cells[1].cast("double").alias("mean")), 4, "mean")
+
+
+@query
+def sign_directories(spark, sf_dir):
+    """Rows of the two directories that a split by sign has written."""
+    rows = scores.select_and_sign(
+        I.table(spark, sf_dir, "customer"), "c_mktsegment", "c_acctbal", "c_name", contains="E")
+    path = _stored(spark, "signs", lambda p: writers.split(rows, p, "sign", fmt="parquet"))
+    return readers.table(spark, "parquet", path=path).groupBy("sign", "c_mktsegment").agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def store_comparison_files(spark, sf_dir):
+    """Two stores side by side, from comma-separated sales with ISO dates."""
+    sales = I.sales(spark, sf_dir).select("date", "store", "sales", F.col("staff").cast("double"))
+    path = _stored(spark, "sales", lambda p: writers.csv(sales, p))
+    both = retail.store_comparison(
+        readers.csv_rows(spark, path, schemas.SALES), "1-URGENT", "5-LOW", names=("urgent", "low"))
+    return rounded(both, 2, "urgent", "low")
+
+
+@query
+def adjacency_degrees(spark, sf_dir):
+    """Edges into each part, from adjacency lines of the parts of each order."""
+    lines = I.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.collect_list(F.concat(F.lit("p"), "l_partkey")).alias("parts")).select(
+        F.concat(F.lit("o"), "l_orderkey", F.lit(": "), F.array_join("parts", " ")).alias("value"))
+    path = _stored(spark, "links", lambda p: writers.text(lines, p, F.col("value")))
+    edges = graph.edges_from_adjacency(readers.text_lines(spark, path))
+    return edges.groupBy("dst").agg(F.count(F.lit(1)).alias("edges"),
+                                    F.count_distinct("src").alias("sources"))
+
+
+@query
+def warehouse_tables(spark, sf_dir):
+    """Spending by province from typed tables: created, loaded, asked and dropped again."""
+    name, path = f"shop_{uuid.uuid4().hex}", new_path(spark, "shop")
+    catalog.create_warehouse(spark, name, path)
+    key = lambda c: F.col(c).cast("string")
+    catalog.load(I.customers(spark, sf_dir).select(
+        key("custid").alias("custid"), *[F.lit(None).cast("string").alias(c) for c in (
+            "custname", "street", "city")], "province", "postalcode"), f"{name}.customers")
+    catalog.load(I.table(spark, sf_dir, "orders").select(
+        key("o_orderkey").alias("purchid"), key("o_custkey").alias("custid"),
+        F.lit(None).cast("string").alias("pmid"), F.lit(None).cast("string").alias("amenid"),
+        F.col("o_orderdate").cast("date").alias("pdate"),
+        (I.cents("o_totalprice") % 9_000_000 / 100).cast("decimal(7,2)").alias("amount")),
+        f"{name}.purchases")
+    spent = settle(spark.table(f"{name}.purchases").groupBy("custid").agg(
+        F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("purchases")).join(
+        spark.table(f"{name}.customers"), "custid").groupBy("province").agg(
+        F.sum("purchases").alias("purchases"), F.sum("amount").cast("double").alias("amount")))
+    catalog.drop_warehouse(spark, name)
+    catalog.drop_schema(spark, name)
+    return rounded(spent, 2, "amount")
+
+
 @query
 def five_day_external(spark, sf_dir):
     """Orders as an external table of daily directories, all registered, of which five days are read."""
@@ -612,6 +727,34 @@ def regression_model(spark, sf_dir):
     return reports[0].unionByName(reports[1])
 
 
+def _apart(rows, one, two, tolerance):
+    """Rows, and those whose two columns differ by more than so much."""
+    return rows.agg(F.count(F.lit(1)).alias("rows"),
+                    F.count_if(F.abs(F.col(one) - F.col(two)) > tolerance).alias("differ"))
+
+
+@query
+def saved_model_scores(spark, sf_dir):
+    """Predictions of a model before and after it was stored."""
+    train, validation = _temperature_data(spark, sf_dir)
+    model = learning.temperature_model(True, max_iter=5).fit(train)
+    path = new_path(spark, "model")
+    model.write().overwrite().save(path)
+    rows = model.transform(train.unionByName(validation)).withColumnRenamed(
+        "prediction", "before").drop("features")
+    return _apart(PipelineModel.load(path).transform(rows), "before", "prediction", 0.0)
+
+
+@query
+def model_as_columns(spark, sf_dir):
+    """Predictions of boosted trees by the model, and by the model written as a column expression."""
+    train, validation = _temperature_data(spark, sf_dir)
+    model = learning.temperature_model(True, max_iter=10).fit(train)
+    column = scoring.boosted_trees(model.stages[-1], ["season_day", *learning.PLACE, "yesterday_tmax"])
+    rows = model.transform(train.unionByName(validation)).withColumn("column", column)
+    return _apart(rows, "prediction", "column", 1e-9)
+
+
 @query
 def feature_importance(spark, sf_dir):
     train, _ = _temperature_data(spark, sf_dir)

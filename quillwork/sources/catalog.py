@@ -27,8 +27,10 @@ def columns_of(schema: T.StructType) -> str:
                      for f in schema)
 
 
-def create_schema(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """A schema, in a folder of its own if one is given, else in the warehouse."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{place}")
 
 
 def drop_schema(spark: SparkSession, name: str) -> None:
@@ -47,7 +49,7 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, location:
 
 def create_warehouse(spark: SparkSession, schema: str, location: str) -> None:
     """The typed, empty tables of the star schema below one folder."""
-    create_schema(spark, schema)
+    create_schema(spark, schema, location)
     for name, fields in WAREHOUSE.items():
         create_table(spark, f"{schema}.{name}", fields, f"{location}/{name}")
 
