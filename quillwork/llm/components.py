@@ -1,35 +1,43 @@
 """Connected components of an undirected graph, by alternating large-star and small-star rounds.
 
 Neighbourhoods are never gathered: a round takes the least neighbour of each node (combined in the
-map tasks) and joins it back, so the hub of a huge group is only a skewed join key.  Every round is
-written to the shared folder.
+map tasks) and joins it back, in the map tasks where those are few, else by a shuffle whose oversized
+partitions are split.  Every round is written to the shared folder and replaces the one before.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quillwork.session import settle
+from quillwork.operators.sizing import join_measured, settle_measured
+from quillwork.session import Scratch, settle_at
 
 
-def state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def with_state(edges: DataFrame, path: str) -> tuple[DataFrame, tuple]:
+    """Settle edges and tell, from the same job, how many there are and the sum of their hashes."""
+    seen = Observation()
+    table = settle_at(edges.observe(
+        seen, F.count("*").alias("rows"),
+        F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hashes")), path)
+    return table, (seen.get["rows"], seen.get["hashes"])
 
 
-def large_star(edges: DataFrame) -> DataFrame:
+def large_star(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the least node of its neighbourhood."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least, size = scratch.settle(both.groupBy("a").agg(F.min("b").alias("m")).select(
+        "a", F.least("a", "m").alias("m")), "large", settle_measured)
+    return join_measured(both.filter("b > a"), least, size, ["a"]).select(
+        F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def small_star(edges: DataFrame) -> DataFrame:
+def small_star(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the least of them; ``a > b`` holds in edges."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    others = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"),
-                                                            F.col("m").alias("b"))
+    least, size = scratch.settle(
+        edges.groupBy("a").agg(F.min("b").alias("m")), "small", settle_measured)
+    others = join_measured(edges, least, size, ["a"]).filter("b <> m").select(
+        F.col("b").alias("a"), F.col("m").alias("b"))
     return others.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
@@ -38,12 +46,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Edges with a null end, and loops, are left out.  Nodes may be of any type that can be ordered.
     """
+    scratch = Scratch(edges.sparkSession)
     linked = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).filter("x <> y")
-    now = settle(linked.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
-                 .distinct())
-    before, seen = None, state(now)
+    now, seen = scratch.settle(
+        linked.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(),
+        "edges", with_state)
+    before = None
     while seen != before and seen[0]:
-        now = settle(small_star(large_star(now)))
-        before, seen = seen, state(now)
+        before = seen
+        now, seen = scratch.settle(
+            small_star(scratch, large_star(scratch, now)), "edges", with_state)
+    scratch.close("edges")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)

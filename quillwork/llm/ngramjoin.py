@@ -13,15 +13,17 @@ order.  Documents with equal sets are one node, so exact copies never meet.  The
    them, their hub, not with each other.
 4. *Beside a hub.*  Two nodes of one hub that are not linked through it must share many of the n-grams
    in which each differs from the hub.  Edits of one's own are shared with nobody, so this leaves
-   few nodes, which are joined on the rarest of their shared differences (prefix filter).
+   few nodes, which are joined on the rarest of their shared differences (prefix filter).  First only
+   with the one nearest to the hub, which joins most copies of an edited copy.
 5. *Across hubs.*  Other links share only n-grams that occur with several hubs and components; nodes
    of which these do not make up four fifths are out, and the filter is repeated on what is left.
-   The rest is joined on the rarest of those n-grams, never inside a hub.  Candidates of 4 and 5 are
-   counted as in 2.
+   The rest is joined on the rarest of those n-grams, never inside a hub.
 
-Nothing is capped; only the candidates of 4 and 5 are pairs, and never pairs of one component.  Defined results: null text, or text without words, has size 0 and links with nothing;
-rows with a null id take part, and are never the least id of a component; rows with equal texts and
-ids give equal rows; an empty table gives an empty table.
+Candidates of 4 and 5 are counted as in 2: they meet their sets on (node, fragment), and the overlaps of
+the fragments are summed per pair.  Nothing is capped; only those candidates are pairs, and never pairs
+of one component.  Defined results: null text, or text without words, has size 0 and links with
+nothing; rows with a null id take part, and are never the least id of a component; rows with equal texts
+and ids give equal rows; an empty table gives an empty table; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -34,9 +36,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillwork.llm.arrow import Answer, map_rows
 from quillwork.llm.components import components
 from quillwork.operators.sizing import join_measured, settle_measured
-from quillwork.session import settle
+from quillwork.session import Scratch
 
 WORDS = 5
 FRAGMENTS = 8
@@ -94,22 +97,18 @@ NEEDED = f"(1 + {LEAST_COMMON} div 16)"
 
 def read_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per row: id, size, node and the front of its set (null where the batch has had the node)."""
-    kind = docs.schema[id_col].dataType.simpleString()
+    def read(texts: list[str | None]) -> Answer:
+        sizes, nodes, fronts, had = [], [], [], {None}
+        for text in texts:
+            items = shingles(text)
+            node = node_of(items)
+            sizes.append(len(items))
+            nodes.append(node)
+            fronts.append(None if node in had else items[:front_length(len(items))])
+            had.add(node)
+        return None, {"n": sizes, "node": nodes, "front": fronts}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sizes, nodes, fronts, had = [], [], [], {None}
-            for text in batch["text"]:
-                items = shingles(text)
-                node = node_of(items)
-                sizes.append(len(items))
-                nodes.append(node)
-                fronts.append(None if node in had else items[:front_length(len(items))])
-                had.add(node)
-            yield pd.DataFrame({"id": batch["id"], "n": sizes, "node": nodes, "front": fronts})
-
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(
-        run, f"id {kind}, n long, node binary, front array<long>")
+    return map_rows(docs, id_col, [F.col(text_col)], "n long, node binary, front array<long>", read, "id")
 
 
 def shared_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -203,33 +202,18 @@ def key_text(id_col: str) -> Column:
     return F.coalesce(F.col(id_col).cast("string"), F.lit(""))
 
 
-def common_counts(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Numbers of common items of two cut sets: each fragment is counted, the counts are summed."""
-    out = []
-    for one, two in zip(left, right):
-        total = 0
-        for a, b in zip(one, two):
-            if len(a) and len(b):
-                at = np.searchsorted(b, a)
-                at[at == len(b)] = 0
-                total += int((b[at] == a).sum())
-        out.append(total)
-    return pd.Series(out, dtype="i8")
-
-
 def linked(pairs: DataFrame, cut: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` with a Jaccard similarity of four fifths or more."""
-    count = F.pandas_udf(common_counts, "long")
-    sets = cut.groupBy("node", "n").agg(
-        F.sort_array(F.collect_list(F.struct("part", "items"))).alias("parts")).select(
-        "node", "n", F.col("parts.items").alias("parts"))
-    one, two = (sets.toDF(name, f"n_{name}", f"parts_{name}") for name in ("a", "b"))
-    return (
-        pairs.join(one, "a").join(two, "b")
-        .select("a", "b", "n_a", "n_b", count("parts_a", "parts_b").alias("common"))
-        .filter(100 * F.col("common") >= 80 * (F.col("n_a") + F.col("n_b") - F.col("common")))
-        .select("a", "b")
-    )
+    """The pairs ``a, b`` with a Jaccard similarity of four fifths or more.
+
+    A pair meets in each fragment separately, on (node, fragment); the overlaps are counted there and
+    summed per pair.
+    """
+    one = cut.select(F.col("node").alias("a"), "part", F.col("n").alias("n_a"), F.col("items").alias("items_a"))
+    two = cut.select(F.col("node").alias("b"), "part", F.col("n").alias("n_b"), F.col("items").alias("items_b"))
+    met = pairs.join(one, "a").join(two, ["b", "part"])
+    common = F.sum(F.size(F.array_intersect("items_a", "items_b")).cast("long"))
+    return met.groupBy("a", "b", "n_a", "n_b").agg(common.alias("common")).filter(
+        100 * F.col("common") >= 80 * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
 
 
 def hubs_of(cut: DataFrame) -> DataFrame:
@@ -277,7 +261,7 @@ def compared_with_hubs(cut: DataFrame) -> DataFrame:
     )
 
 
-def beside_hubs(compared: DataFrame, roots: DataFrame | None,
+def beside_hubs(scratch: Scratch, compared: DataFrame, roots: DataFrame | None,
                 to_first: bool = False) -> DataFrame | None:
     """Candidate links between nodes of one hub that are not in one component yet.
 
@@ -296,18 +280,19 @@ def beside_hubs(compared: DataFrame, roots: DataFrame | None,
         short_name("hub").alias("hub"), "n", "only", "n_hub", "common")
     open_hubs = all_nodes.groupBy("hub").agg(
         F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("hub")
-    items = settle(all_nodes.join(open_hubs, "hub").select(
-        "node", "root", "hub", "n", F.size("only").cast("long").alias("d"), "n_hub",
-        F.expr("9 * size(only) > n + n_hub").alias("apart"), F.explode("only").alias("item")))
-    columns = ["node", "root", "hub", "n", "d", "n_hub", "apart"]
+    open_nodes = scratch.settle(all_nodes.join(open_hubs, "hub"), "open")
+    items = open_nodes.select("node", "root", "hub", F.explode("only").alias("item"))
+    facts = open_nodes.select(
+        "node", "n", F.size("only").cast("long").alias("d"), "n_hub",
+        F.expr("9 * size(only) > n + n_hub").alias("apart"))
     as_x = "(apart and size >= greatest(1, d - n div 4))"
     least_y = "greatest(1, (9 * d + n_hub - n) div 18 + if((9 * d + n_hub - n) >= 0, 1, 0))"
-    kept = narrowed(items, ["hub", "item"], columns, f"{as_x} or size >= {least_y}")
+    kept = narrowed(scratch, items, ["hub", "item"], facts, f"{as_x} or size >= {least_y}")
     if kept is None:
         return None
-    ranked = kept.selectExpr(
-        *columns, "item", "size",
-        "row_number() over (partition by node order by df, item) as place")
+    ranked = scratch.settle(kept.selectExpr(
+        "node", "root", "hub", "n", "d", "n_hub", "apart", "item", "size",
+        "row_number() over (partition by node order by df, item) as place"), "ranked")
     x = ranked.filter(f"{as_x} and place <= size - greatest(1, d - n div 4) + 1").selectExpr(
         "hub", "item", "node as x", "root as root_x", "n as n_x", "d as d_x",
         "size - place + 1 as rest_x")
@@ -328,12 +313,13 @@ def beside_hubs(compared: DataFrame, roots: DataFrame | None,
         F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
-def narrowed(items: DataFrame, key: list[str], columns: list[str], enough: str,
+def narrowed(scratch: Scratch, items: DataFrame, key: list[str], facts: DataFrame, enough: str,
              differ: tuple[str, ...] = ("root",)) -> DataFrame | None:
     """Rows of ``items`` whose key has several values in ``differ``, of nodes with enough of them.
 
-    Repeated until no more nodes fall out; ``size`` is a node's number of rows left and ``df`` the
-    key's.  None if no node is left.
+    ``items`` has ``node, root, hub, item``, ``facts`` a row per node with what ``enough`` asks for.
+    Repeated while a tenth of the nodes fall out; ``size`` is a node's number of rows left and ``df``
+    the key's.  None if no node is left.
     """
     before = None
     while True:
@@ -341,16 +327,18 @@ def narrowed(items: DataFrame, key: list[str], columns: list[str], enough: str,
             F.count("*").alias("df"),
             *[f(c).alias(f"{f.__name__}_{c}") for c in differ for f in (F.min, F.max)]
         ).filter(" and ".join(f"min_{c} <> max_{c}" for c in differ)).select(*key, "df")
-        kept = settle(items.select(*columns, "item").join(several, key))
-        nodes = settle(kept.groupBy(*columns).agg(F.count("*").alias("size")).filter(enough)
-                       .select("node", "size"))
-        now = nodes.count()
-        if not now:
+        # Keys grow with the items, so they are never broadcast; oversized partitions are split.
+        kept = scratch.settle(items.join(several.hint("merge"), key).select(
+            "node", "root", "hub", "item", "df"), "kept")
+        nodes, size = scratch.settle(
+            kept.groupBy("node").agg(F.count("*").alias("size")).join(facts, "node").filter(enough),
+            "nodes", settle_measured)
+        if not size[0]:
             return None
-        items = kept.join(nodes, "node")
-        if now == before:
-            return items
-        before = now
+        if before is not None and 10 * size[0] >= 9 * before:
+            return join_measured(kept, nodes, size, ["node"])
+        items = join_measured(kept.drop("df"), nodes.select("node"), size, ["node"], "left_semi")
+        before = size[0]
 
 
 def with_roots(table: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -360,31 +348,35 @@ def with_roots(table: DataFrame, roots: DataFrame | None) -> DataFrame:
     return table.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def across_hubs(cut: DataFrame, compared: DataFrame, roots: DataFrame | None) -> DataFrame | None:
+def across_hubs(scratch: Scratch, cut: DataFrame, compared: DataFrame, roots: DataFrame | None
+                ) -> DataFrame | None:
     """Candidate links between nodes of different hubs and components.
 
     Such a pair shares only n-grams that nodes of several hubs and components have.  The fronts are
     looked at first; whole sets only of nodes that have enough of those in front.
     """
-    labelled = with_roots(cut, roots).join(compared.select("node", "hub"), "node", "left").select(
-        short_name("node").alias("node"), short_name("root").alias("root"),
-        F.xxhash64(F.coalesce("hub", "node")).alias("hub"), "n", "items", "ahead")
-    columns, differ = ["node", "root", "hub", "n"], ("hub", "root")
-    front = settle(labelled.filter("ahead > 0").select(
-        *columns, F.explode(F.slice("items", F.lit(1), F.col("ahead"))).alias("item")))
-    seen = narrowed(front, ["item"], columns, f"size >= {NEEDED}", differ)
+    labelled = scratch.settle(
+        with_roots(cut, roots).join(compared.select("node", "hub"), "node", "left").select(
+            short_name("node").alias("node"), short_name("root").alias("root"),
+            F.xxhash64(F.coalesce("hub", "node")).alias("hub"), "part", "n", "items", "ahead"), "labelled")
+    columns, differ = ["node", "root", "hub"], ("hub", "root")
+    facts = labelled.filter("part = 0").select("node", "n")
+    front = labelled.filter("ahead > 0").select(
+        *columns, F.explode(F.slice("items", F.lit(1), F.col("ahead"))).alias("item"))
+    seen = narrowed(scratch, front, ["item"], facts, f"size >= {NEEDED}", differ)
     if seen is None:
         return None
-    whole = settle(labelled.join(seen.select("node").distinct(), "node", "left_semi").select(
-        *columns, F.explode("items").alias("item")))
-    kept = narrowed(whole, ["item"], columns, f"size >= {LEAST_COMMON}", differ)
+    ahead, size = scratch.settle(seen.select("node").distinct(), "ahead", settle_measured)
+    whole = join_measured(labelled, ahead, size, ["node"], "left_semi").select(
+        *columns, F.explode("items").alias("item"))
+    kept = narrowed(scratch, whole, ["item"], facts, f"size >= {LEAST_COMMON}", differ)
     if kept is None:
         return None
     ranked = kept.selectExpr(
-        *columns, "item", "size",
+        *columns, "n", "item", "size",
         "row_number() over (partition by node order by df, item) as place")
-    first = settle(ranked.filter(f"place <= size - {LEAST_COMMON} + 1").selectExpr(
-        *columns, "item", "size - place + 1 as rest"))
+    first = scratch.settle(ranked.filter(f"place <= size - {LEAST_COMMON} + 1").selectExpr(
+        *columns, "n", "item", "size - place + 1 as rest"), "first")
     # Pairs within the hub that most rows of a bucket have are never formed.
     main = first.groupBy("item", "hub").agg(F.count("*").alias("m")).groupBy("item").agg(
         F.max(F.struct("m", "hub")).alias("main")).select("item", F.col("main.hub").alias("main"))
@@ -397,49 +389,56 @@ def across_hubs(cut: DataFrame, compared: DataFrame, roots: DataFrame | None) ->
         F.least("node", "node_b").alias("x"), F.greatest("node", "node_b").alias("y")).distinct()
 
 
-def node_components(cut: DataFrame) -> DataFrame | None:
+def node_components(scratch: Scratch, cut: DataFrame) -> DataFrame | None:
     """``node, root`` of the nodes that link to others, or none."""
-    compared = settle(compared_with_hubs(cut))
+    compared = scratch.settle(compared_with_hubs(cut), "compared")
     links = compared.filter("9 * common >= 4 * (n + n_hub)").select(
         F.col("node").alias("a"), F.col("hub").alias("b"))
-    names = cut.select("node").distinct()
-    found = links
-    for step in (lambda r: beside_hubs(compared, r, to_first=True),
-                 lambda r: beside_hubs(compared, r, to_first=True),
-                 lambda r: beside_hubs(compared, r),
-                 lambda r: across_hubs(cut, compared, r)):
-        pairs = step(None if found.isEmpty() else settle(components(found)))
+    names = cut.filter("part = 0").select("node")
+    found, roots = scratch.settle(links, "found"), None
+    for step in (lambda r: beside_hubs(scratch, compared, r, to_first=True),
+                 lambda r: beside_hubs(scratch, compared, r),
+                 lambda r: across_hubs(scratch, cut, compared, r)):
+        if not found.isEmpty():
+            roots = scratch.settle(components(found), "roots")
+        pairs = step(roots)
         if pairs is not None:
             whole = pairs.join(
                 names.select(short_name("node").alias("x"), F.col("node").alias("a")), "x").join(
                 names.select(short_name("node").alias("y"), F.col("node").alias("b")), "y")
-            found = settle(found.union(linked(settle(whole.select("a", "b")), cut)))
-    return None if found.isEmpty() else settle(components(found))
+            pairs = scratch.settle(whole.select("a", "b"), "pairs")
+            found = scratch.settle(found.union(linked(pairs, cut)), "found")
+    return None if found.isEmpty() else scratch.settle(components(found), "roots")
 
 
 def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id``.
 
     ``component_id`` is the least id reachable by links, the row's own where there are none.
-    Intermediate tables are written to the shared folder when this is called.
+    Computed when this is called; of the tables written to the shared folder only the result is left.
     """
-    sets = settle(read_sets(docs, id_col, text_col))
+    scratch = Scratch(docs.sparkSession)
+    sets = scratch.settle(read_sets(docs, id_col, text_col), "sets")
     classes = sets.filter("node is not null").groupBy("node").agg(
         F.min("id").alias("id"), F.count("*").alias("copies"))
-    own = settle(survivors(sets))
-    keys, size = settle_measured(
+    own = scratch.settle(survivors(sets), "own")
+    keys, size = scratch.settle(
         classes.join(own, short_name("node") == F.col("short"), "left_semi")
-        .select(key_text("id").alias("key")).distinct())
-    cut = settle(segments(docs, own, keys, size, id_col, text_col))
-    roots = node_components(cut)
+        .select(key_text("id").alias("key")).distinct(), "keys", settle_measured)
+    cut = scratch.settle(segments(docs, own, keys, size, id_col, text_col), "cut")
+    roots = node_components(scratch, cut)
     if roots is None:
         groups = classes.filter("copies > 1").select("node", F.col("id").alias("component_id"))
     else:
         rooted = classes.join(roots, "node", "left").filter("copies > 1 or root is not null").select(
             "node", "id", F.coalesce("root", "node").alias("root"))
-        rooted = settle(rooted)
+        rooted = scratch.settle(rooted, "rooted")
         least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
         groups = rooted.join(least, "root").select("node", "component_id")
-    return sets.join(groups, "node", "left").select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "id").alias("component_id"))
+    groups, size = scratch.settle(groups, "groups", settle_measured)
+    result = scratch.settle(
+        join_measured(sets.select("id", "n", "node"), groups, size, ["node"], "left").select(
+            F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
+            F.coalesce("component_id", "id").alias("component_id")), "result")
+    scratch.close("result")
+    return result

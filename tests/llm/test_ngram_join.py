@@ -152,14 +152,29 @@ def test_streaming_finds_all_shared_items(rows, batch):
 
 
 @given(st.lists(st.tuples(st.sets(st.integers(-50, 50)), st.sets(st.integers(-50, 50))), min_size=1))
-def test_common_counts_of_fragments_are_summed(parts):
+def test_differences_of_fragments(parts):
     left, right = (pd.Series([[np.array(sorted(p[i]), "i8") for p in parts]]) for i in (0, 1))
-    assert J.common_counts(left, right).tolist() == [sum(len(a & b) for a, b in parts)]
     both = [J.differences(pd.Series([a]), pd.Series([b])) for a, b in zip(left[0], right[0])]
     assert [int(x.common.iloc[0]) for x in both] == [len(a & b) for a, b in parts]
     assert [set(x.only.iloc[0].tolist()) for x in both] == [a ^ b for a, b in parts]
 
 
+def test_overlaps_of_fragments_are_summed_per_pair(spark):
+    rng = random.Random(6)
+    base = sorted(rng.sample(range(1000), 60))
+    sets = {i: sorted({*rng.sample(base, 45), *rng.sample(range(2000, 2010), rng.randrange(5))})
+            for i in range(12)}
+    rows = [(b"%02d" % i, len(items), part, [x for x in items if x % 8 == part])
+            for i, items in sets.items() for part in range(8)]
+    cut = spark.createDataFrame(rows, "node binary, n long, part int, items array<long>")
+    pairs = spark.createDataFrame([(b"%02d" % i, b"%02d" % j) for i in sets for j in sets if i < j],
+                                  "a binary, b binary")
+    got = {(int(bytes(r.a)), int(bytes(r.b))) for r in J.linked(pairs, cut).collect()}
+    links = {(i, j) for i in sets for j in sets if i < j
+             and 100 * len({*sets[i]} & {*sets[j]}) >= 80 * len({*sets[i]} | {*sets[j]})}
+    assert got == links and 0 < len(links) < 66
+
+
 def test_components_of_a_path_a_star_and_loops(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(200)] + [(500, 500 + i) for i in range(1, 300)]
