@@ -27,7 +27,7 @@ HEADLINES = [
     "calendar_features", "parse_log", "log_host_correlation", "moments", "linear_fit",
     "star_avg_by_method", "segment_three_way", "ilike_semi", "five_day_avg", "dq_checks",
     "lagged_feature", "lagged_feature_window", "rgb_to_lab", "rgb_to_hsv", "shortest_paths",
-    "stream_regression", "five_day_external", "clustered_range", "json_ledger", "batched_inserts",
+    "stream_regression", "clustered_range", "json_ledger", "batched_inserts",
     "ordered_days", "stream_restart", "vector_assembly",
 ]
 

@@ -2,107 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwork.functions import colour as C
-from quillwork.functions.fixed import (
-    LAB_CUT,
-    LAB_SLOPE,
-    PALETTE,
-    RGB_TO_XYZ,
-    SRGB_CUT,
-    SRGB_GAMMA,
-    SRGB_OFFSET,
-    SRGB_SCALE,
-    SRGB_SLOPE,
-    WHITE_XYZ,
-)
-
-
-def rgb_to_lab(df: DataFrame, r: str = "R", g: str = "G", b: str = "B", input_bytes: bool = True,
-               out: tuple[str, str, str] = ("labL", "labA", "labB")) -> DataFrame:
-    """Add LAB columns; every other column is kept."""
-    light = [C.linear_light(C.unit_channel(F.col(c), input_bytes)) for c in (r, g, b)]
-    responses = df.select("*", F.struct(*[
-        channel.alias(name) for channel, name in zip(light, "rgb")
-    ]).alias("_light"))
-    x, y, z = C.xyz_over_white(F.col("_light.r"), F.col("_light.g"), F.col("_light.b"))
-    responses = responses.select("*", F.struct(
-        C.lab_curve(x).alias("x"), C.lab_curve(y).alias("y"), C.lab_curve(z).alias("z")
-    ).alias("_lab"))
-    fx, fy, fz = F.col("_lab.x"), F.col("_lab.y"), F.col("_lab.z")
-    return responses.select(
-        *df.columns,
-        (fy * 116.0 - 16.0).alias(out[0]),
-        ((fx - fy) * 500.0).alias(out[1]),
-        ((fy - fz) * 200.0).alias(out[2]),
-    )
+from quillwork.functions.fixed import PALETTE, RGB_TO_XYZ, WHITE_XYZ
 
+# The columns of each space, unless a conversion is given other names for some of them.
+RGB = {"red": "R", "green": "G", "blue": "B"}
+SPACES = {
+    "lab": ({"lightness": "labL", "a": "labA", "b": "labB"}, C.lab_steps),
+    "hsv": ({"hue": "H", "saturation": "S", "value": "V"}, C.hsv_steps),
+}
 
-def rgb_to_hsv(df: DataFrame, r: str = "R", g: str = "G", b: str = "B", input_bytes: bool = True,
-               out: tuple[str, str, str] = ("H", "S", "V")) -> DataFrame:
-    """Add HSV columns; every other column is kept."""
-    unit = [C.unit_channel(F.col(c), input_bytes) for c in (r, g, b)]
-    top, bottom = F.greatest(*unit), F.least(*unit)
-    spread = top - bottom
-    return df.select(
-        "*",
-        C.hue(*unit, top, spread).alias(out[0]),
-        F.when(spread == 0, F.lit(0.0)).otherwise(spread / top).alias(out[1]),
-        top.alias(out[2]),
-    )
 
+def conversion(space: str, kept: list[str], names: Mapping[str, str] = {}, full: float = 255.0,
+               source: str = "__THIS__") -> str:
+    """The conversion from RGB as one SQL statement, e.g. for an ``SQLTransformer`` inside a model.
 
-def _unit_sql(column: str, input_bytes: bool) -> str:
-    return f"CAST({column} AS DOUBLE) / 255D" if input_bytes else f"CAST({column} AS DOUBLE)"
-
+    It selects the columns ``kept`` and those of the space; ``names`` renames any of red, green, blue and
+    the space's own; ``full`` is the value of a full channel.  Each step is written, and computed, once.
+    """
+    out, steps = SPACES[space]
+    called = {**RGB, **out, **names}
+    found = steps([called[c] for c in RGB], full, *[called[c] for c in out])
+    listed = ", ".join(f"{formula} AS `{name}`" for name, formula in found.items())
+    columns = ", ".join(f"`{c}`" for c in [*kept, *[called[c] for c in out]])
+    return f"SELECT {columns} FROM (SELECT *, {listed} FROM {source})"
 
-def rgb_to_lab_sql(view: str = "__THIS__", keep: list[str] | None = None, input_bytes: bool = True,
-                   r: str = "R", g: str = "G", b: str = "B",
-                   out: tuple[str, str, str] = ("labL", "labA", "labB")) -> str:
-    """The LAB conversion as a SQL statement, e.g. for an ``SQLTransformer`` inside a model.
 
-    Each select item may use the ones before it, so every step is written once.
-    """
-    steps = []
-    for name, column in zip("rgb", (r, g, b)):
-        steps.append(f"{_unit_sql(column, input_bytes)} AS _u{name}")
-        steps.append(
-            f"CASE WHEN _u{name} > {SRGB_CUT}D THEN power((_u{name} + {SRGB_OFFSET}D) / "
-            f"{SRGB_SCALE}D, {SRGB_GAMMA}D) ELSE _u{name} / {SRGB_SLOPE}D END AS _l{name}"
-        )
-    for name, row, white in zip("xyz", RGB_TO_XYZ, WHITE_XYZ):
-        weighted = " + ".join(f"_l{c} * {w}D" for c, w in zip("rgb", row))
-        steps.append(f"({weighted}) / {white}D AS _{name}")
-        steps.append(
-            f"CASE WHEN _{name} > {LAB_CUT}D THEN power(_{name}, 1D / 3D) "
-            f"ELSE _{name} * {LAB_SLOPE}D + 16D / 116D END AS _f{name}"
-        )
-    steps.append(f"_fy * 116D - 16D AS {out[0]}")
-    steps.append(f"(_fx - _fy) * 500D AS {out[1]}")
-    steps.append(f"(_fy - _fz) * 200D AS {out[2]}")
-    columns = ", ".join([r, g, b, *(keep or []), *out])
-    return f"SELECT {columns} FROM (SELECT *, {', '.join(steps)} FROM {view})"
-
-
-def rgb_to_hsv_sql(view: str = "__THIS__", keep: list[str] | None = None, input_bytes: bool = True,
-                   r: str = "R", g: str = "G", b: str = "B",
-                   out: tuple[str, str, str] = ("H", "S", "V")) -> str:
-    """The HSV conversion as a SQL statement."""
-    steps = [f"{_unit_sql(c, input_bytes)} AS _u{n}" for n, c in zip("rgb", (r, g, b))]
-    steps += [
-        "greatest(_ur, _ug, _ub) AS _top",
-        "_top - least(_ur, _ug, _ub) AS _spread",
-        "CASE WHEN _spread = 0 THEN 0D WHEN _ur = _top THEN (_ug - _ub) / _spread "
-        "WHEN _ug = _top THEN (_ub - _ur) / _spread + 2D ELSE (_ur - _ug) / _spread + 4D END "
-        "AS _sixths",
-        f"pmod(_sixths, 6D) / 6D AS {out[0]}",
-        f"CASE WHEN _spread = 0 THEN 0D ELSE _spread / _top END AS {out[1]}",
-        f"_top AS {out[2]}",
-    ]
-    columns = ", ".join([r, g, b, *(keep or []), *out])
-    return f"SELECT {columns} FROM (SELECT *, {', '.join(steps)} FROM {view})"
+def converted(df: DataFrame, space: str, names: Mapping[str, str] = {}, full: float = 255.0) -> DataFrame:
+    """``df`` with the columns of ``lab`` or ``hsv`` added."""
+    return df.sparkSession.sql(conversion(space, df.columns, names, full, "{df}"), df=df)
 
 
 def _inverse(matrix: list[list[float]]) -> list[list[float]]:
@@ -111,17 +44,17 @@ def _inverse(matrix: list[list[float]]) -> list[list[float]]:
     return np.linalg.inv(np.array(matrix)).tolist()
 
 
-def lab_to_rgb(df: DataFrame, lightness: str = "labL", a: str = "labA", b: str = "labB",
-               out: tuple[str, str, str] = ("R", "G", "B")) -> DataFrame:
-    """Add RGB columns on the 0-255 scale, clipped to displayable colours."""
-    fy = (F.col(lightness) + 16.0) / 116.0
-    responses = [F.col(a) / 500.0 + fy, fy, fy - F.col(b) / 200.0]
+def lab_to_rgb(df: DataFrame, names: Mapping[str, str] = {}) -> DataFrame:
+    """Add RGB columns on the 0-255 scale, clipped to displayable colours; ``names`` as above."""
+    called = {**RGB, **SPACES["lab"][0], **names}
+    fy = (F.col(called["lightness"]) + 16.0) / 116.0
+    responses = [F.col(called["a"]) / 500.0 + fy, fy, fy - F.col(called["b"]) / 200.0]
     # Blue beyond what exists has no negative response.
     responses[2] = F.greatest(responses[2], F.lit(0.0))
     xyz = [C.lab_curve_inverse(f) * white for f, white in zip(responses, WHITE_XYZ)]
     staged = df.select("*", F.struct(*[v.alias(n) for v, n in zip(xyz, "xyz")]).alias("_xyz"))
     channels = []
-    for row, name in zip(_inverse(RGB_TO_XYZ), out):
+    for row, name in zip(_inverse(RGB_TO_XYZ), [called[c] for c in RGB]):
         linear = sum(F.col(f"_xyz.{n}") * weight for n, weight in zip("xyz", row))
         shown = F.least(F.greatest(C.companded(linear), F.lit(0.0)), F.lit(1.0))
         channels.append((shown * 255.0).alias(name))
@@ -146,9 +79,9 @@ def palette(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PALETTE, "word string, R int, G int, B int")
 
 
-def nearest_word(df: DataFrame, r: str = "R", g: str = "G", b: str = "B",
-                 out: str = "word") -> DataFrame:
+def nearest_word(df: DataFrame, out: str = "word", names: Mapping[str, str] = {}) -> DataFrame:
     """Label each colour with the closest palette word (ties: alphabetical), row by row."""
+    r, g, b = ({**RGB, **names}[c] for c in RGB)
     choices = F.array_min(F.array(*[
         F.struct(
             (F.pow(F.col(r) - R, 2.0) + F.pow(F.col(g) - G, 2.0) + F.pow(F.col(b) - B, 2.0))

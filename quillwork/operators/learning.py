@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillwork.functions.nulls import present
-from quillwork.operators.colourspace import rgb_to_lab_sql
+from quillwork.operators.colourspace import conversion
 from quillwork.operators.ordering import positioned
 from quillwork.operators.stats import accuracy, regression_metrics
 
@@ -65,7 +65,7 @@ def colour_model(space: str = "RGB", words: int = 11, hidden: int = 10, max_iter
     if space not in ("RGB", "LAB"):
         raise ValueError(f"unknown colour space {space!r}")
     inputs = ["R", "G", "B"] if space == "RGB" else ["labL", "labA", "labB"]
-    convert = [SQLTransformer(statement=rgb_to_lab_sql(keep=["word"]))] if space == "LAB" else []
+    convert = [SQLTransformer(statement=conversion("lab", ["R", "G", "B", "word"]))] if space == "LAB" else []
     return Pipeline(stages=[
         *convert,
         VectorAssembler(inputCols=inputs, outputCol="features"),

@@ -622,29 +622,30 @@ def shortest_path_route(spark, sf_dir):
 
 @query
 def rgb_to_lab(spark, sf_dir):
-    lab = colourspace.rgb_to_lab(I.colours(spark, sf_dir))
+    lab = colourspace.converted(I.colours(spark, sf_dir), "lab")
     return rounded(lab, 6, "labL", "labA", "labB")
 
 
 @query
 def rgb_to_hsv(spark, sf_dir):
-    return rounded(colourspace.rgb_to_hsv(I.colours(spark, sf_dir)), 6, "H", "S", "V")
+    return rounded(colourspace.converted(I.colours(spark, sf_dir), "hsv"), 6, "H", "S", "V")
 
 
-def _by_statement(spark, sf_dir, statement, *out):
+def _by_statement(spark, sf_dir, space, *out):
     colours = I.colours(spark, sf_dir)
-    converted = SQLTransformer(statement=statement(keep=["p_partkey", "word"])).transform(colours)
+    statement = colourspace.conversion(space, ["R", "G", "B", "p_partkey", "word"])
+    converted = SQLTransformer(statement=statement).transform(colours)
     return rounded(converted, 6, *out)
 
 
 @query
 def rgb_to_lab_sql(spark, sf_dir):
-    return _by_statement(spark, sf_dir, colourspace.rgb_to_lab_sql, "labL", "labA", "labB")
+    return _by_statement(spark, sf_dir, "lab", "labL", "labA", "labB")
 
 
 @query
 def rgb_to_hsv_sql(spark, sf_dir):
-    return _by_statement(spark, sf_dir, colourspace.rgb_to_hsv_sql, "H", "S", "V")
+    return _by_statement(spark, sf_dir, "hsv", "H", "S", "V")
 
 
 @query

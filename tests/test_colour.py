@@ -18,20 +18,21 @@ def rgb(spark, rows):
 
 
 def test_lab_of_known_colours(spark):
-    for r in colourspace.rgb_to_lab(rgb(spark, KNOWN_LAB)).collect():
+    for r in colourspace.converted(rgb(spark, KNOWN_LAB), "lab").collect():
         assert (r.labL, r.labA, r.labB) == pytest.approx(KNOWN_LAB[(r.R, r.G, r.B)], abs=0.03)
 
 
 def test_hsv_matches_colorsys_with_ties_and_grey(spark):
     rows = [(a, b, c) for a in (0, 90, 255) for b in (0, 90, 255) for c in (0, 90, 255)]
-    for r in colourspace.rgb_to_hsv(rgb(spark, rows)).collect():
+    for r in colourspace.converted(rgb(spark, rows), "hsv").collect():
         wanted = colorsys.rgb_to_hsv(r.R / 255, r.G / 255, r.B / 255)
         assert (r.H, r.S, r.V) == pytest.approx(wanted, abs=1e-12)
 
 
 def test_lab_round_trip_and_other_columns(spark):
     df = rgb(spark, [(10, 200, 30), (255, 187, 187), (1, 2, 3)]).selectExpr("*", "'keep' tag")
-    back = colourspace.lab_to_rgb(colourspace.rgb_to_lab(df), out=("r2", "g2", "b2"))
+    back = colourspace.lab_to_rgb(
+        colourspace.converted(df, "lab"), {"red": "r2", "green": "g2", "blue": "b2"})
     for r in back.collect():
         assert (r.r2, r.g2, r.b2) == pytest.approx((r.R, r.G, r.B), abs=0.2)
         assert r.tag == "keep"
@@ -40,7 +41,7 @@ def test_lab_round_trip_and_other_columns(spark):
 def test_unit_input(spark):
     df = rgb(spark, [(255, 0, 51)])
     unit = df.selectExpr("R / 255 R", "G / 255 G", "B / 255 B")
-    a, b = colourspace.rgb_to_lab(df).first(), colourspace.rgb_to_lab(unit, input_bytes=False).first()
+    a, b = colourspace.converted(df, "lab").first(), colourspace.converted(unit, "lab", full=1.0).first()
     assert (a.labL, a.labA, a.labB) == pytest.approx((b.labL, b.labA, b.labB))
 
 
