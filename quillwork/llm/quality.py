@@ -4,9 +4,14 @@ Every text is measured with built-in functions inside its own row.  Rates of the
 base rules are counted in log-linear buckets per language, source and rate: a quantile sketch of
 bounded size and relative error (1/32) that merges by adding counts, so it is combined in each map
 task, a language's sketch is the sum of its sources', and a repeated task gives the same counts.
-Fences a few quartile distances beyond the quartiles replace fixed cutoffs.  A group with few rows
-takes its language's fences, a language with few rows those of all rows.  The fences, one row per
-group, are joined back to the measures.
+
+Limits are read off the sketches and replace fixed cutoffs.  Word lengths may lie ``REACH`` times as far
+from the median as the nine tenths in the middle do (at least by the sketch's relative error), symbols
+``REACH`` times as far above it; repeated lines and words may reach the 99th percentile.  A group's
+limits are averaged with its language's, which count as ``PRIOR`` rows, and a language's with those of
+all rows, so a group of any size is judged alike and one row more changes little.  A text may have a
+few occurrences more than its limit (``SLACK``): in a short one a single occurrence is a high rate.  The
+limits, one row per group, are joined back to the measures.
 
 Defined results: null text has no words and fails the base rules; a null language or source is a
 group of its own; repeated rows count as often as they occur; an empty table gives an empty table.
@@ -14,8 +19,6 @@ group of its own; repeated rows count as often as they occur; an empty table giv
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,17 +32,17 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
-# Rates as whole numbers: (name, numerator scale, numerator, denominator, least quartile distance).
-# The last is the resolution below which differences between documents are not held against them.
+# Rates as whole numbers: (name, scale, numerator, denominator).
 RATES = (
-    ("word_length", 100, "word_chars", "n_words", 60),
-    ("symbols", 1000, "n_symbols", "n_words", 50),
-    ("dup_lines", 1000, "n_dup_lines", "n_lines", 150),
-    ("repeats", 1000, "n_repeat_words", "n_words", 100),
+    ("word_length", 100, "word_chars", "n_words"),
+    ("symbols", 1000, "n_symbols", "n_words"),
+    ("dup_lines", 1000, "n_dup_lines", "n_lines"),
+    ("repeats", 1000, "n_repeat_words", "n_words"),
 )
-LOW_FENCED = ("word_length",)
-FENCE = 3
-MIN_GROUP = 200
+# Occurrences a text may have beyond its limit: of repeated words one repeated window, both times.
+SLACK = {"symbols": 2, "dup_lines": 1, "repeats": 2 * WINDOW}
+REACH = 6
+PRIOR = 200
 
 
 def split_words(text: Column) -> Column:
@@ -117,7 +120,7 @@ def sketches(measured: DataFrame) -> DataFrame:
     """Counts per language, source, rate and bucket over the rows that pass the base rules."""
     values = F.array(*[
         F.struct(F.lit(name).alias("rate"), rate(scale, part, whole).alias("value"))
-        for name, scale, part, whole, _ in RATES])
+        for name, scale, part, whole in RATES])
     return (
         measured.filter(~base_failed())
         .select("lang", "source", F.explode(values).alias("x"))
@@ -126,62 +129,66 @@ def sketches(measured: DataFrame) -> DataFrame:
     )
 
 
-def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows and fences per rate of the sketches merged to ``keys``."""
+def limits(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows, ``low`` and ``high`` per rate of the sketches merged to ``keys``."""
     group = [*keys, "rate"]
     merged = sketch.groupBy(*group, "bucket").agg(F.sum("n").alias("n"))
     part = "partition by " + ", ".join(group)
     ranked = merged.select(*group, "bucket", F.expr(f"sum(n) over ({part})").alias("rows"),
                            F.expr(f"sum(n) over ({part} order by bucket)").alias("upto"))
-    quartiles = ranked.groupBy(*group).agg(
+    reached = 100 * F.col("upto")
+    points = ranked.groupBy(*group).agg(
         F.first("rows").alias("rows"),
-        F.min(F.when(4 * F.col("upto") >= F.col("rows"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("rows"), F.col("bucket"))).alias("q3"))
-    least = reduce(lambda c, r: c.when(F.col("rate") == r[0], r[4]), RATES, F)
-    spread = FENCE * F.greatest(F.col("q3") - F.col("q1"), least.cast("long"))
-    return quartiles.select(*group, "rows", (F.col("q1") - spread).alias("low"),
-                            (F.col("q3") + spread).alias("high"))
-
-
-def thresholds(sketch: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+        *[F.min(F.when(reached >= q * F.col("rows"), F.col("bucket"))).alias(f"q{q}")
+          for q in (5, 10, 50, 90, 99)])
+    length = F.col("rate") == "word_length"
+    down = F.greatest(F.expr("q50 - q5"), F.expr("q50 div 32"))
+    up = F.greatest(F.expr("q90 - q50"), F.when(length, F.expr("q50 div 32")).otherwise(F.lit(0)))
+    high = F.when(F.col("rate").isin("dup_lines", "repeats"), F.col("q99")).otherwise(
+        F.col("q50") + REACH * up)
+    return points.select(*group, "rows", F.when(length, F.col("q50") - REACH * down).otherwise(
+        F.lit(0)).cast("long").alias("low"), high.cast("long").alias("high"))
+
+
+def thresholds(sketch: DataFrame, prior: int = PRIOR) -> DataFrame:
     """One row per language and source with ``low_<rate>`` and ``high_<rate>``."""
     def renamed(df: DataFrame, tag: str) -> DataFrame:
         return df.select(*[F.col(c).alias(f"{tag}_{c}") for c in df.columns])
 
-    own = fences(sketch, ["lang", "source"])
-    wide, all_rows = renamed(fences(sketch, ["lang"]), "l"), renamed(fences(sketch, []), "a")
+    def averaged(rows: str, own: str, wide: Column) -> Column:
+        """The limit of so many rows, and of ``prior`` rows like the wider group."""
+        return F.floor((F.col(rows) * F.col(own) + prior * wide) / (F.col(rows) + prior))
+
+    own = limits(sketch, ["lang", "source"])
+    wide, all_rows = renamed(limits(sketch, ["lang"]), "l"), renamed(limits(sketch, []), "a")
     joined = own.join(wide, F.col("lang").eqNullSafe(F.col("l_lang")) & (
         F.col("rate") == F.col("l_rate"))).join(all_rows, F.col("rate") == F.col("a_rate"))
-
-    def chosen(end: str) -> Column:
-        return F.when(F.col("rows") >= min_group, F.col(end)).when(
-            F.col("l_rows") >= min_group, F.col(f"l_{end}")).otherwise(F.col(f"a_{end}"))
-
-    picked = joined.select("lang", "source", "rate", chosen("low").alias("low"),
-                           chosen("high").alias("high"))
+    picked = joined.select("lang", "source", "rate", *[
+        averaged("rows", end, averaged("l_rows", f"l_{end}", F.col(f"a_{end}"))).alias(end)
+        for end in ("low", "high")])
     return picked.groupBy("lang", "source").agg(*[
         F.max(F.when(F.col("rate") == name, F.col(end))).alias(f"{end}_{name}")
         for name, *_ in RATES for end in ("low", "high")])
 
 
-def judge(docs: DataFrame, min_group: int = MIN_GROUP, **columns: str) -> DataFrame:
+def judge(docs: DataFrame, prior: int = PRIOR, **columns: str) -> DataFrame:
     """Counts, ``base_failed`` and ``kept`` of every row of ``docs``.
 
     The counts are written to the shared folder when this is called, and read from there for the
     sketches and for the result.
     """
     measured = settle(measures(docs, **columns))
-    limits = thresholds(sketches(measured), min_group).select(
+    found = thresholds(sketches(measured), prior).select(
         F.col("lang").alias("t_lang"), F.col("source").alias("t_source"),
         *[f"{end}_{name}" for name, *_ in RATES for end in ("low", "high")])
-    joined = measured.join(limits, F.col("lang").eqNullSafe(F.col("t_lang"))
+    joined = measured.join(found, F.col("lang").eqNullSafe(F.col("t_lang"))
                            & F.col("source").eqNullSafe(F.col("t_source")), "left")
-    inside = F.lit(True)
-    for name, scale, part, whole, _ in RATES:
-        value = rate(scale, part, whole)
-        inside &= value <= F.col(f"high_{name}")
-        if name in LOW_FENCED:
-            inside &= value >= F.col(f"low_{name}")
+    inside = rate(*RATES[0][1:]) >= F.col("low_word_length")
+    for name, scale, part, whole in RATES:
+        if name in SLACK:
+            inside &= (F.col(part) - SLACK[name]) * scale <= F.col(f"high_{name}") * F.col(whole)
+        else:
+            inside &= rate(scale, part, whole) <= F.col(f"high_{name}")
     failed = base_failed()
     return joined.select(
         "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines",

@@ -222,38 +222,43 @@ with base as (
     select *, sum(n) over (partition by level, lang, source, rate) as rows,
            sum(n) over (partition by level, lang, source, rate order by bucket) as upto
     from sketch
-), quartiles as (
+), points as (
     select level, lang, source, rate, first(rows) as rows,
-           min(bucket) filter (where 4 * upto >= rows) as q1,
-           min(bucket) filter (where 4 * upto >= 3 * rows) as q3
+           min(bucket) filter (where 100 * upto >= 5 * rows) as q5,
+           min(bucket) filter (where 100 * upto >= 50 * rows) as q50,
+           min(bucket) filter (where 100 * upto >= 90 * rows) as q90,
+           min(bucket) filter (where 100 * upto >= 99 * rows) as q99
     from ranked group by level, lang, source, rate
-), fences as (
-    select *, 3 * greatest(q3 - q1, case rate when 'word_length' then 60 when 'symbols' then 50
-                           when 'dup_lines' then 150 else 100 end) as spread,
-           q1 - spread as low, q3 + spread as high
-    from quartiles
-), chosen as (
-    select o.lang, o.source, o.rate,
-           case when o.rows >= 200 then o.low when l.rows >= 200 then l.low else a.low end as low,
-           case when o.rows >= 200 then o.high when l.rows >= 200 then l.high else a.high end as high
-    from fences o
-    join fences l on l.level = 1 and l.lang is not distinct from o.lang and l.rate = o.rate
-    join fences a on a.level = 2 and a.rate = o.rate
-    where o.level = 0
 ), limits as (
+    select level, lang, source, rate, rows,
+           case when rate = 'word_length' then q50 - 6 * greatest(q50 - q5, q50 // 32) else 0 end as low,
+           case when rate in ('dup_lines', 'repeats') then q99
+                when rate = 'symbols' then q50 + 6 * (q90 - q50)
+                else q50 + 6 * greatest(q90 - q50, q50 // 32) end as high
+    from points
+), wide as (
+    select l.lang, l.rate, floor((l.rows * l.low + 200 * a.low) / (l.rows + 200)) as low,
+           floor((l.rows * l.high + 200 * a.high) / (l.rows + 200)) as high
+    from limits l join limits a on a.level = 2 and a.rate = l.rate where l.level = 1
+), own as (
+    select o.lang, o.source, o.rate, floor((o.rows * o.low + 200 * w.low) / (o.rows + 200)) as low,
+           floor((o.rows * o.high + 200 * w.high) / (o.rows + 200)) as high
+    from limits o join wide w on w.lang is not distinct from o.lang and w.rate = o.rate where o.level = 0
+), chosen as (
     select lang, source, max(low) filter (where rate = 'word_length') as word_low,
            max(high) filter (where rate = 'word_length') as word_high,
            max(high) filter (where rate = 'symbols') as symbols_high,
            max(high) filter (where rate = 'dup_lines') as dup_high,
            max(high) filter (where rate = 'repeats') as repeats_high
-    from chosen group by lang, source
+    from own group by lang, source
 )
 select f.doc_id, f.lang, f.source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        base_failed,
        not base_failed and coalesce(word_length between word_low and word_high
-           and symbols <= symbols_high and dup_lines <= dup_high and repeats <= repeats_high,
-           false) as kept
-from failed f left join limits t
+           and 1000 * (n_symbols - 2) <= symbols_high * n_words
+           and 1000 * (n_dup_lines - 1) <= dup_high * n_lines
+           and 1000 * (n_repeat_words - 16) <= repeats_high * n_words, false) as kept
+from failed f left join chosen t
     on f.lang is not distinct from t.lang and f.source is not distinct from t.source
 """
 

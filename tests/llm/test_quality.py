@@ -56,23 +56,65 @@ def test_merged_sketches_equal_the_sketch_of_all(spark):
              "", 0, 0) for i in range(90)]
     measured = Q.measures(spark.createDataFrame(rows, SCHEMA))
     sketch = Q.sketches(measured)
-    merged = Q.fences(sketch, ["lang"])
-    whole = Q.fences(sketch.withColumn("source", F.lit("one")), ["lang", "source"]).drop("source")
+    merged = Q.limits(sketch, ["lang"])
+    whole = Q.limits(sketch.withColumn("source", F.lit("one")), ["lang", "source"]).drop("source")
     assert sorted(merged.collect()) == sorted(whole.collect())
 
 
-def test_groups_have_their_own_fences(spark):
-    """A source of long words keeps texts that another source rejects; small groups borrow."""
-    short = " ".join(f"a{i % 10}b" for i in range(60))
+def row(i, text, lang="en", source="s"):
+    return (i, text, lang, source, "", 0, 0)
+
+
+def kept(spark, rows):
+    return {r.doc_id: r.kept for r in Q.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+
+
+def test_groups_have_their_own_limits(spark):
+    """A source of long words keeps texts that another source rejects; a tiny one goes by its language."""
     short = " ".join(f"{chr(97 + i % 26)}{i:02}" for i in range(60))
     long = " ".join(f"{chr(97 + i % 26) * 20}{i:02}" for i in range(60))
-    rows = [(i, short, "en", "plain", "", 0, 0) for i in range(300)]
-    rows += [(1000 + i, long, "en", "long", "", 0, 0) for i in range(300)]
-    rows += [(5000, long, "en", "plain", "", 0, 0), (5001, short, "en", "long", "", 0, 0),
-             (5002, short, None, None, "", 0, 0), (5003, short, "en", "tiny", "", 0, 0)]
-    kept = {r.doc_id: r.kept for r in Q.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert not kept[5000] and not kept[5001] and kept[5003] and kept[5002]
-    assert all(v for k, v in kept.items() if k < 5000)
+    rows = [row(i, short, source="plain") for i in range(2000)]
+    rows += [row(10_000 + i, long, source="long") for i in range(2000)]
+    rows += [row(50_000, long, source="plain"), row(50_001, short, None, None), row(50_002, short, source="tiny")]
+    verdicts = kept(spark, rows)
+    assert not verdicts[50_000] and verdicts[50_001] and verdicts[50_002]
+    assert all(v for k, v in verdicts.items() if k < 50_000)
+
+
+def lines(i, n=12):
+    return [" ".join(f"{chr(97 + (i + j) % 26)}{i % 7}{j}{k}x" for k in range(8)) for j in range(n)]
+
+
+ODD = {  # each passes the base rules and breaks one rate of an otherwise plain corpus
+    "word_length": " ".join(f"{'y' * 30}{k}" for k in range(96)),
+    "symbols": "\n".join(lines(3)).replace("x ", "# "),
+    "dup_lines": "\n".join([*lines(3), "short line", *["short line"] * 9]),
+    "repeats": "\n".join([*lines(3), " ".join(["and", *lines(3)[4].split(), "again", *lines(3)[5].split()[:2]])]),
+}
+
+
+@pytest.mark.parametrize("name", ODD)
+def test_each_rate_can_reject(spark, name):
+    rows = [row(i, "\n".join(lines(i)), source=f"s{i % 3}") for i in range(300)] + [row(1000, ODD[name], source="s1")]
+    found = {r.doc_id: r for r in Q.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    if name == "repeats":  # one repeated window is within the slack, three are not
+        assert found[1000].kept and not found[1000].base_failed
+        more = "\n".join([*lines(3), lines(3)[4], "and", lines(3)[7]])
+        found = {r.doc_id: r for r in Q.judge(spark.createDataFrame([*rows[:-1], row(1000, more, source="s1")],
+                                                                    SCHEMA)).collect()}
+    assert not found[1000].base_failed and not found[1000].kept
+    assert all(r.kept for i, r in found.items() if i < 1000)
+
+
+def test_limits_move_little_with_one_row(spark):
+    sizes = [1, 2, 5, 20, 199, 200, 201, 1000]
+    rows = [(f"s{n}", "symbols", 7 * i % 40, 1) for n in sizes for i in range(n)]
+    rows += [("base", "symbols", 20, 900)]
+    sketch = spark.createDataFrame(rows, "source string, rate string, bucket long, n long").selectExpr(
+        "'en' as lang", "source", "rate", "bucket", "n")
+    high = {r.source: r.high_symbols for r in Q.thresholds(sketch).collect()}
+    assert abs(high["s200"] - high["s199"]) <= 5 and abs(high["s201"] - high["s200"]) <= 5
+    assert abs(high["s2"] - high["s1"]) <= 20
 
 
 def test_no_python_in_the_plan(spark):
