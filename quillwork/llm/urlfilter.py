@@ -77,11 +77,13 @@ def judge(captures: DataFrame, changes: DataFrame, id_col: str = "page_id", url_
         F.col(id_col).alias("id"), url.alias("url"), F.col(time_col).alias("time"),
         host_of(url).alias("host"), path_levels(url).alias("levels"))
     row = F.struct("id", "url", "time", "host")
-    # One key per depth that the list has and the path reaches; depth 0 is the host alone.
-    keys = F.transform(F.filter("depths", lambda i: i <= F.size("levels")), lambda i: F.struct(
+    # One key per depth that the list has and the path reaches; depth 0 is the host alone.  The list's
+    # depths are a short list of numbers, read when this is called.
+    row_of_depths = depths(changes).first()
+    listed_depths = F.array(*[F.lit(d) for d in sorted(row_of_depths.depths)]).cast("array<int>")
+    keys = F.transform(F.filter(listed_depths, lambda i: i <= F.size("levels")), lambda i: F.struct(
         i.alias("depth"), F.array_join(F.slice("levels", F.lit(1), i), "/").alias("path")))
-    asked = rows.filter("host is not null and time is not null").crossJoin(
-        F.broadcast(depths(changes))).select(
+    asked = rows.filter("host is not null and time is not null").select(
         row.alias("row"), "host", F.explode(keys).alias("key")).select(
         "row", "host", "key.depth", F.col("key.path").alias("path"), F.col("row.time").alias("time"))
     listed = intervals(changes)
