@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from quillwork.llm.arrow import Answer, map_rows
 from quillwork.llm.excerpts import stretches
-from quillwork.session import settle
+from quillwork.operators.sizing import join_measured, settle_measured
 
 LANGUAGES = 32         # for which the budgets of rows and words hold in full; more languages share them
 SAMPLE_ROWS = 400
@@ -279,12 +279,12 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                         F.col(lang_col).alias("lang")).filter(
         "id is not null and lang is not null and text is not null").filter(fold(F.col("id")) != 0)
-    counts = settle(known.groupBy("lang").agg(F.count("*").alias("n")))
-    each = max(1, min(SAMPLE_ROWS, SAMPLE_ROWS * LANGUAGES // max(1, counts.count())))
+    counts, size = settle_measured(known.groupBy("lang").agg(F.count("*").alias("n")))
+    each = max(1, min(SAMPLE_ROWS, SAMPLE_ROWS * LANGUAGES // max(1, size[0])))
     # Some more rows than needed by chance, then exactly the first ones of each language by hash.
     place = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
     chance = place * F.col("n") < 1_000_000 * (2 * each + 20)
-    drawn = known.join(F.broadcast(counts), "lang").filter(chance).select(
+    drawn = join_measured(known, counts, size, ["lang"]).filter(chance).select(
         "id", "lang", stretches(F.col("text"), F.lit(SAMPLE_LENGTH)).alias("text"), place.alias("place"))
     first = Window.partitionBy("lang").orderBy("place", "id", "text")
     found = drawn.withColumn("number", F.row_number().over(first)).filter(F.col("number") <= each)
