@@ -24,6 +24,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillwork.llm.arrow import free_name
+from quillwork.operators.sizing import join_measured, settle_measured
 from quillwork.session import settle
 
 # Fixed value: the white space stripped from both ends of a line.
@@ -191,17 +193,19 @@ def cut_lines(texts: pd.Series, bitmaps: pd.Series) -> pd.DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 10, keep_first: bool = False,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` with repeated lines cut from the text, and a struct ``_lines``.
+                id_col: str = "doc_id", text_col: str = "text", into: str = "_lines") -> DataFrame:
+    """All columns of ``docs`` with repeated lines cut from the text, and a struct ``into``.
 
-    ``_lines`` holds ``n_lines`` before and ``n_dropped``.  A text that was null becomes empty.
+    The struct holds ``n_lines`` before and ``n_dropped``; where ``docs`` has a column of its name, it
+    gets underscores before it.  A text that was null becomes empty.  Few documents lose lines, so their
+    bitmaps are mostly small enough to go to the texts; beyond the measured bound texts are shuffled.
     """
-    bitmaps = settle(keep_bitmaps(docs, min_docs, keep_first, id_col, text_col))
+    bitmaps, size = settle_measured(keep_bitmaps(docs, min_docs, keep_first, id_col, text_col))
     rows = docs.select(F.struct("*").alias("row"), *document_key(id_col, text_col))
     cutter = F.pandas_udf(cut_lines, "text string, n_lines long, n_dropped long")
-    cut = rows.join(bitmaps, DOC, "left").select(
+    cut = join_measured(rows, bitmaps, size, DOC, "left").select(
         "row", cutter(F.col("row").getField(text_col), F.col("bitmap")).alias("cut"))
     return cut.select(
         *[F.col("cut.text").alias(c) if c == text_col else F.col("row").getField(c).alias(c)
           for c in docs.columns],
-        F.struct("cut.n_lines", "cut.n_dropped").alias("_lines"))
+        F.struct("cut.n_lines", "cut.n_dropped").alias(free_name(docs, into)))

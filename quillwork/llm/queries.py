@@ -47,24 +47,26 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP3_SQL = """
-with lines as (
-    select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
-           unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as place
-    from documents
+with rows as (
+    select row_number() over () as row, doc_id, coalesce(text, '') as text, md5(text) as same from documents
+), lines as (
+    select row, doc_id, same, unnest(string_split(text, chr(10))) as line,
+           unnest(range(len(string_split(text, chr(10))))) as place
+    from rows
 ), keyed as (
     select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as line_key
     from lines
 ), gone as (
     select line_key from keyed where line_key <> ''
-    group by line_key having count(distinct doc_id) >= 10
+    group by line_key having count(distinct (doc_id, same)) >= 10
 )
 select doc_id, count(*)::bigint as n_lines,
        count(*) filter (where g.line_key is not null)::bigint as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by place)
                        filter (where g.line_key is null), '')) as kept_sha256
 from keyed k left join gone g on k.line_key = g.line_key
-group by doc_id
+group by row, doc_id
 """
 
 

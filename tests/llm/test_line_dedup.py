@@ -106,3 +106,18 @@ def test_bitmaps_come_back(n, data):
     import numpy as np
     keep = L.kept_lines(L.keep_bitmap(n, np.array(sorted(gone), "i8")), n)
     assert set(np.flatnonzero(~keep).tolist()) == gone and len(keep) == n
+
+
+def test_columns_named_like_the_results_stay(spark):
+    rows = [(i, "common\nown %d" % i, "mine", i) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _lines string, bitmap int")
+    got = L.dedup_lines(docs)
+    assert got.columns == ["doc_id", "text", "_lines", "bitmap", "__lines"]
+    assert all(r["_lines"] == "mine" and r["__lines"].n_dropped == 1 and r.text == f"own {r.doc_id}"
+               for r in got.collect())
+
+
+def test_rows_of_one_id_with_other_texts_are_documents_of_their_own(spark):
+    rows = [(1, f"common\nown {i}") for i in range(10)] + [(2, "rare")] * 12
+    got = L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.text for r in got) == sorted([f"own {i}" for i in range(10)] + ["rare"] * 12)
