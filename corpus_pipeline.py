@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwork.llm import bpe, linededup, ngramjoin, packing, quality, toxicity
+from quillwork.llm.arrow import free_name
 from quillwork.llm.queries import VOCABULARY, table
-from quillwork.session import settle
+from quillwork.session import Scratch, settle
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +40,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut lines that ten documents or more have; ``n_chars`` follows the text."""
-    cut = linededup.dedup_lines(docs).drop("_lines")
+    cut = linededup.dedup_lines(docs, into=free_name(docs, "_lines")).drop(free_name(docs, "_lines"))
     return cut.withColumn("n_chars", F.length("text").cast("long"))
 
 
@@ -71,8 +72,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut what is left into pieces of power-of-two length."""
-    return packing.pack(docs, bpe.read_vocabulary(VOCABULARY), with_ids=False)
+    """Cut what is left into pieces of power-of-two length, with their token ids, to be trained on."""
+    return packing.pack(docs, bpe.read_vocabulary(VOCABULARY))
 
 
 STAGES = [
@@ -88,10 +89,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``, each to the written rows of the one before."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages to ``documents``, each to the written rows of the one before.
+
+    A stage's rows are deleted when the next one's are written; the last stage reads the last ones.
+    """
+    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
     for number, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES):
-            docs = settle(docs)
+            docs = scratch.settle(docs, "docs")
     return docs
