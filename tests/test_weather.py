@@ -1,8 +1,10 @@
 import datetime as dt
 import random
+from collections import Counter
 from itertools import product
 
 from quillwork.operators import weather
+from quillwork.plans.queries import QUERIES
 
 SCHEMA = "station string, date string, observation string, value int, qflag string"
 
@@ -46,6 +48,30 @@ def test_champions_match_the_pairwise_join(spark):
     assert len(wanted) > len(set(wanted)), "the fixture must hold repeated pairs"
 
 
+def test_pairs_become_rows(spark):
+    champions = spark.createDataFrame(
+        [("20200101", "S1", 1.5, 25), ("20200101", "S2", 1.5, 10), ("20200102", "S1", 0.5, 1)],
+        "date string, station string, range double, pairs long")
+    out = weather.repeat_pairs(champions, piece=10)
+    assert out.columns == ["date", "station", "range"]
+    assert Counter(map(tuple, out.collect())) == {
+        ("20200101", "S1", 1.5): 25, ("20200101", "S2", 1.5): 10, ("20200102", "S1", 0.5): 1}
+
+
+def test_the_daily_range_queries_give_a_row_per_pair(spark, tmp_path):
+    events = [
+        (i, dt.datetime(2024, 1, 1, 0, i), 2, kind, value, '{"k": 1}')
+        for i, (kind, value) in enumerate([("view", 1.0), ("view", 1.0), ("view", 3.0)]
+                                          + [("click", 9.0)] * 3 + [("click", 8.0)])
+    ]
+    spark.createDataFrame(
+        events, "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("daily_range",):
+        rows = QUERIES[name](spark, str(tmp_path)).select("date", "station", "range").collect()
+        assert list(map(tuple, rows)) == [("20240101", "CA2", 8.0)] * 6
+
+
 def test_the_sql_form_leaves_views_alone(spark):
     spark.range(3).createOrReplaceTempView("observations")
     rows = [("S'1", "20200101", "it's", 1, None), ("S'1", "20200101", "TMAX", 4, None)]
