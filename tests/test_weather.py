@@ -67,7 +67,7 @@ def test_the_daily_range_queries_give_a_row_per_pair(spark, tmp_path):
     spark.createDataFrame(
         events, "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
     ).write.parquet(str(tmp_path / "events.parquet"))
-    for name in ("daily_range",):
+    for name in ("daily_range", "daily_range_sql"):
         rows = QUERIES[name](spark, str(tmp_path)).select("date", "station", "range").collect()
         assert list(map(tuple, rows)) == [("20240101", "CA2", 8.0)] * 6
 
