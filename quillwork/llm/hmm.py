@@ -13,8 +13,7 @@ words there are, while ``c`` is counted for every word of the corpus:
 2. *Counts.*  A row per word and chunk is shuffled by word, given the sum over the chunks, and goes back
    by chunk.  A word found in every document is one row a chunk.  (Two words of equal hash would share
    their counts: of 10^9 words the chance of any such pair is 3 %.)
-3. *Baum-Welch.*  The first rounds, on the first ``STRETCH`` tokens of about ``SAMPLE`` texts, only make
-   the states differ; then ``ROUNDS`` rounds run over all training tokens.  A task sums the expected
+3. *Baum-Welch.*  ``ROUNDS`` rounds, each over all training tokens.  A task sums the expected
    starts, transitions and emissions of its stretches of up to ``STRETCH`` tokens by scaled forward and
    backward recursion; the sums are added up per class over all tasks, as whole numbers (so their order
    does not matter), and smoothed with all words' shares.
@@ -28,6 +27,7 @@ gives an empty table; a null id stays null; other columns are not looked at.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -48,7 +48,7 @@ STATES = 8
 OWN, SHAPES = 8192, 4096
 CHUNK = 1_500_000
 STRETCH, GROUP = 256, 200_000   # tokens of a training sequence, and of those worked on side by side
-SAMPLE, SAMPLE_ROUNDS, ROUNDS = 2000, 20, 3
+ROUNDS = 23
 PRIOR = 50.0                    # tokens by which a state's emissions are drawn towards all words' shares
 UNIT = float(1 << 20)           # expected counts are summed in these parts
 END = b"\n"                     # no word holds white space
@@ -63,7 +63,7 @@ class Chunk:
         self.number = defaultdict(count().__next__)
         self.number[END]
         self.ids, self.held, self.learns, self.lengths = [], [], [], []
-        self.tokens: list[int] = []
+        self.tokens = array("I")
 
     def add(self, number: pa.Scalar, text: str | None, learns: bool, held: bool) -> None:
         words = (text or "").encode().lower().split()
@@ -75,7 +75,7 @@ class Chunk:
         self.lengths.append(len(words) + 1)
 
     def row(self, name: int, schema: pa.Schema) -> pa.RecordBatch:
-        tokens = np.array(self.tokens, "u4")
+        tokens = np.frombuffer(self.tokens, "u4")
         learned = tokens[np.repeat(self.learns, self.lengths)]
         counts = np.bincount(learned, minlength=len(self.number))
         keys = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in self.number), "u8", len(self.number))
@@ -232,6 +232,10 @@ class Chain:
     moves: np.ndarray
     emits: np.ndarray
 
+    def single(self) -> Chain:
+        """In single precision, as the recursions of a round take it; their sums are in double."""
+        return Chain(*[x.astype("f4") for x in (self.start, self.share, self.moves, self.emits)])
+
 
 @dataclass
 class Expected:
@@ -274,39 +278,43 @@ def expect(chain: Chain, texts: list[np.ndarray], total: Expected) -> None:
 
 
 def forward_backward(chain: Chain, pieces: list[tuple[np.ndarray, bool]], total: Expected) -> None:
-    """Scaled recursions over sequences side by side, longest first; step t has the first ``on[t]``."""
+    """Scaled recursions over sequences side by side, longest first; step t has the first ``on[t]``.
+
+    The tokens of a step lie together, from ``at[t]`` to ``at[t + 1]``, and only tokens there are.
+    """
     lengths = np.array([len(p) for p, _ in pieces])
     steps, states = int(lengths[0]), len(chain.start)
     on = np.searchsorted(-lengths, -np.arange(steps), "left")
-    tokens = np.zeros((steps, len(pieces)), "i4")
+    at = np.concatenate(([0], np.cumsum(on)))
+    table = np.zeros((len(pieces), steps), "u2")
     for i, (piece, _) in enumerate(pieces):
-        tokens[:len(piece), i] = piece
+        table[i, :len(piece)] = piece
+    flat = np.concatenate([table[:n, t] for t, n in enumerate(on)]).astype("i4")
     begins = np.array([b for _, b in pieces])
-    ahead, given = np.zeros((steps, len(pieces), states)), np.zeros((steps, len(pieces)))
+    seen, kind = chain.emits[flat], chain.emits.dtype
+    ahead, scale, ones = np.empty_like(seen), np.empty(len(flat), kind), np.ones(states, kind)
     now = np.where(begins[:, None], chain.start, chain.share)
     for t in range(steps):
-        n = on[t]
-        now = (now if t == 0 else now[:n] @ chain.moves) * chain.emits[tokens[t, :n]]
-        given[t, :n] = scale = now.sum(axis=1)
-        now = now / scale[:, None]
-        ahead[t, :n] = now
-    back, moves, after = np.ones((len(pieces), states)), np.zeros((states, states)), chain.moves.T
-    for t in range(steps - 1, -1, -1):
-        n = on[t]
-        if t < steps - 1:
-            m = on[t + 1]
-            weighed = back[:m] * chain.emits[tokens[t + 1, :m]] / given[t + 1, :m, None]
-            moves += ahead[t, :m].T @ weighed
-            back[:m] = weighed @ after
-            ahead[t + 1, :m] *= kept
-        kept = back[:n].copy()
-    ahead[0] *= kept
-    inside = np.arange(steps)[:, None] < lengths
-    flat, weights = tokens[inside], ahead[inside]
+        here = slice(at[t], at[t + 1])
+        np.multiply(now if t == 0 else now[:on[t]] @ chain.moves, seen[here], out=ahead[here])
+        now = ahead[here]
+        scale[here] = 1 / (now @ ones)
+        now *= scale[here, None]
+    seen *= scale[:, None]
+    back, after = np.ones((len(pieces), states), kind), chain.moves.T.copy()
+    moves = np.zeros((states, states))
+    for t in range(steps - 1, 0, -1):
+        here, n = slice(at[t], at[t + 1]), on[t]
+        weighed = seen[here]
+        weighed *= back[:n]
+        ahead[here] *= back[:n]
+        moves += ahead[at[t - 1]:at[t - 1] + n].T @ weighed
+        np.matmul(weighed, after, out=back[:n])
+    ahead[:len(pieces)] *= back
     for z in range(states):
-        total.emits[:, z] += np.bincount(flat, weights[:, z], len(total.emits))
+        total.emits[:, z] += np.bincount(flat, ahead[:, z], len(total.emits))
     total.moves += moves * chain.moves
-    total.start += ahead[0][begins].sum(axis=0)
+    total.start += ahead[:len(pieces)][begins].sum(axis=0, dtype="f8")
 
 
 def nothing(n_classes: int, states: int) -> Expected:
@@ -315,7 +323,7 @@ def nothing(n_classes: int, states: int) -> Expected:
 
 def expected_counts(texts: DataFrame, chain: Chain) -> Expected:
     """One round's expected counts of all texts, summed per class over all tasks."""
-    shipped = texts.sparkSession.sparkContext.broadcast(chain)
+    shipped = texts.sparkSession.sparkContext.broadcast(chain.single())
     n_classes, states = chain.emits.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,25 +348,10 @@ def expected_counts(texts: DataFrame, chain: Chain) -> Expected:
     return Expected(table[0], table[1:1 + states], table[1 + states:])
 
 
-def sampled(texts: DataFrame, id_col: str, wanted: int) -> list[np.ndarray]:
-    """The first tokens of about ``wanted`` texts, those whose hash lies below a share; no copies."""
-    share = wanted / max(texts.count(), wanted)
-    bound = min(int((2 * share - 1) * 2 ** 63), 2 ** 63 - 1)
-    rows = texts.select(F.xxhash64(id_col, "classes").alias("place"),
-                        F.substring("classes", 1, 2 * STRETCH).alias("head"))
-    return [np.frombuffer(r.head, "<u2") for r in sorted(
-        rows.filter(F.col("place") <= bound).distinct().collect())]
-
-
 def train(texts: DataFrame, shares: np.ndarray, states: int = STATES) -> Chain:
-    """Baum-Welch over ``texts`` (``classes`` as bytes): rounds on a sample, then on all tokens."""
-    sample = sampled(texts, "doc_id", SAMPLE)
+    """Baum-Welch over ``texts`` (``classes`` as bytes), every round over all tokens."""
     chain = first_chain(shares, states)
-    if sample:
-        for _ in range(SAMPLE_ROUNDS):
-            total = nothing(len(shares), states)
-            expect(chain, sample, total)
-            chain = total.chain(shares)
+    if not texts.isEmpty():
         for _ in range(ROUNDS):
             chain = expected_counts(texts, chain).chain(shares)
     return chain

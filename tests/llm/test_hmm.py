@@ -77,6 +77,23 @@ def test_a_round_never_lowers_the_likelihood():
                           total.emits / total.emits.sum(axis=0))
 
 
+def test_every_round_takes_all_tokens(spark):
+    """Copies and what lies beyond a stretch count in each round."""
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 5, n).astype("<u2") for n in (600, 3, 3, 19)]
+    texts += [texts[0]] * 5
+    shares = np.full(5, 0.2)
+    want = hmm.first_chain(shares, 3)
+    for _ in range(hmm.ROUNDS):
+        total = hmm.nothing(5, 3)
+        hmm.expect(want, texts, total)
+        want = total.chain(shares)
+    rows = [(i, bytearray(t.tobytes())) for i, t in enumerate(texts)]
+    got = hmm.train(spark.createDataFrame(rows, "doc_id long, classes binary").repartition(3), shares, 3)
+    for name in ("start", "share", "moves", "emits"):
+        assert np.allclose(getattr(got, name), getattr(want, name), atol=1e-4)
+
+
 def base(texts, learned):
     """(n_tokens, n_known, base score) of each text."""
     cut = lambda t: [*(t or "").encode().lower().split(), "end"]
