@@ -21,6 +21,7 @@ from quillwork.operators.colourspace import conversion
 from quillwork.operators.ordering import positioned
 from quillwork.operators.stats import accuracy, regression_metrics
 
+LEAST_ROWS = 25_000  # of a partition of a fit
 PLACE = ["latitude", "longitude", "elevation"]
 
 
@@ -86,11 +87,22 @@ def whole_rows(df: DataFrame, needed: list[str]) -> tuple[DataFrame, DataFrame]:
     return df.filter(present(*needed)), counts
 
 
+def dealt(df: DataFrame, least: int = LEAST_ROWS) -> DataFrame:
+    """Rows dealt evenly to all slots, for a fit that goes over them hundreds of times.
+
+    A small or freshly settled table often lies in one or two files, and so in as many tasks.  A
+    partition has ``least`` rows or more, as a round over fewer costs less than its tasks; a table too
+    small for two of those stays as it is.
+    """
+    parts = min(df.count() // least, df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(parts) if parts > 1 else df
+
+
 def fit_colour_model(df: DataFrame, space: str = "RGB", **settings) -> PipelineModel:
     """:func:`colour_model` fitted on the rows with all channels and a word, sized by their words."""
     rows, _ = whole_rows(df, ["R", "G", "B", "word"])
     words = rows.select("word").distinct().count()
-    return colour_model(space, words=words, **settings).fit(rows)
+    return colour_model(space, words=words, **settings).fit(dealt(rows))
 
 
 def label_index(df: DataFrame, column: str) -> DataFrame:

@@ -110,3 +110,15 @@ def test_rows_without_channel_or_word_are_counted(spark):
         model = learning.fit_colour_model(data, space, max_iter=20)
         assert model.stages[-1].getLayers()[-1] == 3
         assert learning.score_words(model, data, space).first().n == 12
+
+
+def test_a_fit_of_many_rows_is_dealt_to_all_slots(spark, monkeypatch):
+    class Model:
+        def fit(self, rows):
+            return [len(p) for p in rows.rdd.glom().collect()]
+
+    monkeypatch.setattr(learning, "colour_model", lambda *_, **__: Model())
+    columns = [*(F.col("id").alias(c) for c in "RGB"), F.lit("red").alias("word")]
+    many, few = (spark.range(0, n, 1, 1).select(*columns) for n in (60_000, 40_000))
+    assert learning.fit_colour_model(many) == [30_000, 30_000]
+    assert learning.fit_colour_model(few) == [40_000]
