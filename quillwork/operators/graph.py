@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,13 +29,20 @@ def neighbours(links: DataFrame, node: str) -> DataFrame:
     return links.filter(F.col("src") == F.lit(node).cast(links.schema["src"].dataType))
 
 
+def between(links: DataFrame, least, most) -> DataFrame:
+    """Edges that leave nodes of a range; of edges sorted by ``src`` the pages outside it are not read."""
+    kind = links.schema["src"].dataType
+    return links.filter(F.col("src").between(F.lit(least).cast(kind), F.lit(most).cast(kind)))
+
+
 def shortest_paths(edges: DataFrame, source: str, max_hops: int = 6,
                    destination: str | None = None) -> DataFrame:
     """``(node, parent, distance)`` of every node within ``max_hops`` of ``source``.
 
     Among equally short ways the smallest parent is kept.  The edges are exchanged once, into buckets
     sorted by ``src``: the first round reads the source's bucket, a later one joins the nodes found in
-    the round before, which alone are broadcast (when measured small) or shuffled.  A round keeps one
+    the round before, which alone are broadcast (when measured small) or shuffled, to the edges that
+    leave nodes between the least and the greatest of them.  A round keeps one
     parent per new node with a map-side minimum and is written to a directory of its own,
     ``distance=...``, so plans stay small, a lost executor costs one round at most, and who asks for
     one distance reads one directory.  Stops when ``destination`` or nothing new was found.
@@ -55,14 +62,17 @@ def shortest_paths(edges: DataFrame, source: str, max_hops: int = 6,
 
         settle_at(spark.range(1).select(F.lit(source).cast(kind).alias("node"),
                                         F.lit(None).cast(kind).alias("parent")), f"{root}/distance=0")
-        size = (1, 0)
+        size, span = (1, 0), {}
         for hop in range(1, max_hops + 1):
             frontier = known().filter(F.col("distance") == hop - 1).select(F.col("node").alias("src"))
             leaving = (neighbours(links, source) if hop == 1
-                       else join_measured(links, frontier, size, ["src"]))
+                       else join_measured(between(links, **span), frontier, size, ["src"]))
             reached = leaving.groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("parent"))
-            fresh, size = settle_measured(
-                reached.join(known().select("node"), "node", "left_anti"), f"{root}/distance={hop}")
+            seen = Observation()
+            found = reached.join(known().select("node"), "node", "left_anti").observe(
+                seen, F.min("node").alias("least"), F.max("node").alias("most"))
+            fresh, size = settle_measured(found, f"{root}/distance={hop}")
+            span = seen.get
             if size[0] == 0 or (destination is not None and not fresh.filter(
                     F.col("node") == F.lit(destination).cast(kind)).isEmpty()):
                 break
