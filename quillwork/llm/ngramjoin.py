@@ -38,11 +38,12 @@ from pyspark.sql import functions as F
 
 from quillwork.llm.arrow import Answer, map_rows
 from quillwork.llm.components import components
-from quillwork.operators.sizing import join_measured, settle_measured
+from quillwork.operators.sizing import in_few_files, join_measured, settle_counted, settle_measured
 from quillwork.session import Scratch
 
 WORDS = 5
 FRAGMENTS = 8
+Measured = tuple[DataFrame, tuple[int, int]]  # a settled table, its rows and bytes
 # Odd 64-bit constants that mix word hashes by place; any such numbers do.
 PLACES = [np.uint64(2 * 0x4F1BBCDCBFA53E0B * (i + 1) + 1 & 0xFFFFFFFFFFFFFFFF) for i in range(WORDS)]
 
@@ -93,6 +94,7 @@ def front_needed(n):
 # The same in SQL.
 LEAST_COMMON = "((4 * n + 4) div 5)"
 NEEDED = f"(1 + {LEAST_COMMON} div 16)"
+FRONT = f"(n - {LEAST_COMMON} + 1 + n div 16)"
 
 
 def read_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -171,8 +173,7 @@ def survivors(sets: DataFrame) -> DataFrame:
         "short", (F.col("found") / F.col("front")).alias("rank"))
 
 
-def segments(docs: DataFrame, nodes: DataFrame, keys: DataFrame, size: tuple[int, int],
-             id_col: str, text_col: str) -> DataFrame:
+def segments(docs: DataFrame, nodes: Measured, keys: Measured, id_col: str, text_col: str) -> DataFrame:
     """Cut sets of the wanted nodes: ``node, n, rank, part, items, ahead``, a row per fragment.
 
     ``ahead`` says how many items of the fragment belong to the front of the set.
@@ -192,10 +193,10 @@ def segments(docs: DataFrame, nodes: DataFrame, keys: DataFrame, size: tuple[int
             yield pd.DataFrame(out, columns=["node", "n", "part", "items", "ahead"])
 
     texts = docs.select(key_text(id_col).alias("key"), F.col(text_col).alias("text"))
-    cut = join_measured(texts, keys, size, ["key"], "left_semi").mapInPandas(
+    cut = join_measured(texts, *keys, ["key"], "left_semi").mapInPandas(
         run, "node binary, n long, part int, items array<long>, ahead int")
-    return cut.filter("node is not null").join(
-        nodes, short_name("node") == F.col("short")).drop("short").dropDuplicates(["node", "part"])
+    named = cut.filter("node is not null").withColumn("short", short_name("node"))
+    return join_measured(named, *nodes, ["short"]).drop("short").dropDuplicates(["node", "part"])
 
 
 def key_text(id_col: str) -> Column:
@@ -227,7 +228,8 @@ def hubs_of(cut: DataFrame) -> DataFrame:
     named = keyed.groupBy("bucket").agg(
         F.max(F.struct("rank", "node")).alias("top"), F.count("*").alias("members")).filter(
         "members > 1").select("bucket", F.col("top.rank").alias("top"), F.col("top.node").alias("hub"))
-    votes = keyed.join(named, "bucket").groupBy("node", "hub").agg(
+    # Dealt by node once, for both groupings.
+    votes = keyed.join(named, "bucket").repartition("node").groupBy("node", "hub").agg(
         F.count("*").alias("votes"), F.max("top").alias("top"))
     return votes.groupBy("node").agg(F.max(F.struct("votes", "top", "hub")).alias("best")).select(
         "node", F.col("best.hub").alias("hub")).filter("node <> hub")
@@ -242,17 +244,21 @@ def differences(left: pd.Series, right: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["common", "only"])
 
 
-def compared_with_hubs(cut: DataFrame) -> DataFrame:
+def compared_with_hubs(scratch: Scratch, cut: DataFrame, nodes: int) -> DataFrame:
     """``node, hub, n, n_hub, common, only`` for each node with a hub it has half in common with.
 
     ``only`` lists, per fragment, the items that just one of the two has.  Fragments are compared
-    separately and put together per node.
+    separately and put together per node.  ``nodes`` is how many nodes there are at most.
     """
     compare = F.pandas_udf(differences, "common long, only array<long>")
-    pairs = hubs_of(cut)
-    hub = cut.select(F.col("node").alias("hub"), F.col("n").alias("n_hub"), "part",
-                     F.col("items").alias("items_hub"))
-    parts = pairs.join(cut.select("node", "n", "part", "items"), "node").join(hub, ["hub", "part"])
+    pairs, size = scratch.settle(in_few_files(hubs_of(cut), nodes), "hubs", settle_measured)
+    tops, known = scratch.settle(
+        in_few_files(pairs.select("hub").distinct(), nodes), "tops", settle_measured)
+    hub = join_measured(
+        cut.select(F.col("node").alias("hub"), F.col("n").alias("n_hub"), "part",
+                   F.col("items").alias("items_hub")), tops, known, ["hub"], "left_semi")
+    parts = join_measured(cut.select("node", "n", "part", "items"), pairs, size, ["node"]).join(
+        hub, ["hub", "part"])
     return (
         parts.select("node", "hub", "n", "n_hub", compare("items", "items_hub").alias("x"))
         .groupBy("node", "hub", "n", "n_hub")
@@ -261,10 +267,12 @@ def compared_with_hubs(cut: DataFrame) -> DataFrame:
     )
 
 
-def beside_hubs(scratch: Scratch, compared: DataFrame, roots: DataFrame | None,
+def beside_hubs(scratch: Scratch, compared: DataFrame, count: int, roots: Measured | None,
                 to_first: bool = False) -> DataFrame | None:
     """Candidate links between nodes of one hub that are not in one component yet.
 
+    ``count`` is the number of rows of ``compared``.
+
     With ``to_first`` only those to the nearest to the hub of the nodes that share a difference: few,
     and they join most copies of an edited copy.
 
@@ -278,21 +286,25 @@ def beside_hubs(scratch: Scratch, compared: DataFrame, roots: DataFrame | None,
     all_nodes = with_roots(compared, roots).select(
         short_name("node").alias("node"), short_name("root").alias("root"),
         short_name("hub").alias("hub"), "n", "only", "n_hub", "common")
-    open_hubs = all_nodes.groupBy("hub").agg(
-        F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("hub")
-    open_nodes = scratch.settle(all_nodes.join(open_hubs, "hub"), "open")
+    open_hubs, size = scratch.settle(
+        in_few_files(all_nodes.groupBy("hub").agg(
+            F.min("root").alias("low"), F.max("root").alias("high")
+        ).filter("low <> high").select("hub"), count), "hubs", settle_measured)
+    if not size[0]:
+        return None
+    open_nodes = scratch.settle(join_measured(all_nodes, open_hubs, size, ["hub"]), "open")
     items = open_nodes.select("node", "root", "hub", F.explode("only").alias("item"))
     facts = open_nodes.select(
         "node", "n", F.size("only").cast("long").alias("d"), "n_hub",
         F.expr("9 * size(only) > n + n_hub").alias("apart"))
     as_x = "(apart and size >= greatest(1, d - n div 4))"
     least_y = "greatest(1, (9 * d + n_hub - n) div 18 + if((9 * d + n_hub - n) >= 0, 1, 0))"
-    kept = narrowed(scratch, items, ["hub", "item"], facts, f"{as_x} or size >= {least_y}")
+    kept, rows = narrowed(scratch, items, ["hub", "item"], facts, "d", f"{as_x} or size >= {least_y}")
     if kept is None:
         return None
-    ranked = scratch.settle(kept.selectExpr(
+    ranked = scratch.settle(in_few_files(kept.selectExpr(
         "node", "root", "hub", "n", "d", "n_hub", "apart", "item", "size",
-        "row_number() over (partition by node order by df, item) as place"), "ranked")
+        "row_number() over (partition by node order by df, item) as place"), rows), "ranked")
     x = ranked.filter(f"{as_x} and place <= size - greatest(1, d - n div 4) + 1").selectExpr(
         "hub", "item", "node as x", "root as root_x", "n as n_x", "d as d_x",
         "size - place + 1 as rest_x")
@@ -313,14 +325,17 @@ def beside_hubs(scratch: Scratch, compared: DataFrame, roots: DataFrame | None,
         F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
-def narrowed(scratch: Scratch, items: DataFrame, key: list[str], facts: DataFrame, enough: str,
-             differ: tuple[str, ...] = ("root",)) -> DataFrame | None:
+def narrowed(scratch: Scratch, items: DataFrame, key: list[str], facts: DataFrame, held: str, enough: str,
+             differ: tuple[str, ...] = ("root",)) -> tuple[DataFrame | None, int]:
     """Rows of ``items`` whose key has several values in ``differ``, of nodes with enough of them.
 
-    ``items`` has ``node, root, hub, item``, ``facts`` a row per node with what ``enough`` asks for.
+    ``items`` has ``node, root, hub, item``, ``facts`` a row per node with what ``enough`` asks for and
+    ``held``, its rows in ``items`` or more.
     Repeated while a tenth of the nodes fall out; ``size`` is a node's number of rows left and ``df``
-    the key's.  None if no node is left.
+    the key's.  None if no node is left.  Also how many rows there are at most.
     """
+    facts, known = scratch.settle(facts, "facts", settle_measured)
+    rows = facts.agg(F.sum(F.expr(held))).first()[0] or 0
     before = None
     while True:
         several = items.groupBy(*key).agg(
@@ -328,55 +343,58 @@ def narrowed(scratch: Scratch, items: DataFrame, key: list[str], facts: DataFram
             *[f(c).alias(f"{f.__name__}_{c}") for c in differ for f in (F.min, F.max)]
         ).filter(" and ".join(f"min_{c} <> max_{c}" for c in differ)).select(*key, "df")
         # Keys grow with the items, so they are never broadcast; oversized partitions are split.
-        kept = scratch.settle(items.join(several.hint("merge"), key).select(
-            "node", "root", "hub", "item", "df"), "kept")
+        kept = items.join(several.hint("merge"), key).select("node", "root", "hub", "item", "df")
+        kept, rows = scratch.settle(in_few_files(kept, rows), "kept", settle_counted)
+        counts = kept.groupBy("node").agg(F.count("*").alias("size"))
         nodes, size = scratch.settle(
-            kept.groupBy("node").agg(F.count("*").alias("size")).join(facts, "node").filter(enough),
+            in_few_files(join_measured(counts, facts, known, ["node"]).filter(enough), known[0]),
             "nodes", settle_measured)
         if not size[0]:
-            return None
+            return None, 0
         if before is not None and 10 * size[0] >= 9 * before:
-            return join_measured(kept, nodes, size, ["node"])
+            return join_measured(kept, nodes, size, ["node"]), rows
         items = join_measured(kept.drop("df"), nodes.select("node"), size, ["node"], "left_semi")
         before = size[0]
 
 
-def with_roots(table: DataFrame, roots: DataFrame | None) -> DataFrame:
+def with_roots(table: DataFrame, roots: Measured | None) -> DataFrame:
     """``table`` with the component found so far of each node as ``root``."""
     if roots is None:
         return table.withColumn("root", F.col("node"))
-    return table.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return join_measured(table, *roots, ["node"], "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def across_hubs(scratch: Scratch, cut: DataFrame, compared: DataFrame, roots: DataFrame | None
+def across_hubs(scratch: Scratch, cut: DataFrame, compared: DataFrame, roots: Measured | None
                 ) -> DataFrame | None:
     """Candidate links between nodes of different hubs and components.
 
     Such a pair shares only n-grams that nodes of several hubs and components have.  The fronts are
     looked at first; whole sets only of nodes that have enough of those in front.
     """
+    hubs, size = scratch.settle(compared.select("node", "hub"), "hubs", settle_measured)
     labelled = scratch.settle(
-        with_roots(cut, roots).join(compared.select("node", "hub"), "node", "left").select(
+        join_measured(with_roots(cut, roots), hubs, size, ["node"], "left").select(
             short_name("node").alias("node"), short_name("root").alias("root"),
             F.xxhash64(F.coalesce("hub", "node")).alias("hub"), "part", "n", "items", "ahead"), "labelled")
     columns, differ = ["node", "root", "hub"], ("hub", "root")
     facts = labelled.filter("part = 0").select("node", "n")
     front = labelled.filter("ahead > 0").select(
         *columns, F.explode(F.slice("items", F.lit(1), F.col("ahead"))).alias("item"))
-    seen = narrowed(scratch, front, ["item"], facts, f"size >= {NEEDED}", differ)
+    seen, rows = narrowed(scratch, front, ["item"], facts, FRONT, f"size >= {NEEDED}", differ)
     if seen is None:
         return None
-    ahead, size = scratch.settle(seen.select("node").distinct(), "ahead", settle_measured)
+    ahead, size = scratch.settle(
+        in_few_files(seen.select("node").distinct(), rows), "ahead", settle_measured)
     whole = join_measured(labelled, ahead, size, ["node"], "left_semi").select(
         *columns, F.explode("items").alias("item"))
-    kept = narrowed(scratch, whole, ["item"], facts, f"size >= {LEAST_COMMON}", differ)
+    kept, rows = narrowed(scratch, whole, ["item"], facts, "n", f"size >= {LEAST_COMMON}", differ)
     if kept is None:
         return None
     ranked = kept.selectExpr(
         *columns, "n", "item", "size",
         "row_number() over (partition by node order by df, item) as place")
-    first = scratch.settle(ranked.filter(f"place <= size - {LEAST_COMMON} + 1").selectExpr(
-        *columns, "n", "item", "size - place + 1 as rest"), "first")
+    first = scratch.settle(in_few_files(ranked.filter(f"place <= size - {LEAST_COMMON} + 1").selectExpr(
+        *columns, "n", "item", "size - place + 1 as rest"), rows), "first")
     # Pairs within the hub that most rows of a bucket have are never formed.
     main = first.groupBy("item", "hub").agg(F.count("*").alias("m")).groupBy("item").agg(
         F.max(F.struct("m", "hub")).alias("main")).select("item", F.col("main.hub").alias("main"))
@@ -389,26 +407,41 @@ def across_hubs(scratch: Scratch, cut: DataFrame, compared: DataFrame, roots: Da
         F.least("node", "node_b").alias("x"), F.greatest("node", "node_b").alias("y")).distinct()
 
 
-def node_components(scratch: Scratch, cut: DataFrame) -> DataFrame | None:
-    """``node, root`` of the nodes that link to others, or none."""
-    compared = scratch.settle(compared_with_hubs(cut), "compared")
-    links = compared.filter("9 * common >= 4 * (n + n_hub)").select(
-        F.col("node").alias("a"), F.col("hub").alias("b"))
-    names = cut.filter("part = 0").select("node")
-    found, roots = scratch.settle(links, "found"), None
-    for step in (lambda r: beside_hubs(scratch, compared, r, to_first=True),
-                 lambda r: beside_hubs(scratch, compared, r),
-                 lambda r: across_hubs(scratch, cut, compared, r)):
-        if not found.isEmpty():
-            roots = scratch.settle(components(found), "roots")
+def node_components(scratch: Scratch, cut: DataFrame, nodes: int) -> Measured | None:
+    """``node, root`` of the nodes that link to others, or none.
+
+    Components are formed again only after a step that found links.  ``nodes`` is how many there are
+    at most.
+    """
+    compared, near = scratch.settle(compared_with_hubs(scratch, cut, nodes), "compared", settle_counted)
+    found, count = scratch.settle(
+        compared.filter("9 * common >= 4 * (n + n_hub)").select(
+            F.col("node").alias("a"), F.col("hub").alias("b")), "found", settle_counted)
+    names = scratch.settle(
+        cut.filter("part = 0").select("node", short_name("node").alias("short")), "names", settle_measured)
+    roots = rooted(scratch, found, count) if count else None
+    for name, step in (("nearest", lambda r: beside_hubs(scratch, compared, near, r, to_first=True)),
+                       ("beside", lambda r: beside_hubs(scratch, compared, near, r)),
+                       ("across", lambda r: across_hubs(scratch, cut, compared, r))):
         pairs = step(roots)
-        if pairs is not None:
-            whole = pairs.join(
-                names.select(short_name("node").alias("x"), F.col("node").alias("a")), "x").join(
-                names.select(short_name("node").alias("y"), F.col("node").alias("b")), "y")
-            pairs = scratch.settle(whole.select("a", "b"), "pairs")
-            found = scratch.settle(found.union(linked(pairs, cut)), "found")
-    return None if found.isEmpty() else scratch.settle(components(found), "roots")
+        if pairs is None:
+            continue
+        for short, node in (("x", "a"), ("y", "b")):
+            pairs = join_measured(pairs, names[0].toDF(node, short), names[1], [short])
+        pairs, most = scratch.settle(pairs.select("a", "b"), "pairs", settle_counted)
+        if not most:
+            continue
+        more, new = scratch.settle(in_few_files(linked(pairs, cut), most), name, settle_counted)
+        if new:
+            found, count = found.union(more), count + new
+            roots = rooted(scratch, found, count)
+    return roots
+
+
+def rooted(scratch: Scratch, links: DataFrame, count: int) -> Measured:
+    """The components of so many links, settled."""
+    return scratch.settle(
+        in_few_files(components(links, count=count), 2 * count), "roots", settle_measured)
 
 
 def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -418,23 +451,24 @@ def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Computed when this is called; of the tables written to the shared folder only the result is left.
     """
     scratch = Scratch(docs.sparkSession)
-    sets = scratch.settle(read_sets(docs, id_col, text_col), "sets")
+    sets, rows = scratch.settle(read_sets(docs, id_col, text_col), "sets", settle_counted)
     classes = sets.filter("node is not null").groupBy("node").agg(
         F.min("id").alias("id"), F.count("*").alias("copies"))
-    own = scratch.settle(survivors(sets), "own")
-    keys, size = scratch.settle(
-        classes.join(own, short_name("node") == F.col("short"), "left_semi")
-        .select(key_text("id").alias("key")).distinct(), "keys", settle_measured)
-    cut = scratch.settle(segments(docs, own, keys, size, id_col, text_col), "cut")
-    roots = node_components(scratch, cut)
+    own = scratch.settle(in_few_files(survivors(sets), rows), "own", settle_measured)
+    wanted = join_measured(classes.withColumn("short", short_name("node")), *own, ["short"], "left_semi")
+    keys = scratch.settle(
+        in_few_files(wanted.select(key_text("id").alias("key")).distinct(), 2 * own[1][0]),
+        "keys", settle_measured)
+    cut = scratch.settle(segments(docs, own, keys, id_col, text_col), "cut")
+    roots = node_components(scratch, cut, own[1][0])
     if roots is None:
         groups = classes.filter("copies > 1").select("node", F.col("id").alias("component_id"))
     else:
-        rooted = classes.join(roots, "node", "left").filter("copies > 1 or root is not null").select(
-            "node", "id", F.coalesce("root", "node").alias("root"))
-        rooted = scratch.settle(rooted, "rooted")
-        least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-        groups = rooted.join(least, "root").select("node", "component_id")
+        named = join_measured(classes, *roots, ["node"], "left").filter(
+            "copies > 1 or root is not null").select("node", "id", F.coalesce("root", "node").alias("root"))
+        grouped, rows = scratch.settle(in_few_files(named, rows), "rooted", settle_counted)
+        least = grouped.groupBy("root").agg(F.min("id").alias("component_id"))
+        groups = in_few_files(grouped.join(least, "root").select("node", "component_id"), rows)
     groups, size = scratch.settle(groups, "groups", settle_measured)
     result = scratch.settle(
         join_measured(sets.select("id", "n", "node"), groups, size, ["node"], "left").select(

@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 
 from quillwork.llm import ngramjoin as J
 from quillwork.llm.components import components
+from quillwork.operators import sizing
 
 SCHEMA = "doc_id long, text string, node string, root string, n string"
 
@@ -188,3 +189,35 @@ def test_components_of_a_path_a_star_and_loops(spark):
     for i in range(1300):
         least.setdefault(roots[i], i)
     assert got == {i: least[roots[i]] for i in {x for e in links for x in e}}
+
+
+def test_small_tables_are_not_written_by_every_partition_of_a_shuffle(spark):
+    """With many partitions that are not merged, links between a few nodes come in as many files as slots."""
+    was = {k: spark.conf.get(k) for k in (
+        "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    for key, value in zip(was, ("40", "false")):
+        spark.conf.set(key, value)
+    try:
+        edges = spark.createDataFrame([(i, i - i % 10) for i in range(400)], "a long, b long")
+        found = components(edges)
+        got = {r.node: r.root for r in found.collect()}
+        files = found.inputFiles()
+    finally:
+        for key, value in was.items():
+            spark.conf.set(key, value)
+    assert got == {i: i - i % 10 for i in range(400)}
+    assert len(files) <= spark.sparkContext.defaultParallelism
+
+
+def test_bounds_of_few_files(spark):
+    """Rows beyond what a file may hold get more files, up to the partitions there are."""
+    wide = spark.range(0, 100, 1, 50)
+    slots = spark.sparkContext.defaultParallelism
+    assert sizing.in_few_files(wide, 0).rdd.getNumPartitions() == slots
+    assert sizing.in_few_files(wide, 20 * sizing.ROWS_A_FILE + 1).rdd.getNumPartitions() == 21
+    assert sizing.in_few_files(wide, 10 ** 9).rdd.getNumPartitions() == 50
+
+
+@pytest.mark.parametrize("n", [1, 4, 5, 16, 99, 1000])
+def test_front_in_sql_is_that_of_a_set(spark, n):
+    assert spark.sql(f"select {J.FRONT} as f from (select {n}L as n)").first().f == J.front_length(n)
