@@ -13,8 +13,9 @@ words there are, while ``c`` is counted for every word of the corpus:
 2. *Counts.*  A row per word and chunk is shuffled by word, given the sum over the chunks, and goes back
    by chunk.  A word found in every document is one row a chunk.  (Two words of equal hash would share
    their counts: of 10^9 words the chance of any such pair is 3 %.)
-3. *Baum-Welch.*  ``ROUNDS`` rounds, each over all training tokens.  A task sums the expected
-   starts, transitions and emissions of its stretches of up to ``STRETCH`` tokens by scaled forward and
+3. *Baum-Welch.*  ``ROUNDS`` rounds, each over all training tokens.  Stretches of up to ``STRETCH``
+   tokens are laid side by side as blocks once, in the order the recursions take them; in a round a
+   task sums the expected starts, transitions and emissions of its blocks by scaled forward and
    backward recursion; the sums are added up per class over all tasks, as whole numbers (so their order
    does not matter), and smoothed with all words' shares.
 4. *Scores.*  The scaled forward recursion runs over whole texts, however long.
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quillwork.llm.packed import packed, unpacked
-from quillwork.session import settle
+from quillwork.session import Scratch
 
 STATES = 8
 OWN, SHAPES = 8192, 4096
@@ -267,41 +268,52 @@ def stretches(texts: list[np.ndarray]) -> list[tuple[np.ndarray, bool]]:
     return [(text[i:i + STRETCH], i == 0) for text in texts for i in range(0, len(text), STRETCH)]
 
 
-def expect(chain: Chain, texts: list[np.ndarray], total: Expected) -> None:
-    """Add the expected counts of the texts to ``total``."""
+@dataclass
+class Block:
+    """Sequences side by side, longest first: the tokens of all first steps, then of all second ones, ..."""
+
+    tokens: np.ndarray
+    on: np.ndarray          # step t has the first ``on[t]`` sequences
+    begins: np.ndarray      # whether a text starts with the sequence
+
+
+def blocks(texts: list[np.ndarray]) -> Iterator[Block]:
+    """The stretches of the texts, ``GROUP`` tokens at a time."""
     pieces = sorted(stretches(texts), key=lambda p: -len(p[0]))
     at = 0
     while at < len(pieces):
-        take = max(1, GROUP // len(pieces[at][0]))
-        forward_backward(chain, pieces[at:at + take], total)
-        at += take
+        steps = len(pieces[at][0])
+        some = pieces[at:at + max(1, GROUP // steps)]
+        at += len(some)
+        table = np.zeros((len(some), steps), "<u2")
+        for i, (piece, _) in enumerate(some):
+            table[i, :len(piece)] = piece
+        on = np.searchsorted([-len(p) for p, _ in some], -np.arange(steps), "left")
+        yield Block(np.concatenate([table[:n, t] for t, n in enumerate(on)]), on,
+                    np.array([b for _, b in some]))
 
 
-def forward_backward(chain: Chain, pieces: list[tuple[np.ndarray, bool]], total: Expected) -> None:
-    """Scaled recursions over sequences side by side, longest first; step t has the first ``on[t]``.
+def expect(chain: Chain, texts: list[np.ndarray], total: Expected) -> None:
+    """Add the expected counts of the texts to ``total``."""
+    for block in blocks(texts):
+        forward_backward(chain, block, total)
 
-    The tokens of a step lie together, from ``at[t]`` to ``at[t + 1]``, and only tokens there are.
-    """
-    lengths = np.array([len(p) for p, _ in pieces])
-    steps, states = int(lengths[0]), len(chain.start)
-    on = np.searchsorted(-lengths, -np.arange(steps), "left")
+
+def forward_backward(chain: Chain, block: Block, total: Expected) -> None:
+    """Scaled recursions over the sequences of a block, whose step t lies from ``at[t]`` to ``at[t + 1]``."""
+    on, begins, flat = block.on, block.begins, block.tokens.astype("i8")
     at = np.concatenate(([0], np.cumsum(on)))
-    table = np.zeros((len(pieces), steps), "u2")
-    for i, (piece, _) in enumerate(pieces):
-        table[i, :len(piece)] = piece
-    flat = np.concatenate([table[:n, t] for t, n in enumerate(on)]).astype("i4")
-    begins = np.array([b for _, b in pieces])
-    seen, kind = chain.emits[flat], chain.emits.dtype
-    ahead, scale, ones = np.empty_like(seen), np.empty(len(flat), kind), np.ones(states, kind)
+    steps, states = len(on), len(chain.start)
+    seen, kind = chain.emits.take(flat, axis=0), chain.emits.dtype
+    ahead, ones = np.empty_like(seen), np.ones(states, kind)
     now = np.where(begins[:, None], chain.start, chain.share)
-    for t in range(steps):
+    for t, n in enumerate(on):
         here = slice(at[t], at[t + 1])
-        np.multiply(now if t == 0 else now[:on[t]] @ chain.moves, seen[here], out=ahead[here])
-        now = ahead[here]
-        scale[here] = 1 / (now @ ones)
-        now *= scale[here, None]
-    seen *= scale[:, None]
-    back, after = np.ones((len(pieces), states), kind), chain.moves.T.copy()
+        now = np.multiply(now if t == 0 else now[:n] @ chain.moves, seen[here], out=ahead[here])
+        scale = (1 / (now @ ones)).repeat(states).reshape(n, states)
+        now *= scale
+        seen[here] *= scale
+    back, after = np.ones((len(begins), states), kind), chain.moves.T.copy()
     moves = np.zeros((states, states))
     for t in range(steps - 1, 0, -1):
         here, n = slice(at[t], at[t + 1]), on[t]
@@ -310,27 +322,41 @@ def forward_backward(chain: Chain, pieces: list[tuple[np.ndarray, bool]], total:
         ahead[here] *= back[:n]
         moves += ahead[at[t - 1]:at[t - 1] + n].T @ weighed
         np.matmul(weighed, after, out=back[:n])
-    ahead[:len(pieces)] *= back
+    ahead[:len(begins)] *= back
     for z in range(states):
         total.emits[:, z] += np.bincount(flat, ahead[:, z], len(total.emits))
     total.moves += moves * chain.moves
-    total.start += ahead[:len(pieces)][begins].sum(axis=0, dtype="f8")
+    total.start += ahead[:len(begins)][begins].sum(axis=0, dtype="f8")
 
 
 def nothing(n_classes: int, states: int) -> Expected:
     return Expected(np.zeros(states), np.zeros((states, states)), np.zeros((n_classes, states)))
 
 
-def expected_counts(texts: DataFrame, chain: Chain) -> Expected:
-    """One round's expected counts of all texts, summed per class over all tasks."""
-    shipped = texts.sparkSession.sparkContext.broadcast(chain.single())
+def laid_out(texts: DataFrame) -> DataFrame:
+    """The texts of ``classes`` as blocks, a row each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks([np.frombuffer(x.as_py(), "<u2") for x in batch.column(0)]):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x.tobytes()]) for x in (block.tokens, block.on.astype("<i4"), block.begins)],
+                    names=["tokens", "on", "begins"])
+
+    return texts.select("classes").mapInArrow(run, "tokens binary, on binary, begins binary")
+
+
+def expected_counts(rows: DataFrame, chain: Chain) -> Expected:
+    """One round's expected counts of all blocks, summed per class over all tasks."""
+    shipped = rows.sparkSession.sparkContext.broadcast(chain.single())
     n_classes, states = chain.emits.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = nothing(n_classes, states), False
         for batch in batches:
             seen = seen or batch.num_rows > 0
-            expect(shipped.value, [np.frombuffer(x.as_py(), "<u2") for x in batch.column(0)], total)
+            for row in zip(*batch.columns):
+                block = Block(*[np.frombuffer(x.as_py(), kind) for x, kind in zip(row, ("<u2", "<i4", "?"))])
+                forward_backward(shipped.value, block, total)
         if seen:
             table = np.rint(np.vstack((total.start, total.moves, total.emits)) * UNIT).astype("i8")
             used = np.flatnonzero(table.any(axis=1))
@@ -339,7 +365,7 @@ def expected_counts(texts: DataFrame, chain: Chain) -> Expected:
                 names=["row", *(f"z{z}" for z in range(states))])
 
     names = [f"z{z}" for z in range(states)]
-    sums = texts.select("classes").mapInArrow(
+    sums = rows.mapInArrow(
         run, "row long, " + ", ".join(f"{n} long" for n in names)).groupBy("row").agg(
         *[F.sum(n).alias(n) for n in names]).toArrow()
     table = np.zeros((1 + states + n_classes, states))
@@ -349,11 +375,16 @@ def expected_counts(texts: DataFrame, chain: Chain) -> Expected:
 
 
 def train(texts: DataFrame, shares: np.ndarray, states: int = STATES) -> Chain:
-    """Baum-Welch over ``texts`` (``classes`` as bytes), every round over all tokens."""
+    """Baum-Welch over ``texts`` (``classes`` as bytes), every round over all tokens.
+
+    The texts are laid out as blocks once; the rounds read these.
+    """
     chain = first_chain(shares, states)
-    if not texts.isEmpty():
-        for _ in range(ROUNDS):
-            chain = expected_counts(texts, chain).chain(shares)
+    with Scratch(texts.sparkSession) as own:
+        rows = own.settle(laid_out(texts), "blocks")
+        if not rows.isEmpty():
+            for _ in range(ROUNDS):
+                chain = expected_counts(rows, chain).chain(shares)
     return chain
 
 
@@ -365,12 +396,12 @@ def log_likelihoods(chain: Chain, texts: list[np.ndarray]) -> np.ndarray:
     lengths = np.array([len(texts[i]) for i in order])
     flat = np.concatenate([texts[i] for i in order] or [np.zeros(0, "u2")])
     starts = np.cumsum(lengths) - lengths
+    on = np.searchsorted(-lengths, -np.arange(lengths.max(initial=0)), "left")
     found, now = np.zeros(len(order)), np.tile(chain.start, (len(order), 1))
-    for t in range(int(lengths[0]) if len(order) else 0):
-        n = int(np.searchsorted(-lengths, -t, "left"))
-        now = (now if t == 0 else now[:n] @ chain.moves) * chain.emits[flat[starts[:n] + t]]
+    for t, n in enumerate(on):
+        now = (now if t == 0 else now[:n] @ chain.moves) * chain.emits.take(flat[starts[:n] + t], axis=0)
         scale = now.sum(axis=1)
-        now = now / scale[:, None]
+        now /= scale[:, None]
         found[:n] += np.log10(scale)
     out = np.zeros(len(order))
     out[order] = found
@@ -384,11 +415,13 @@ def score_texts(docs: DataFrame, learns: Column, held_out: Column, id_col: str =
     ``base_score`` is the add-one unigram log10 probability, ``score`` the hidden Markov model's.
     Trains when called; intermediate tables are written to the shared folder.
     """
-    cut = settle(chunks(docs, id_col, text_col, learns, held_out))
+    own = Scratch(docs.sparkSession)
+    cut = own.settle(chunks(docs, id_col, text_col, learns, held_out), "chunks")
     trained = cut.agg(F.sum("trained")).first()[0] or 0
-    looked = settle(counted(cut, trained))
+    looked = own.settle(counted(cut, trained), "counts")
     classes = classes_of(looked, trained)
-    texts = settle(numbered(cut, looked, classes))
+    texts = own.settle(numbered(cut, looked, classes), "texts")
+    own.drop("chunks", "counts")
     shipped = docs.sparkSession.sparkContext.broadcast(
         train(texts.filter("learns"), classes.shares()))
     kind = docs.schema[id_col].dataType

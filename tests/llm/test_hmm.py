@@ -94,6 +94,34 @@ def test_every_round_takes_all_tokens(spark):
         assert np.allclose(getattr(got, name), getattr(want, name), atol=1e-4)
 
 
+def test_rounds_read_texts_laid_out_once(spark):
+    """Cutting and sorting the texts is no part of a round, nor is reading them one by one."""
+    rng = np.random.default_rng(5)
+    rows = [(i, bytearray(rng.integers(0, 5, n).astype("<u2").tobytes())) for i, n in enumerate((300, 7, 1))]
+    read = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    texts = spark.createDataFrame(rows, "doc_id long, classes binary").mapInArrow(
+        noted, "doc_id long, classes binary")
+    hmm.train(texts, np.full(5, 0.2), 3)
+    assert len(rows) <= read.value <= 2 * len(rows)
+
+
+def test_blocks_hold_each_stretch_once(monkeypatch):
+    monkeypatch.setattr(hmm, "STRETCH", 4)
+    monkeypatch.setattr(hmm, "GROUP", 9)
+    found = []
+    for block in hmm.blocks(TEXTS):
+        at = np.cumsum([0, *block.on])
+        found += [([int(block.tokens[at[t] + i]) for t, n in enumerate(block.on) if i < n], bool(begins))
+                  for i, begins in enumerate(block.begins)]
+    assert sorted(found) == sorted((p.tolist(), b) for p, b in hmm.stretches(TEXTS))
+
+
 def base(texts, learned):
     """(n_tokens, n_known, base score) of each text."""
     cut = lambda t: [*(t or "").encode().lower().split(), "end"]
